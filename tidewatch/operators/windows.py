@@ -41,17 +41,43 @@ def _keys(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def pane_window_ends(pane_start: Column, size_s: int, slide_s: int) -> Column:
-    """Ends of the ``size/slide`` sliding windows that contain a pane.
+def _interval(seconds: int) -> Column:
+    return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
-    A pane starting at ``p`` (aligned to the slide) lies inside the windows
-    ending at ``p + slide, p + 2 slide, ..., p + size``.  One ``sequence``
-    per pane row keeps the plan a single generator whatever the fan-out
-    (``window()`` with 720 slides would compile 720 projections).
+
+def _owner_bucket_seconds(size_s: int, slide_s: int) -> int:
+    """Time bucket that owns window ends: one day, or more for longer windows,
+    a whole number of slides."""
+    b = max(86400, size_s)
+    return -(-b // slide_s) * slide_s
+
+
+def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str]) -> DataFrame:
+    """Pane rows (``_ps`` = pane start, plus keys and measures) -> one row per
+    (window end, pane) for the sliding windows that contain the pane.
+
+    The windows are generated after a shuffle of the *pane* rows on
+    ``part`` + an owner bucket ``_bk``: bucket ``b`` owns the window ends in
+    ``(b, b + B]``, and a pane is sent to each (at most two) bucket owning a
+    window that contains it.  A later ``groupBy('window_end', *part, '_bk')``
+    is then satisfied by this partitioning, so the exploded rows are summed
+    where they are made and never cross the network.  A key's rows per task
+    are bounded by ``B / slide`` panes, however hot the key.
+
+    The shuffle takes an explicit partition count: its input is small (pane
+    rows) but the work after it grows ``size / slide`` times, and AQE would
+    otherwise coalesce it by input bytes into a handful of tasks.
     """
-    step = F.expr(f"INTERVAL {slide_s} SECONDS")
-    return F.explode(F.sequence(pane_start + step, pane_start + F.expr(f"INTERVAL {size_s} SECONDS"),
-                                step))
+    B = _owner_bucket_seconds(size_s, slide_s)
+    p = F.col("_ps")
+    first = F.window(p, f"{B} seconds").getField("start")
+    last = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
+    with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(first, last))))
+    n = int(pane.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = with_bk.repartition(n, *[F.col(c) for c in part], F.col("_bk"))
+    lo = F.greatest(p + _interval(slide_s), F.col("_bk") + _interval(slide_s))
+    hi = F.least(p + _interval(size_s), F.col("_bk") + _interval(B))
+    return shuffled.withColumn("window_end", F.explode(F.sequence(lo, hi, _interval(slide_s))))
 
 
 def _use_panes(size: int, slide: int | None, panes: bool | str) -> bool:
@@ -70,12 +96,12 @@ def windowed_count(df: DataFrame, ts: str, size: str | int, slide: str | int | N
     slide_s = _seconds(slide) if slide is not None else None
     keys = _keys(keys)
     if _use_panes(size_s, slide_s, panes):
-        pane = (df.groupBy(F.window(ts, _spec(slide_s)).alias("_pane"), *keys)
+        pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
                 .agg(F.count(F.lit(1)).alias("_n")))
-        key_names = [c for c in pane.columns if c not in ("_pane", "_n")]
-        ends = pane.select(pane_window_ends(F.col("_pane.start"), size_s, slide_s).alias("window_end"),
-                           *key_names, "_n")
-        return ends.groupBy("window_end", *key_names).agg(F.sum("_n").cast("bigint").alias(name))
+        key_names = [c for c in pane.columns if c not in ("_ps", "_n")]
+        ends = spread_panes(pane, size_s, slide_s, key_names)
+        return (ends.groupBy("window_end", *key_names, "_bk")
+                .agg(F.sum("_n").cast("bigint").alias(name)).drop("_bk"))
     else:
         w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s
              else F.window(ts, _spec(size_s)))
@@ -102,13 +128,12 @@ def windowed_distinct(df: DataFrame, ts: str, size: str | int, col: str,
     slide_s = _seconds(slide) if slide is not None else None
     if method == "hll":
         if slide_s and slide_s != size_s:
-            pane = (df.groupBy(F.window(ts, _spec(slide_s)).alias("_pane"), *keys)
+            pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
                     .agg(F.hll_sketch_agg(F.col(col), lg_k).alias("_sk")))
-            key_names = [c for c in pane.columns if c not in ("_pane", "_sk")]
-            ends = pane.select(pane_window_ends(F.col("_pane.start"), size_s, slide_s)
-                               .alias("window_end"), *key_names, "_sk")
-            return (ends.groupBy("window_end", *key_names)
-                    .agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).alias(name)))
+            key_names = [c for c in pane.columns if c not in ("_ps", "_sk")]
+            ends = spread_panes(pane, size_s, slide_s, key_names)
+            return (ends.groupBy("window_end", *key_names, "_bk")
+                    .agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).alias(name)).drop("_bk"))
         else:
             out = (df.groupBy(F.window(ts, _spec(size_s)).alias("_w"), *keys)
                    .agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(col), lg_k)).alias(name)))
@@ -124,19 +149,20 @@ def windowed_distinct(df: DataFrame, ts: str, size: str | int, col: str,
 def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | int,
                         keys: Sequence[str], total_label: str = "total",
                         name: str = "cnt") -> DataFrame:
-    """Per-key counts and the window total in one pass (A-7 + A-8).
+    """Per-key counts and the window total from one read (A-7 + A-8), the
+    result of ``GROUPING SETS ((w, *keys), (w))``.
 
-    ``GROUPING SETS ((w, *keys), (w))`` over pane counts: the input is read
-    and exploded once.  In total rows every key column holds ``total_label``.
+    Pane counts are shuffled once by owner bucket; the per-key sums and the
+    totals (summed from the per-key sums) both keep that partitioning, so
+    neither needs another exchange.  In total rows every key column holds
+    ``total_label``.
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
-    pane = (df.groupBy(F.window(ts, _spec(slide_s)).alias("_pane"), *keys)
+    pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
             .agg(F.count(F.lit(1)).alias("_n")))
-    exploded = pane.select(pane_window_ends(F.col("_pane.start"), size_s, slide_s)
-                           .alias("window_end"), *keys, "_n")
-    full, total = 0, (1 << len(keys)) - 1
-    agg = (exploded.groupingSets([["window_end", *keys], ["window_end"]], "window_end", *keys)
-           .agg(F.sum("_n").cast("bigint").alias(name), F.grouping_id().alias("_g")))
-    cols = [F.when(F.col("_g") == total, F.lit(total_label)).otherwise(F.col(k)).alias(k)
-            for k in keys]
-    return agg.select("window_end", *cols, name)
+    exploded = spread_panes(pane, size_s, slide_s, [])
+    per_key = (exploded.groupBy("window_end", *keys, "_bk")
+               .agg(F.sum("_n").cast("bigint").alias(name)))
+    totals = (per_key.groupBy("window_end", "_bk").agg(F.sum(name).cast("bigint").alias(name))
+              .select("window_end", *[F.lit(total_label).alias(k) for k in keys], name))
+    return per_key.drop("_bk").unionByName(totals)
