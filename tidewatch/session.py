@@ -31,7 +31,8 @@ SCALE_CONF = {
 def build_session(master: str | None = None, app: str = "tidewatch",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
-    """Session for tests, the bench and command-line runs."""
+    """Session for tests, the bench and command-line runs.  A
+    ``spark.checkpoint.dir`` already configured for the cluster is kept."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -50,21 +51,26 @@ def build_session(master: str | None = None, app: str = "tidewatch",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names storage every executor reaches.  Only
-    where it is unset (local tests) is a folder under the system temp
-    directory chosen and written back into the session.
+    On a cluster that setting names storage every executor reaches; it is a
+    static setting, read here and never changed.  Only where it is unset
+    (local tests) is a folder under the system temp directory used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        import tempfile
-        root = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        global _LOCAL_ROOT
+        if _LOCAL_ROOT is None:
+            import tempfile
+            _LOCAL_ROOT = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
+        root = _LOCAL_ROOT
     spark.sparkContext.setCheckpointDir(root)
     return root
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for one streaming query, under the shared root."""
     return os.path.join(checkpoint_root(spark), "streams", name)
