@@ -175,3 +175,50 @@ def test_reconcile_stream(spark, tmp_path):
                        delay="10 seconds")
     got = _bag(_run(S.tx_reconcile_stream(so, sr)), cols)
     assert [x for x in got if x[0] != "s"] == b
+
+
+def test_late_revisions_rerank_whole_window(spark, tmp_path):
+    # window [0, 600): a wins first; a late burst of c (inside the lateness) revises it
+    first = [("a", 10), ("a", 20), ("b", 30), ("z", 700)]
+    late = [("c", 40), ("c", 41), ("c", 42), ("z", 705)]
+    ddl = "url STRING, event_time BIGINT"
+    src = str(tmp_path / "urls")
+    for part in (first, late, [("z", 2000)]):
+        frame(spark, ddl, part).coalesce(1).write.mode("append").parquet(src)
+    st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ddl, first).schema,
+                                            max_files=1), delay="61 seconds")
+    counts = S.hot_urls_counts_stream(st, size="10 minutes", slide="10 minutes")
+    log = str(tmp_path / "log")
+    q = Wr.start(counts, f"t_{uuid.uuid4().hex[:8]}", mode="update",
+                 foreach_batch=Wr.changelog_writer(log), available_now=True)
+    q.awaitTermination(300)
+    top = S.revised_top_n(spark, log, 3, "url")
+    w0 = sorted((r.rank, r.url, r.cnt) for r in top.collect() if r.window_end == ts(600))
+    assert w0 == [(1, "c", 3), (2, "a", 2), (3, "b", 1)]
+
+
+def test_running_unique_visitors_reach_batch_count(spark, tmp_path):
+    ev, with_sentinel = _events_with_sentinel(spark, "view")
+    batch = _bag(jobs.unique_visitors(T.user_behavior(ev), behavior="view", method="bitmap"),
+                 ["window_end", "uv"])
+    ub = Wr.event_time(T.user_behavior(_files(
+        spark, with_sentinel.withColumnRenamed("ts", "event_time"), tmp_path)
+        .withColumnRenamed("event_time", "ts")))
+    log = str(tmp_path / "uvlog")
+    q = Wr.start(S.unique_visitors_running_stream(ub, behavior="view"),
+                 f"t_{uuid.uuid4().hex[:8]}", mode="update",
+                 foreach_batch=Wr.changelog_writer(log), available_now=True)
+    q.awaitTermination(300)
+    got = _bag(S.running_uv(spark, log), ["window_end", "uv"])
+    assert [r for r in got if r[0] < ts(FAR)] == batch
+
+
+def test_tagged_writer_splits_outcomes(spark, tmp_path):
+    rows = [(1, "paid"), (2, "timeout"), (3, "paid")]
+    df = spark.createDataFrame(rows, "order_id BIGINT, outcome STRING")
+    base = str(tmp_path / "tagged")
+    w = Wr.tagged_writer(base)
+    w(df, 0)
+    w(df, 0)   # a replayed batch lands in the same batch folder
+    paid = spark.read.parquet(base).where("outcome = 'paid' AND _batch = 0")
+    assert paid.select("order_id").distinct().count() == 2

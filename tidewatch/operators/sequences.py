@@ -154,3 +154,21 @@ def bursts(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_s: int,
             .agg(F.max(ts).alias("end_time"), F.count(F.lit(1)).alias("n"))
             .where(F.col("n") >= min_count)
             .select(*keys, "start_time", "end_time", "n"))
+
+
+def sequence_match(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: Column,
+                   then: Column, within_s: int, contiguity: str = "strict",
+                   carry: Sequence[str] = (), bucket_s: int | None = None) -> DataFrame:
+    """Two-step pattern ``first`` -> ``then`` within ``within_s`` per key
+    (M-1 .. M-5), bound to a keyed (``keys``) or unkeyed (``()``) stream.
+
+    ``strict``   the very next row must be a ``then`` row (``next``); only
+                 matches are returned.
+    ``relaxed``  any later ``then`` row (``followedBy``); every ``first`` row
+                 is returned, ``matched`` false for a time-out.
+    """
+    if contiguity == "strict":
+        return strict_pairs(df, keys, order, first, then, within_s, carry, bucket_s)
+    if contiguity == "relaxed":
+        return followed_by(df, keys, order, first, then, within_s, carry, bucket_s)
+    raise ValueError("contiguity is 'strict' or 'relaxed'")

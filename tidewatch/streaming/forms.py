@@ -74,6 +74,37 @@ def hot_urls_counts_stream(logs: DataFrame, size: str = "10 minutes", slide: str
     return windowed_count_stream(logs, size, slide, keys=["url"])
 
 
+def revised_top_n(spark, changelog: str, n: int, key: str, by: str = "cnt") -> DataFrame:
+    """T-12: top-N of every window from the newest revision of each
+    (window, key) count in a change log written in update mode.  A late row
+    revises its window's count and the window is ranked again as a whole
+    (the reference re-ranks only the revised keys, SURVEY §2.11 row 18)."""
+    from tidewatch.streaming.wiring import latest
+    return top_n_per_window(latest(spark, changelog, ["window_end", key]), n, key=key, by=by)
+
+
+def unique_visitors_running_stream(behaviors: DataFrame, size: str = "1 hour",
+                                   behavior: str = "pv") -> DataFrame:
+    """T-14/T-15 (Q5's early firings): running exact bitmap counts per
+    (window, 32768-bit chunk), for update mode into a change log;
+    ``running_uv`` sums the newest chunk counts per window.  Every trigger
+    thus revises the count of the open windows; the final value is the
+    batch count."""
+    rows = behaviors.where(F.col("behavior") == behavior)
+    off = bitmap_offset("user_id")
+    return (rows.groupBy(F.window(TS, f"{_seconds(size)} seconds").alias("_w"),
+                         F.bitmap_bucket_number(off).alias("chunk"))
+            .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(off))).alias("bits"))
+            .select(F.col("_w.end").alias("window_end"), "chunk", "bits"))
+
+
+def running_uv(spark, changelog: str) -> DataFrame:
+    """``window_end, uv`` from the newest chunk counts of a change log."""
+    from tidewatch.streaming.wiring import latest
+    return (latest(spark, changelog, ["window_end", "chunk"]).groupBy("window_end")
+            .agg(F.sum("bits").cast("bigint").alias("uv")))
+
+
 def unique_visitors_stream(behaviors: DataFrame, size: str = "1 hour", behavior: str = "pv",
                            method: str = "exact") -> DataFrame:
     """Q4/Q5 stream: ``window_end, uv``.  Exact and bitmap drop duplicate
