@@ -30,6 +30,10 @@ def q_hot_items(spark, sf_dir):
     return jobs.hot_items(T.user_behavior(_events(spark, sf_dir)), behavior="click")
 
 
+def q_hot_items_report(spark, sf_dir):
+    return jobs.hot_items_report(T.user_behavior(_events(spark, sf_dir)), behavior="click")
+
+
 def q_hot_urls(spark, sf_dir):
     return jobs.hot_urls(T.access_log(_events(spark, sf_dir)))
 
@@ -117,6 +121,7 @@ def q_tx_reconcile(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": q_hot_items,
+    "hot_items_report": q_hot_items_report,
     "hot_urls": q_hot_urls,
     "page_views": q_page_views,
     "unique_visitors": q_unique_visitors,

@@ -56,6 +56,21 @@ ORACLE_SQL: dict[str, str] = {
                                          ORDER BY cnt DESC, item_id) AS rn FROM g)
       SELECT window_end, item_id, cnt, CAST(rn AS BIGINT) AS rank FROM r WHERE rn <= 3""",
 
+    "hot_items_report": f"""
+      WITH c AS (SELECT {_HI_END} AS window_end,
+                        CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id
+                 FROM events {_HI_JOIN} WHERE event_type = 'click'),
+      g AS (SELECT window_end, item_id, count(*) AS cnt FROM c GROUP BY 1, 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY window_end
+                                         ORDER BY cnt DESC, item_id) AS rn FROM g)
+      SELECT window_end,
+             concat_ws(chr(10), repeat('=', 40),
+                       'time: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S'),
+                       string_agg(printf('No.%d item=%s count=%d', rn, CAST(item_id AS VARCHAR), cnt), chr(10)
+                                  ORDER BY rn),
+                       repeat('=', 40)) AS report
+      FROM r WHERE rn <= 3 GROUP BY window_end""",
+
     "hot_urls": f"""
       WITH c AS (SELECT {_HU_END} AS window_end, event_type AS url FROM events {_HU_JOIN}),
       g AS (SELECT window_end, url, count(*) AS cnt FROM c GROUP BY 1, 2),
