@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.hashing import bitmap_offset
 
@@ -80,6 +80,53 @@ def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str]
     return shuffled.withColumn("window_end", F.explode(F.sequence(lo, hi, _interval(slide_s))))
 
 
+def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence[str],
+                      name: str = "cnt") -> DataFrame:
+    """Sliding-window sums of pane counts (``_ps``, ``*keys``, ``_n``) by a
+    sweep: ``window_end, *keys, <name>``, one row per non-empty window.
+
+    A pane starting at ``p`` adds ``_n`` to the windows ending in
+    ``[p + slide, p + size]``: +n at ``p + slide`` and -n at
+    ``p + size + slide``.  Per (key, owner bucket) the change points are
+    summed, a running sum over them gives the count from one change point
+    to the next, and each stretch with a positive count emits its window
+    ends with ``sequence``.  Every output row is produced exactly once and
+    no aggregate ever runs over the exploded rows.
+
+    Partitioning: pane rows are shuffled once on (keys, owner bucket); a
+    bucket owns the ends in ``(b, b + B]`` and also receives the panes of
+    the ``size - slide`` before it (their windows end inside it).  The
+    change-point aggregate and the running sum reuse that partitioning, so
+    no further exchange is planned.  A key holds at most
+    ``(B + size) / slide`` panes per bucket, however hot it is.
+    """
+    B = _owner_bucket_seconds(size_s, slide_s)
+    p = F.col("_ps")
+    own = F.window(p, f"{B} seconds").getField("start")
+    nxt = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
+    with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(own, nxt))))
+    n = int(pane.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = with_bk.repartition(n, *[F.col(c) for c in keys], F.col("_bk"))
+    deltas = shuffled.select(
+        *keys, "_bk",
+        F.explode(F.array(
+            F.struct((p + _interval(slide_s)).alias("t"), F.col("_n").alias("d")),
+            F.struct((p + _interval(size_s + slide_s)).alias("t"), (-F.col("_n")).alias("d"))
+        )).alias("_c"))
+    points = (deltas.groupBy(*keys, "_bk", F.col("_c.t").alias("_t"))
+              .agg(F.sum("_c.d").alias("_d")))
+    spec = Window.partitionBy(*keys, "_bk").orderBy("_t")
+    run = (points
+           .withColumn(name, F.sum("_d").over(spec.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("_next", F.lead("_t").over(spec)))
+    first = F.greatest(F.col("_t"), F.col("_bk") + _interval(slide_s))
+    stop = F.least(F.col("_next"), F.col("_bk") + _interval(B + slide_s)) - _interval(slide_s)
+    ends = (run.where((F.col(name) > 0) & F.col("_next").isNotNull() & (first <= stop))
+            .select(F.explode(F.sequence(first, stop, _interval(slide_s))).alias("window_end"),
+                    *keys, F.col(name).cast("bigint").alias(name)))
+    return ends
+
+
 def _use_panes(size: int, slide: int | None, panes: bool | str) -> bool:
     if slide is None or slide == size:
         return False
@@ -99,9 +146,7 @@ def windowed_count(df: DataFrame, ts: str, size: str | int, slide: str | int | N
         pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
                 .agg(F.count(F.lit(1)).alias("_n")))
         key_names = [c for c in pane.columns if c not in ("_ps", "_n")]
-        ends = spread_panes(pane, size_s, slide_s, key_names)
-        return (ends.groupBy("window_end", *key_names, "_bk")
-                .agg(F.sum("_n").cast("bigint").alias(name)).drop("_bk"))
+        return sweep_pane_counts(pane, size_s, slide_s, key_names, name)
     else:
         w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s
              else F.window(ts, _spec(size_s)))
@@ -161,16 +206,23 @@ def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | in
                         keys: Sequence[str], total_label: str = "total",
                         name: str = "cnt") -> DataFrame:
     """Per-key counts and the window total from one read (A-7 + A-8), the
-    result of ``GROUPING SETS ((w, *keys), (w))``.
+    result of ``GROUPING SETS ((w, *keys), (w))``.  In total rows every key
+    column holds ``total_label``.
 
-    Pane counts are shuffled once by owner bucket; the per-key sums and the
-    totals (summed from the per-key sums) both keep that partitioning, so
-    neither needs another exchange.  In total rows every key column holds
-    ``total_label``.
+    High fan-out: one pane aggregate feeds two sweeps (per key, and over
+    pane counts summed across keys).  Low fan-out: pane counts are shuffled
+    once by owner bucket; the per-key sums and the totals (summed from the
+    per-key sums) keep that partitioning, so neither needs an exchange.
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
     pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
             .agg(F.count(F.lit(1)).alias("_n")))
+    if _use_panes(size_s, slide_s, "auto"):
+        per_key = sweep_pane_counts(pane, size_s, slide_s, list(keys), name)
+        pane_total = pane.groupBy("_ps").agg(F.sum("_n").alias("_n"))
+        totals = (sweep_pane_counts(pane_total, size_s, slide_s, [], name)
+                  .select("window_end", *[F.lit(total_label).alias(k) for k in keys], name))
+        return per_key.unionByName(totals)
     exploded = spread_panes(pane, size_s, slide_s, [])
     per_key = (exploded.groupBy("window_end", *keys, "_bk")
                .agg(F.sum("_n").cast("bigint").alias(name)))
