@@ -222,3 +222,19 @@ def test_tagged_writer_splits_outcomes(spark, tmp_path):
     w(df, 0)   # a replayed batch lands in the same batch folder
     paid = spark.read.parquet(base).where("outcome = 'paid' AND _batch = 0")
     assert paid.select("order_id").distinct().count() == 2
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    ddl = "url STRING, event_time BIGINT"
+    src = str(tmp_path / "late")
+    for part in ([("a", 1000)], [("a", 5000)], [("a", 100)], [("a", 9000)]):
+        frame(spark, ddl, part).coalesce(1).write.mode("append").parquet(src)
+    st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ddl, [("a", 1)]).schema,
+                                            max_files=1), delay="60 seconds")
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    q = Wr.start(S.windowed_count_stream(st, "10 minutes", keys=["url"]), name,
+                 available_now=True)
+    q.awaitTermination(300)
+    ends = sorted(r.window_end for r in spark.sql(f"SELECT * FROM {name}").collect())
+    assert ts(600) not in ends                  # the row at 100 s came too late
+    assert Wr.dropped_late_rows(q) >= 1

@@ -99,3 +99,21 @@ def test_hot_urls_static_filter(spark):
                [("/a.css", 1), ("/a.css", 2), ("/page", 3)])
     got = {r.url for r in jobs.hot_urls(df, exclude_static=True).collect()}
     assert got == {"/page"}
+
+
+def test_windowed_agg_with_pandas_udf(spark):
+    import pandas as pd
+    from tidewatch.operators.windows import windowed_agg
+
+    @F.pandas_udf("double")
+    def spread(v: pd.Series) -> float:
+        return float(v.max() - v.min())
+
+    df = frame(spark, "k STRING, v DOUBLE, event_time BIGINT",
+               [("a", 1.0, 10), ("a", 4.0, 20), ("b", 2.0, 30), ("a", 9.0, 4000)])
+    # Spark runs grouped pandas UDFs apart from built-in aggregates
+    got = _rows(windowed_agg(df, "event_time", "1 hour", None, ["k"], spread("v").alias("spread")))
+    assert got == [(ts(0), ts(3600), "a", 3.0), (ts(0), ts(3600), "b", 0.0),
+                   (ts(3600), ts(7200), "a", 0.0)]
+    got = _rows(windowed_agg(df, "event_time", "1 hour", "30 minutes", [], F.count("*").alias("n")))
+    assert got[0] == (ts(-1800), ts(1800), 3)

@@ -229,3 +229,19 @@ def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | in
     totals = (per_key.groupBy("window_end", "_bk").agg(F.sum(name).cast("bigint").alias(name))
               .select("window_end", *[F.lit(total_label).alias(k) for k in keys], name))
     return per_key.drop("_bk").unionByName(totals)
+
+
+def windowed_agg(df: DataFrame, ts: str, size: str | int, slide: str | int | None,
+                 keys: Sequence[str | Column], *aggs: Column) -> DataFrame:
+    """X-10/X-11: any aggregates per (window, keys), built-in or a grouped
+    pandas UDF supplied by the caller -> ``window_start, window_end, *keys,
+    *aggs``.  The window bounds play the reference's window-function
+    context (``window.getEnd``)."""
+    size_s = _seconds(size)
+    slide_s = _seconds(slide) if slide is not None else None
+    w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s and slide_s != size_s
+         else F.window(ts, _spec(size_s)))
+    out = df.groupBy(w.alias("_w"), *_keys(keys)).agg(*aggs)
+    rest = [c for c in out.columns if c != "_w"]
+    return out.select(F.col("_w.start").alias("window_start"),
+                      F.col("_w.end").alias("window_end"), *rest)

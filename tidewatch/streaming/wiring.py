@@ -90,3 +90,15 @@ def latest(spark: SparkSession, base: str, keys: list[str], fmt: str = "parquet"
 
 def sub_path(base: str, *parts: str) -> str:
     return os.path.join(base, *parts)
+
+
+def dropped_late_rows(query) -> int:
+    """T-13: rows the stateful operators of a query dropped as later than
+    the watermark, summed over its recent progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else p.stateOperators:
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) \
+                else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
+    return total
