@@ -126,11 +126,14 @@ def bursts(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_s: int,
     ``gap_s`` still joins), kept when they hold at least ``min_count`` rows.
 
     Returns ``*keys, start_time, end_time, n``.  A run may span any number of
-    buckets: each row is flagged as a run start from its previous row (found
-    through the halo), the latest start before it is found inside its bucket
-    by a running maximum, and for rows whose run began in an earlier bucket
-    from a running maximum over one summary row per (key, bucket).  Runs are
-    then counted with a partial + final aggregate.
+    buckets.  Each row is flagged as a run start from its previous row (found
+    through the halo), and rows are collapsed into *segments*: the rows of
+    one bucket that follow the same start (the bucket's leading rows, whose
+    run began earlier, form its *head* segment).  Only heads need
+    information from other buckets: the latest start before their bucket, a
+    running maximum over one summary row per (key, bucket).  Segments are
+    then summed per run.  The rows are read and sorted once; everything
+    after the segments is small (bounded by runs and buckets, not rows).
     """
     ts = order[0]
     bucket_s = bucket_s or default_bucket(gap_s)
@@ -138,20 +141,33 @@ def bursts(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_s: int,
     spec = Window.partitionBy(*keys, "_b").orderBy(*_order_cols(order))
     x = x.withColumn("_prev", F.lag(ts).over(spec)).where(~F.col("_halo"))
     is_start = F.col("_prev").isNull() | (F.col(ts) > F.col("_prev") + _interval(gap_s))
-    start_key = F.when(is_start, F.struct(*[F.col(c) for c in order]))
-    running = spec.rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_local", F.max(start_key).over(running)).withColumn("_is_start", is_start)
-
-    last_in_bucket = (x.groupBy(*keys, "_b")
-                      .agg(F.max(F.when(F.col("_is_start"), F.struct(*[F.col(c) for c in order])))
-                           .alias("_last")))
+    start_at = F.when(is_start, F.col(ts))
+    x = x.withColumn("_local", F.max(start_at).over(spec.rowsBetween(Window.unboundedPreceding, 0)))
+    segs = (x.groupBy(*keys, "_b", "_local")
+            .agg(F.count(F.lit(1)).alias("n"), F.min(ts).alias("_first"), F.max(ts).alias("_last")))
+
+    heads = segs.where(F.col("_local").isNull())
+    per_bucket = (segs.groupBy(*keys, "_b")
+                  .agg(F.max("_local").alias("_last_start"),
+                       F.max(F.when(F.col("_local").isNull(), F.col("n"))).alias("_head_n")))
     before = (Window.partitionBy(*keys).orderBy("_b")
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = last_in_bucket.select(*keys, "_b", F.max("_last").over(before).alias("_carry"))
-    joined = x.join(carry, [*keys, "_b"], "left") if keys else x.join(carry, ["_b"], "left")
-    run = F.coalesce(F.col("_local"), F.col("_carry")).getField(ts)
-    return (joined.groupBy(*keys, run.alias("start_time"))
-            .agg(F.max(ts).alias("end_time"), F.count(F.lit(1)).alias("n"))
+    carried = (per_bucket.select(*keys, "_b", "_head_n",
+                                 F.max("_last_start").over(before).alias("_run"))
+               .where(F.col("_head_n").isNotNull()).drop("_head_n"))
+    # null-safe keys: no inferred IS NOT NULL filter, so every branch keeps the
+    # same plan below ``segs`` and Spark reuses its shuffle instead of
+    # reading the input again
+    c = carried.select(*[F.col(k).alias(f"_c_{k}") for k in keys], F.col("_b").alias("_c_b"), "_run")
+    cond = F.col("_b").eqNullSafe(F.col("_c_b"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_c_{k}"))
+    head_runs = heads.join(c, cond).select(*keys, "_run", "n", "_first", "_last")
+    body_runs = (segs.where(F.col("_local").isNotNull())
+                 .select(*keys, F.col("_local").alias("_run"), "n", "_first", "_last"))
+    return (body_runs.unionByName(head_runs).groupBy(*keys, "_run")
+            .agg(F.sum("n").alias("n"), F.min("_first").alias("start_time"),
+                 F.max("_last").alias("end_time"))
             .where(F.col("n") >= min_count)
             .select(*keys, "start_time", "end_time", "n"))
 

@@ -97,11 +97,13 @@ def q_ad_clicks_after_cap(spark, sf_dir):
 
 
 def q_login_fail_burst(spark, sf_dir):
-    return jobs.login_fail_burst(T.login(_events(spark, sf_dir)), gap=PATTERN_LIMIT)
+    return jobs.login_fail_burst(T.login(_events(spark, sf_dir)), gap=PATTERN_LIMIT,
+                                 fail=T.LOGIN_FAIL)
 
 
 def q_login_fail_consecutive(spark, sf_dir):
-    return jobs.login_fail_consecutive(T.login(_events(spark, sf_dir)), within=PATTERN_LIMIT)
+    return jobs.login_fail_consecutive(T.login(_events(spark, sf_dir)), within=PATTERN_LIMIT,
+                                       fail=T.LOGIN_FAIL)
 
 
 def q_order_timeout_pattern(spark, sf_dir):

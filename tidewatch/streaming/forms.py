@@ -167,11 +167,12 @@ def ad_click_cap_stream(clicks: DataFrame, n: int = 100) -> DataFrame:
                       F.col("tb"), "province", "outcome")
 
 
-def login_fail_consecutive_stream(logins: DataFrame, within: str | int = 2) -> DataFrame:
+def login_fail_consecutive_stream(logins: DataFrame, within: str | int = 2,
+                                  fail: str = "fail") -> DataFrame:
     """Q11 stream: ``user_id, start_time, end_time``."""
     w = _seconds(within) * 1000
-    out = P.run_ordered(logins, ["user_id"], P.ConsecutiveFailures(within_ms=w), _order(logins),
-                        kind="event_type")
+    out = P.run_ordered(logins, ["user_id"], P.ConsecutiveFailures(within_ms=w, fail=fail),
+                        _order(logins), kind="event_type")
     return out.select("user_id", P.ms_to_ts("start_ms").alias("start_time"),
                       P.ms_to_ts("end_ms").alias("end_time"))
 

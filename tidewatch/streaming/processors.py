@@ -96,7 +96,8 @@ class ConsecutiveFailures(OrderedProcessor):
     def step(self, key, st, row):
         out = []
         prev_ms, _, prev_kind = st
-        if prev_kind == "fail" and row.kind == "fail" and row.ts_ms - prev_ms < self.params["within_ms"]:
+        fail = self.params.get("fail", "fail")
+        if prev_kind == fail and row.kind == fail and row.ts_ms - prev_ms < self.params["within_ms"]:
             out.append(Row(user_id=key[0], start_ms=prev_ms, end_ms=row.ts_ms))
         st[0], st[2] = row.ts_ms, row.kind
         return out
