@@ -12,7 +12,10 @@ buckets, and every frame is a running one (linear, spill-able sorts).
 
 The halo is produced with ``explode`` on a one- or two-element array, so
 the input is scanned once; at most ``within / bucket`` of the rows are
-copied (25 % with the default bucket of four limits, one hour at least).
+copied (25 % with the default bucket of four limits).  Buckets are at least
+a minute for pairs (so a key's burst of activity still spreads over many
+tasks) and an hour for bursts (which also keep one summary row per key and
+bucket).
 
 ``order`` is the event-time column followed by tie-break columns: rows with
 equal event time are taken in tie-break order, so results never depend on
@@ -25,11 +28,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MIN_BUCKET_SECONDS = 3600
+MIN_BUCKET_SECONDS = 60
+MIN_RUN_BUCKET_SECONDS = 3600
 
 
-def default_bucket(limit_seconds: int) -> int:
-    return max(4 * limit_seconds, MIN_BUCKET_SECONDS)
+def default_bucket(limit_seconds: int, floor: int = MIN_BUCKET_SECONDS) -> int:
+    return max(4 * limit_seconds, floor)
 
 
 def _interval(seconds: int) -> Column:
@@ -136,7 +140,7 @@ def bursts(df: DataFrame, keys: Sequence[str], order: Sequence[str], gap_s: int,
     after the segments is small (bounded by runs and buckets, not rows).
     """
     ts = order[0]
-    bucket_s = bucket_s or default_bucket(gap_s)
+    bucket_s = bucket_s or default_bucket(gap_s, MIN_RUN_BUCKET_SECONDS)
     x = _with_halo(df.select(*keys, *order), ts, bucket_s, gap_s, ahead=False)
     spec = Window.partitionBy(*keys, "_b").orderBy(*_order_cols(order))
     x = x.withColumn("_prev", F.lag(ts).over(spec)).where(~F.col("_halo"))
