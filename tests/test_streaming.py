@@ -238,3 +238,19 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     ends = sorted(r.window_end for r in spark.sql(f"SELECT * FROM {name}").collect())
     assert ts(600) not in ends                  # the row at 100 s came too late
     assert Wr.dropped_late_rows(q) >= 1
+
+
+def test_clicks_after_cap_stream(spark, tmp_path):
+    day = 86400 * 10
+    rows = [(7, "a", "bj", day + i, i) for i in range(6)] + [(8, "b", "sh", day + 3, 60),
+                                                            (7, "a", "bj", day + 7300, 61)]
+    ddl = "user_id BIGINT, ad_id STRING, province STRING, event_time BIGINT, seq BIGINT"
+    df = frame(spark, ddl, rows)
+    # two sentinels: the later one releases the earlier from the processor,
+    # whose event time then closes the downstream windows
+    s = frame(spark, ddl, rows + [(99, "z", "x", FAR, 99), (98, "z", "x", FAR + 7200, 98)])
+    cols = ["window_end", "province", "cnt"]
+    b = _bag(jobs.ad_clicks_after_cap(df, n=3, slide="30 minutes"), cols)
+    got = _bag(_run(S.ad_clicks_after_cap_stream(Wr.event_time(_files(spark, s, tmp_path)), n=3,
+                                                 slide="30 minutes")), cols)
+    assert [r for r in got if r[0] < ts(FAR)] == b

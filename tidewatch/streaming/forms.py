@@ -163,8 +163,16 @@ def ad_click_cap_stream(clicks: DataFrame, n: int = 100) -> DataFrame:
     """Q9 stream: ``user_id, ad_id, event_time, province, outcome``."""
     out = P.run_ordered(clicks, ["user_id", "ad_id"], P.ClickCap(n=n), _order(clicks),
                         kind=F.lit("click"), tag="province")
-    return out.select("user_id", "ad_id", P.ms_to_ts("ts_ms").alias("event_time"),
-                      F.col("tb"), "province", "outcome")
+    return out.select("user_id", "ad_id", "event_time", F.col("tb"), "province", "outcome")
+
+
+def ad_clicks_after_cap_stream(clicks: DataFrame, n: int = 100, size: str = "1 hour",
+                               slide: str = "5 seconds") -> DataFrame:
+    """Q9 main output as one query: the cap processor, then the windowed
+    province counts over passed clicks (event time carried through the
+    processor, so the second stateful step closes windows by watermark)."""
+    passed = ad_click_cap_stream(clicks, n).where(F.col("outcome") == "pass")
+    return windowed_count_stream(passed, size, slide, keys=["province"])
 
 
 def login_fail_consecutive_stream(logins: DataFrame, within: str | int = 2,

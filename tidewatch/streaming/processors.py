@@ -114,9 +114,17 @@ class ConsecutiveFailures(OrderedProcessor):
 class ClickCap(OrderedProcessor):
     """Q9: first ``n`` clicks of a key per UTC day pass, the next one warns,
     the rest are dropped.  State: day and count; cleared at midnight (T-5,
-    on event time)."""
+    on event time).  Rows keep their event time (``event_time``), so a
+    windowed count can follow in the same query."""
 
-    OUTPUT = "user_id BIGINT, ad_id STRING, ts_ms BIGINT, tb BIGINT, province STRING, outcome STRING"
+    OUTPUT = ("user_id BIGINT, ad_id STRING, ts_ms BIGINT, tb BIGINT, province STRING, "
+              "outcome STRING, event_time TIMESTAMP")
+    EVENT_TIME = "event_time"
+
+    def _out(self, key, row, outcome):
+        return Row(user_id=key[0], ad_id=str(key[1]), ts_ms=row.ts_ms, tb=row.tb,
+                   province=row.tag, outcome=outcome,
+                   event_time=datetime.fromtimestamp(row.ts_ms / 1000, tz=timezone.utc))
 
     def step(self, key, st, row):
         day = _day(row.ts_ms)
@@ -125,11 +133,9 @@ class ClickCap(OrderedProcessor):
         st[1] += 1
         n = self.params["n"]
         if st[1] <= n:
-            return [Row(user_id=key[0], ad_id=str(key[1]), ts_ms=row.ts_ms, tb=row.tb,
-                        province=row.tag, outcome="pass")]
+            return [self._out(key, row, "pass")]
         if st[1] == n + 1:
-            return [Row(user_id=key[0], ad_id=str(key[1]), ts_ms=row.ts_ms, tb=row.tb,
-                        province=row.tag, outcome="warn")]
+            return [self._out(key, row, "warn")]
         return []
 
     def on_watermark(self, key, st, wm):
@@ -227,10 +233,13 @@ def run_ordered(df: DataFrame, keys: list[str], processor: OrderedProcessor,
         (F.col(kind) if isinstance(kind, str) else kind).cast("string").alias("kind"),
         (F.col(tag) if isinstance(tag, str) else (tag if tag is not None else F.lit(None)))
         .cast("string").alias("tag"))
+    extra = {}
+    if getattr(processor, "EVENT_TIME", None):
+        extra["eventTimeColumnName"] = processor.EVENT_TIME
     return (prepared.groupBy(*keys)
             .transformWithState(statefulProcessor=processor,
                                 outputStructType=processor.OUTPUT,
-                                outputMode="Append", timeMode="EventTime"))
+                                outputMode="Append", timeMode="EventTime", **extra))
 
 
 def ms_to_ts(col: str) -> Column:
