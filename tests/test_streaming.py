@@ -254,3 +254,17 @@ def test_clicks_after_cap_stream(spark, tmp_path):
     got = _bag(_run(S.ad_clicks_after_cap_stream(Wr.event_time(_files(spark, s, tmp_path)), n=3,
                                                  slide="30 minutes")), cols)
     assert [r for r in got if r[0] < ts(FAR)] == b
+
+
+def test_text_line_stream_decoded(spark, tmp_path):
+    from tidewatch.sources.decode import decode_login
+    from tidewatch.sources.text import read_lines
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.csv").write_text("1035,1.1.1.1,fail,1558430842\n1035,1.1.1.1,fail,1558430843\n")
+    (src / "b.csv").write_text("1035,1.1.1.1,fail,1558430844\n9,1.1.1.1,fail,1600000000\n")
+    logins = Wr.event_time(decode_login(read_lines(spark, str(src), stream=True,
+                                                   max_files_per_trigger=1)),
+                           delay="3 seconds")
+    got = _bag(_run(S.login_fail_consecutive_stream(logins)), ["user_id", "start_time", "end_time"])
+    assert got == [(1035, ts(1558430842), ts(1558430843)), (1035, ts(1558430843), ts(1558430844))]

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidewatch.operators.windows import windowed_count, windowed_count_sets, windowed_distinct
@@ -117,3 +119,27 @@ def test_windowed_agg_with_pandas_udf(spark):
                    (ts(3600), ts(7200), "a", 0.0)]
     got = _rows(windowed_agg(df, "event_time", "1 hour", "30 minutes", [], F.count("*").alias("n")))
     assert got[0] == (ts(-1800), ts(1800), 3)
+
+
+@pytest.mark.parametrize("size,slide,span", [(3600, 300, 3 * 86400), (600, 5, 20000),
+                                             (2 * 86400, 3600, 6 * 86400), (120, 60, 5000)])
+def test_pane_sweep_matches_brute_force_for_shapes(spark, size, slide, span):
+    import random
+    rnd = random.Random(size + slide)
+    rows = [(rnd.choice("abc"), 1, rnd.randrange(0, span)) for _ in range(250)]
+    rows += [("a", 1, 86400 - 1), ("a", 1, 86400)]          # around a day edge
+    df = frame(spark, DDL, rows)
+    expect = {}
+    for k, _, t in rows:
+        first_end = (t // slide + 1) * slide
+        for e in range(first_end, first_end + size, slide):
+            expect[(ts(e), k)] = expect.get((ts(e), k), 0) + 1
+    got = {(r.window_end, r.k): r.cnt for r in
+           windowed_count(df, "event_time", size, slide, keys=["k"], panes=True).collect()}
+    assert got == expect
+    totals = {}
+    for (e, _), c in expect.items():
+        totals[e] = totals.get(e, 0) + c
+    got = {r.window_end: r.cnt for r in
+           windowed_count(df, "event_time", size, slide, panes=True).collect()}
+    assert got == totals
