@@ -210,25 +210,29 @@ def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | in
     column holds ``total_label``.
 
     High fan-out: one pane aggregate feeds two sweeps (per key, and over
-    pane counts summed across keys).  Low fan-out: pane counts are shuffled
-    once by owner bucket; the per-key sums and the totals (summed from the
-    per-key sums) keep that partitioning, so neither needs an exchange.
+    pane counts summed across keys).  Low fan-out: ``window()`` and
+    ``GROUPING SETS`` in one aggregate; the partial aggregate collapses the
+    expanded rows map-side, so what is shuffled is already per (window,
+    keys) of each task.
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
-    pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
-            .agg(F.count(F.lit(1)).alias("_n")))
     if _use_panes(size_s, slide_s, "auto"):
+        pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
+                .agg(F.count(F.lit(1)).alias("_n")))
         per_key = sweep_pane_counts(pane, size_s, slide_s, list(keys), name)
         pane_total = pane.groupBy("_ps").agg(F.sum("_n").alias("_n"))
         totals = (sweep_pane_counts(pane_total, size_s, slide_s, [], name)
                   .select("window_end", *[F.lit(total_label).alias(k) for k in keys], name))
         return per_key.unionByName(totals)
-    exploded = spread_panes(pane, size_s, slide_s, [])
-    per_key = (exploded.groupBy("window_end", *keys, "_bk")
-               .agg(F.sum("_n").cast("bigint").alias(name)))
-    totals = (per_key.groupBy("window_end", "_bk").agg(F.sum(name).cast("bigint").alias(name))
-              .select("window_end", *[F.lit(total_label).alias(k) for k in keys], name))
-    return per_key.drop("_bk").unionByName(totals)
+    w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s != size_s
+         else F.window(ts, _spec(size_s)))
+    total = (1 << len(keys)) - 1
+    agg = (df.select(w.getField("end").alias("window_end"), *keys)
+           .groupingSets([["window_end", *keys], ["window_end"]], "window_end", *keys)
+           .agg(F.count(F.lit(1)).alias(name), F.grouping_id().alias("_g")))
+    cols = [F.when(F.col("_g") == total, F.lit(total_label)).otherwise(F.col(k)).alias(k)
+            for k in keys]
+    return agg.select("window_end", *cols, name)
 
 
 def windowed_agg(df: DataFrame, ts: str, size: str | int, slide: str | int | None,
