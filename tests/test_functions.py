@@ -27,3 +27,19 @@ def test_bitmap_offset_long_ids_match_wrapping_arithmetic(spark):
 def test_next_utc_midnight(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1, 23, 59, 59),)], "t TIMESTAMP")
     assert df.select(next_utc_midnight("t").alias("m")).first().m == datetime(2024, 1, 2)
+
+
+def test_utc_day_ignores_session_zone(spark):
+    from tidewatch.functions import utc_day
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(1700000000 - 3600,)], "s BIGINT").select(
+            F.timestamp_seconds("s").alias("t"))   # 2023-11-14 21:13 UTC, 13:13 in LA
+        got = df.select(utc_day("t", ntz=False).alias("d"), F.to_date("t").alias("local")).first()
+        assert str(got.d) == "2023-11-14"
+        df2 = spark.createDataFrame([(1700000000 + 3 * 3600,)], "s BIGINT").select(
+            F.timestamp_seconds("s").alias("t"))   # 2023-11-15 01:53 UTC, still the 14th in LA
+        got = df2.select(utc_day("t", ntz=False).alias("d"), F.to_date("t").alias("local")).first()
+        assert str(got.d) == "2023-11-15" and str(got.local) == "2023-11-14"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

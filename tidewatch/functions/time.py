@@ -28,9 +28,15 @@ def parse_access_time(day_time: Column | str, offset: Column | str) -> Column:
                           ACCESS_LOG_TIME_FORMAT)
 
 
-def utc_day(ts: Column | str) -> Column:
-    """Calendar day of an event time (session zone UTC, or NTZ as stored)."""
-    return F.to_date(_c(ts))
+def utc_day(ts: Column | str, ntz: bool = True) -> Column:
+    """UTC calendar day of an event time, whatever the session zone.
+
+    ``TIMESTAMP_NTZ`` (``ntz=True``) is a UTC wall clock: its date as
+    stored.  ``TIMESTAMP`` is an instant: its day number since the epoch
+    (``to_date`` would use the session zone)."""
+    if ntz:
+        return F.to_date(_c(ts))
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / 86400).cast("int"))
 
 
 def next_utc_midnight(ts: Column | str) -> Column:

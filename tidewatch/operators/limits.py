@@ -23,7 +23,7 @@ def cap_per_key(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str]
     ts = order[0]
     part = [*keys]
     if daily:
-        df = df.withColumn(day_col, utc_day(ts))
+        df = df.withColumn(day_col, utc_day(ts, ntz=dict(df.dtypes)[ts] == "timestamp_ntz"))
         part.append(day_col)
     spec = Window.partitionBy(*part).orderBy(*[F.col(c) for c in order])
     out = df.withColumn("_rn", F.row_number().over(spec)).where(F.col("_rn") <= n + 1)
