@@ -83,3 +83,54 @@ def test_click_cap(spark):
     after = {(r.window_end, r.province): r.cnt for r in
              jobs.ad_clicks_after_cap(df, n=3, slide="1 hour").collect()}
     assert after[(ts(day + 3600), "beijing")] == 3
+
+
+def _py_outcomes(rows, limit):
+    first = {}
+    for oid, kind, _, t, seq in sorted(rows, key=lambda r: (r[3], r[4])):
+        first.setdefault((oid, kind), t)
+    out = {}
+    for oid in {r[0] for r in rows}:
+        c, p = first.get((oid, "create")), first.get((oid, "pay"))
+        if c is not None and p is not None:
+            out[oid] = "paid" if 0 <= p - c < limit else "paid_late"
+        else:
+            out[oid] = "unpaid" if c is not None else "pay_without_create"
+    return out
+
+
+def _py_reconcile(pays, recs, tol):
+    p, r = {}, {}
+    for oid, kind, tx, t, seq in sorted(pays, key=lambda x: (x[3], x[4])):
+        if kind == "pay" and tx:
+            p.setdefault(tx, t)
+    for tx, _, t, seq in sorted(recs, key=lambda x: (x[2], x[3])):
+        r.setdefault(tx, t)
+    out = []
+    for tx in set(p) | set(r):
+        if tx in p and tx in r and abs(p[tx] - r[tx]) <= tol:
+            out.append((tx, "matched"))
+        else:
+            if tx in p:
+                out.append((tx, "order_only"))
+            if tx in r:
+                out.append((tx, "receipt_only"))
+    return sorted(out)
+
+
+def test_outcomes_and_reconcile_random_against_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    rows = []
+    for i in range(400):
+        oid = rnd.randrange(60)
+        kind = rnd.choice(["create", "pay"])
+        rows.append((oid, kind, f"t{rnd.randrange(40)}" if kind == "pay" else "",
+                     rnd.randrange(0, 3000), i))
+    recs = [(f"t{rnd.randrange(50)}", "wechat", rnd.randrange(0, 3000), i) for i in range(120)]
+    df = frame(spark, ORDER, rows)
+    got = _outcomes(jobs.order_outcomes(df, limit=LIMIT))
+    assert got == _py_outcomes(rows, LIMIT)
+    r = frame(spark, RECEIPT, recs)
+    got = sorted((x.tx_id, x.outcome) for x in jobs.tx_reconcile(df, r, tolerance=60).collect())
+    assert got == _py_reconcile(rows, recs, 60)
