@@ -268,3 +268,17 @@ def test_text_line_stream_decoded(spark, tmp_path):
                            delay="3 seconds")
     got = _bag(_run(S.login_fail_consecutive_stream(logins)), ["user_id", "start_time", "end_time"])
     assert got == [(1035, ts(1558430842), ts(1558430843)), (1035, ts(1558430843), ts(1558430844))]
+
+
+def test_pay_after_unpaid_deadline_stream(spark, tmp_path):
+    rows = [(1, "create", "", 1000, 0), (2, "create", "", 1000, 1)]
+    later = [(1, "pay", "t1", 5000, 2)]                       # long after the 900 s deadline
+    ddl_rows = rows + later + [(99, "create", "", FAR, 99)]
+    src = str(tmp_path / "late-pay")
+    for part in (rows, later, [(99, "create", "", FAR, 99)]):
+        frame(spark, ORDER, part).coalesce(1).write.mode("append").parquet(src)
+    st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ORDER, ddl_rows).schema,
+                                            max_files=1))
+    got = _bag(_run(S.order_outcomes_stream(st, limit=900)), ["order_id", "outcome"])
+    assert [r for r in got if r[0] != 99] == [(1, "pay_without_create"), (1, "unpaid"),
+                                              (2, "unpaid")]

@@ -196,9 +196,12 @@ def order_timeout_pattern_stream(orders: DataFrame, within: str | int = "9 minut
 
 
 def order_outcomes_stream(orders: DataFrame, limit: str | int = "15 minutes") -> DataFrame:
-    """Q13 stream: ``order_id, create_time, pay_time, outcome``.  A pay later
-    than the deadline of a create-only order is not revisited (the batch
-    form calls it ``paid_late``; SURVEY §2.11 row 8)."""
+    """Q13 stream: ``order_id, create_time, pay_time, outcome``.  Deadlines
+    and rows interleave in event time.  A create-only order is ``unpaid`` at
+    its deadline, and a pay after that deadline is ``pay_without_create``
+    (the batch form, seeing the whole key, calls that pair ``paid_late``;
+    SURVEY §2.11 row 8).  A pay at exactly the limit is ``paid_late`` in
+    both forms."""
     w = _seconds(limit) * 1000
     out = P.run_ordered(orders, ["order_id"], P.OrderOutcome(limit_ms=w), _order(orders),
                         kind="event_type")

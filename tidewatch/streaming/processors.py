@@ -50,6 +50,11 @@ class OrderedProcessor(StatefulProcessor):
         """Called after the ready rows; emit time-outs, request timers."""
         return []
 
+    def before(self, key: tuple, st: list, ts_ms: int) -> list[Row]:
+        """Called before each ready row: expire what ended strictly earlier,
+        so time-outs and rows interleave in event time, not by batch."""
+        return []
+
     # -- engine -------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r.ts_ms, r.tb, r.kind, r.tag) for r in rows]
@@ -71,6 +76,7 @@ class OrderedProcessor(StatefulProcessor):
         st = list(self.state.get()) if self.state.exists() else [None, None, None]
         out: list[Row] = []
         for r in ready:
+            out.extend(self.before(key, st, r[0]))
             out.extend(self.step(key, st, Row(ts_ms=r[0], tb=r[1], kind=r[2], tag=r[3])))
         out.extend(self.on_watermark(key, st, wm))
         if st == [None, None, None]:
@@ -189,13 +195,22 @@ class OrderOutcome(OrderedProcessor):
     """Q13: first create and first pay of an order in either order.  Both
     seen -> ``paid`` / ``paid_late``; the deadline (``limit_ms`` after the
     first of them) passes with one side only -> ``unpaid`` or
-    ``pay_without_create``.  State: create time, pay time, done flag."""
+    ``pay_without_create``.  A pay arriving after its order was reported
+    ``unpaid`` is reported ``pay_without_create`` (SURVEY §2.11 row 8; the
+    batch form, which sees the whole key, calls that pair ``paid_late``).
+    State: create time, pay time, phase (None, ``unpaid`` or ``done``)."""
 
     OUTPUT = "order_id BIGINT, create_ms BIGINT, pay_ms BIGINT, outcome STRING"
 
     def step(self, key, st, row):
         if st[2] == "done":
             return []
+        if st[2] == "unpaid":
+            if row.kind == "pay":
+                st[2] = "done"
+                return [Row(order_id=key[0], create_ms=None, pay_ms=row.ts_ms,
+                            outcome="pay_without_create")]
+            return []
         if row.kind == "create" and st[0] is None:
             st[0] = row.ts_ms
         elif row.kind == "pay" and st[1] is None:
@@ -207,15 +222,25 @@ class OrderOutcome(OrderedProcessor):
             return [Row(order_id=key[0], create_ms=st[0], pay_ms=st[1], outcome=outcome)]
         return []
 
+    def before(self, key, st, ts_ms):
+        if st[2] is None and (st[0] is not None or st[1] is not None):
+            first = st[0] if st[0] is not None else st[1]
+            if first + self.params["limit_ms"] < ts_ms:
+                return self.on_watermark(key, st, ts_ms - 1)
+        return []
+
     def on_watermark(self, key, st, wm):
-        if st[2] == "done" or (st[0] is None and st[1] is None):
+        if st[2] is not None or (st[0] is None and st[1] is None):
             return []
         first = st[0] if st[0] is not None else st[1]
         deadline = first + self.params["limit_ms"]
         if deadline <= wm:
+            if st[0] is not None:
+                st[2] = "unpaid"
+                return [Row(order_id=key[0], create_ms=st[0], pay_ms=None, outcome="unpaid")]
             st[2] = "done"
-            outcome = "unpaid" if st[0] is not None else "pay_without_create"
-            return [Row(order_id=key[0], create_ms=st[0], pay_ms=st[1], outcome=outcome)]
+            return [Row(order_id=key[0], create_ms=None, pay_ms=st[1],
+                        outcome="pay_without_create")]
         self.handle.registerTimer(deadline)
         return []
 
