@@ -52,13 +52,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names storage every executor reaches; it is a
-    static setting, read here and never changed.  Only where it is unset
-    (local tests) is a folder under the system temp directory used.
+    static setting, read here and never changed.  Only in local mode, where
+    it is unset (tests), is a folder under the system temp directory used;
+    a cluster without it is an error rather than a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         global _LOCAL_ROOT
         if _LOCAL_ROOT is None:
             import tempfile
