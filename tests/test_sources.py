@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidewatch.sources import decode as D
 from tidewatch.sources.text import read_records

@@ -9,7 +9,6 @@ watermark past every real row so all windows and timers close.
 import random
 import uuid
 
-import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.plans import jobs

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators.windows import windowed_count, windowed_count_sets, windowed_distinct
+from tidewatch.operators.windows import windowed_count, windowed_count_sets
 from tidewatch.operators.ranking import top_n_per_window, window_report
 from tidewatch.plans import jobs
 from tidewatch.sources import tables as T
