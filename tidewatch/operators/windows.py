@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewatch.functions.hashing import bitmap_offset
 
-# Above this many windows per row the pane path is taken by default.
-PANE_FANOUT = 60
+# From this many windows per row on, the pane sweep is taken by default: it
+# shuffles pane counts twice, where ``window()`` shuffles up to ``size/slide``
+# partial counts per pane.  Below it the extra sort does not pay.
+PANE_FANOUT = 10
 
 
 def _seconds(spec: str | int) -> int:
