@@ -281,3 +281,29 @@ def test_pay_after_unpaid_deadline_stream(spark, tmp_path):
     got = _bag(_run(S.order_outcomes_stream(st, limit=900)), ["order_id", "outcome"])
     assert [r for r in got if r[0] != 99] == [(1, "pay_without_create"), (1, "unpaid"),
                                               (2, "unpaid")]
+
+
+def test_processors_match_batch_on_event_table(spark, tmp_path):
+    """Microsecond event times, many keys, rows shuffled inside each file."""
+    ev = T.table(spark, SF_SMALL, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    sent = (spark.createDataFrame(
+        [(10 ** 8, FAR, 0, "error", 0.0, "{}"), (10 ** 8 + 1, FAR + 86400, 0, "signup", 0.0, "{}"),
+         (10 ** 8 + 2, FAR + 2 * 86400, 0, "purchase", 0.0, "{}")],
+        "event_id BIGINT, ts BIGINT, user_id BIGINT, event_type STRING, value DOUBLE, props STRING")
+        .withColumn("ts", F.timestamp_seconds("ts")))
+    src = _files(spark, ev.unionByName(sent).withColumnRenamed("ts", "event_time"), tmp_path, n=5)
+
+    def stream():
+        return src.withColumnRenamed("event_time", "ts")
+
+    far = ts(FAR)
+    cols = ["user_id", "start_time", "end_time"]
+    b = _bag(jobs.login_fail_consecutive(T.login(ev), within="6 hours", fail="error"), cols)
+    s = _bag(_run(S.login_fail_consecutive_stream(Wr.event_time(T.login(stream())),
+                                                  within="6 hours", fail="error")), cols)
+    assert [r for r in s if r[1] < far] == b
+    cols = ["order_id", "create_time", "pay_time", "outcome"]
+    b = _bag(jobs.order_timeout_pattern(T.order_events(ev), within="6 hours"), cols)
+    s = _bag(_run(S.order_timeout_pattern_stream(Wr.event_time(T.order_events(stream())),
+                                                 within="6 hours")), cols)
+    assert [r for r in s if r[1] < far] == b

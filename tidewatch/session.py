@@ -77,3 +77,4 @@ _LOCAL_ROOT: str | None = None
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
     """Checkpoint location for one streaming query, under the shared root."""
     return os.path.join(checkpoint_root(spark), "streams", name)
+

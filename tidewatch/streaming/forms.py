@@ -182,21 +182,21 @@ def ad_clicks_after_cap_stream(clicks: DataFrame, n: int = 100, size: str = "1 h
 def login_fail_consecutive_stream(logins: DataFrame, within: str | int = 2,
                                   fail: str = "fail") -> DataFrame:
     """Q11 stream: ``user_id, start_time, end_time``."""
-    w = _seconds(within) * 1000
-    out = P.run_ordered(logins, ["user_id"], P.ConsecutiveFailures(within_ms=w, fail=fail),
+    w = _seconds(within) * 1_000_000
+    out = P.run_ordered(logins, ["user_id"], P.ConsecutiveFailures(within_us=w, fail=fail),
                         _order(logins), kind="event_type")
-    return out.select("user_id", P.ms_to_ts("start_ms").alias("start_time"),
-                      P.ms_to_ts("end_ms").alias("end_time"))
+    return out.select("user_id", P.us_to_ts("start_us").alias("start_time"),
+                      P.us_to_ts("end_us").alias("end_time"))
 
 
 def order_timeout_pattern_stream(orders: DataFrame, within: str | int = "9 minutes"
                                  ) -> DataFrame:
     """Q12 stream: ``order_id, create_time, pay_time, outcome``."""
-    w = _seconds(within) * 1000
-    out = P.run_ordered(orders, ["order_id"], P.CreateThenPay(within_ms=w), _order(orders),
+    w = _seconds(within) * 1_000_000
+    out = P.run_ordered(orders, ["order_id"], P.CreateThenPay(within_us=w), _order(orders),
                         kind="event_type", tag="tx_id")
-    return out.select("order_id", P.ms_to_ts("create_ms").alias("create_time"),
-                      P.ms_to_ts("pay_ms").alias("pay_time"), "outcome")
+    return out.select("order_id", P.us_to_ts("create_us").alias("create_time"),
+                      P.us_to_ts("pay_us").alias("pay_time"), "outcome")
 
 
 def order_outcomes_stream(orders: DataFrame, limit: str | int = "15 minutes") -> DataFrame:
@@ -206,8 +206,8 @@ def order_outcomes_stream(orders: DataFrame, limit: str | int = "15 minutes") ->
     (the batch form, seeing the whole key, calls that pair ``paid_late``;
     SURVEY §2.11 row 8).  A pay at exactly the limit is ``paid_late`` in
     both forms."""
-    w = _seconds(limit) * 1000
-    out = P.run_ordered(orders, ["order_id"], P.OrderOutcome(limit_ms=w), _order(orders),
+    w = _seconds(limit) * 1_000_000
+    out = P.run_ordered(orders, ["order_id"], P.OrderOutcome(limit_us=w), _order(orders),
                         kind="event_type")
-    return out.select("order_id", P.ms_to_ts("create_ms").alias("create_time"),
-                      P.ms_to_ts("pay_ms").alias("pay_time"), "outcome")
+    return out.select("order_id", P.us_to_ts("create_us").alias("create_time"),
+                      P.us_to_ts("pay_us").alias("pay_time"), "outcome")

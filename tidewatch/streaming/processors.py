@@ -7,9 +7,11 @@ still arrive: later ones are dropped as late) the ready rows are taken in
 (event time, tie-break) order and stepped through a small per-key state.
 The stream result thus does not depend on how rows were split into batches.
 
-Input rows must carry ``ts_ms`` (event time in ms) and ``tb`` (tie-break);
-``kind`` and ``tag`` carry the job's own fields.  Use ``run_ordered`` to
-attach them and to start the processor.
+Input rows carry ``ts_us`` (event time in microseconds, the precision of a
+Spark timestamp) and ``tb`` (tie-break); ``kind`` and ``tag`` carry the
+job's own fields.  Timers and the watermark are in milliseconds: a row is
+ready once the watermark has reached it.  Use ``run_ordered`` to attach the
+columns and to start the processor.
 """
 
 from __future__ import annotations
@@ -23,9 +25,17 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewatch.streaming.wiring import use_rocksdb
 
-BUFFER = StructType([StructField("ts_ms", LongType()), StructField("tb", LongType()),
+# Processors are sent to Python workers by value: the stream's workers (on
+# the driver and on executors) then need no copy of this package installed.
+import sys as _sys  # noqa: E402
+
+from pyspark import cloudpickle as _cloudpickle  # noqa: E402
+
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
+BUFFER = StructType([StructField("ts_us", LongType()), StructField("tb", LongType()),
                      StructField("kind", StringType()), StructField("tag", StringType())])
-DAY_MS = 86_400_000
+DAY_US = 86_400_000_000
 
 
 class OrderedProcessor(StatefulProcessor):
@@ -50,34 +60,39 @@ class OrderedProcessor(StatefulProcessor):
         """Called after the ready rows; emit time-outs, request timers."""
         return []
 
-    def before(self, key: tuple, st: list, ts_ms: int) -> list[Row]:
+    def before(self, key: tuple, st: list, ts_us: int) -> list[Row]:
         """Called before each ready row: expire what ended strictly earlier,
         so time-outs and rows interleave in event time, not by batch."""
         return []
 
     # -- engine -------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [(r.ts_ms, r.tb, r.kind, r.tag) for r in rows]
+        new = [(r.ts_us, r.tb, r.kind, r.tag) for r in rows]
         if new:
             self.buf.appendList(new)
-            self.handle.registerTimer(min(t for t, *_ in new))
+            self.timer_at(min(t for t, *_ in new))
         return iter([])
 
+    def timer_at(self, ts_us: int) -> None:
+        """Fire once the watermark (ms) has reached ``ts_us``."""
+        self.handle.registerTimer(-(-ts_us // 1000))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        wm = max(timerValues.getCurrentWatermarkInMs(),
+                 expiredTimerInfo.getExpiryTimeInMs()) * 1000
         rows = list(self.buf.get()) if self.buf.exists() else []
         ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
         rest = [r for r in rows if r[0] > wm]
         if rest:
             self.buf.put(rest)
-            self.handle.registerTimer(min(r[0] for r in rest))
+            self.timer_at(min(r[0] for r in rest))
         elif rows:
             self.buf.clear()
         st = list(self.state.get()) if self.state.exists() else [None, None, None]
         out: list[Row] = []
         for r in ready:
             out.extend(self.before(key, st, r[0]))
-            out.extend(self.step(key, st, Row(ts_ms=r[0], tb=r[1], kind=r[2], tag=r[3])))
+            out.extend(self.step(key, st, Row(ts_us=r[0], tb=r[1], kind=r[2], tag=r[3])))
         out.extend(self.on_watermark(key, st, wm))
         if st == [None, None, None]:
             self.state.clear()
@@ -89,31 +104,31 @@ class OrderedProcessor(StatefulProcessor):
         pass
 
 
-def _day(ms: int) -> int:
-    return ms // DAY_MS
+def _day(us: int) -> int:
+    return us // DAY_US
 
 
 class ConsecutiveFailures(OrderedProcessor):
     """Q11: a failure whose next event of the key is a failure less than
-    ``within_ms`` later.  State: previous event time and kind."""
+    ``within_us`` later.  State: previous event time and kind."""
 
-    OUTPUT = "user_id BIGINT, start_ms BIGINT, end_ms BIGINT"
+    OUTPUT = "user_id BIGINT, start_us BIGINT, end_us BIGINT"
 
     def step(self, key, st, row):
         out = []
-        prev_ms, _, prev_kind = st
+        prev_us, _, prev_kind = st
         fail = self.params.get("fail", "fail")
-        if prev_kind == fail and row.kind == fail and row.ts_ms - prev_ms < self.params["within_ms"]:
-            out.append(Row(user_id=key[0], start_ms=prev_ms, end_ms=row.ts_ms))
-        st[0], st[2] = row.ts_ms, row.kind
+        if prev_kind == fail and row.kind == fail and row.ts_us - prev_us < self.params["within_us"]:
+            out.append(Row(user_id=key[0], start_us=prev_us, end_us=row.ts_us))
+        st[0], st[2] = row.ts_us, row.kind
         return out
 
     def on_watermark(self, key, st, wm):
         # the last event can no longer start a pair once the limit has passed
-        if st[0] is not None and st[0] + self.params["within_ms"] <= wm:
+        if st[0] is not None and st[0] + self.params["within_us"] <= wm:
             st[0] = st[1] = st[2] = None
         elif st[0] is not None:
-            self.handle.registerTimer(st[0] + self.params["within_ms"])
+            self.timer_at(st[0] + self.params["within_us"])
         return []
 
 
@@ -123,17 +138,18 @@ class ClickCap(OrderedProcessor):
     on event time).  Rows keep their event time (``event_time``), so a
     windowed count can follow in the same query."""
 
-    OUTPUT = ("user_id BIGINT, ad_id STRING, ts_ms BIGINT, tb BIGINT, province STRING, "
+    OUTPUT = ("user_id BIGINT, ad_id STRING, ts_us BIGINT, tb BIGINT, province STRING, "
               "outcome STRING, event_time TIMESTAMP")
     EVENT_TIME = "event_time"
 
     def _out(self, key, row, outcome):
-        return Row(user_id=key[0], ad_id=str(key[1]), ts_ms=row.ts_ms, tb=row.tb,
+        return Row(user_id=key[0], ad_id=str(key[1]), ts_us=row.ts_us, tb=row.tb,
                    province=row.tag, outcome=outcome,
-                   event_time=datetime.fromtimestamp(row.ts_ms / 1000, tz=timezone.utc))
+                   event_time=datetime.fromtimestamp(row.ts_us // 1_000_000, tz=timezone.utc)
+                   .replace(microsecond=row.ts_us % 1_000_000))
 
     def step(self, key, st, row):
-        day = _day(row.ts_ms)
+        day = _day(row.ts_us)
         if st[0] != day:
             st[0], st[1] = day, 0
         st[1] += 1
@@ -146,61 +162,61 @@ class ClickCap(OrderedProcessor):
 
     def on_watermark(self, key, st, wm):
         if st[0] is not None:
-            midnight = (st[0] + 1) * DAY_MS
+            midnight = (st[0] + 1) * DAY_US
             if midnight <= wm:
                 st[0] = st[1] = st[2] = None
             else:
-                self.handle.registerTimer(midnight)
+                self.timer_at(midnight)
         return []
 
 
 class CreateThenPay(OrderedProcessor):
     """Q12: each create is matched by the first later pay (with a
-    transaction id) less than ``within_ms`` after it, else times out.
+    transaction id) less than ``within_us`` after it, else times out.
     State: pending create times (comma list; a key has few pending creates)."""
 
-    OUTPUT = "order_id BIGINT, create_ms BIGINT, pay_ms BIGINT, outcome STRING"
+    OUTPUT = "order_id BIGINT, create_us BIGINT, pay_us BIGINT, outcome STRING"
 
     def _pending(self, st):
         return [int(x) for x in st[2].split(",")] if st[2] else []
 
     def step(self, key, st, row):
-        within, out, keep = self.params["within_ms"], [], []
+        within, out, keep = self.params["within_us"], [], []
         pending = self._pending(st)
         if row.kind == "pay" and row.tag:
             for c in pending:
-                ok = row.ts_ms - c < within
-                out.append(Row(order_id=key[0], create_ms=c, pay_ms=row.ts_ms if ok else None,
+                ok = row.ts_us - c < within
+                out.append(Row(order_id=key[0], create_us=c, pay_us=row.ts_us if ok else None,
                                outcome="paid" if ok else "timeout"))
             pending = []
         elif row.kind == "create":
-            pending.append(row.ts_ms)
+            pending.append(row.ts_us)
         keep = pending
         st[2] = ",".join(map(str, keep)) or None
         return out
 
     def on_watermark(self, key, st, wm):
-        within, out, keep = self.params["within_ms"], [], []
+        within, out, keep = self.params["within_us"], [], []
         for c in self._pending(st):
             if c + within <= wm:
-                out.append(Row(order_id=key[0], create_ms=c, pay_ms=None, outcome="timeout"))
+                out.append(Row(order_id=key[0], create_us=c, pay_us=None, outcome="timeout"))
             else:
                 keep.append(c)
-                self.handle.registerTimer(c + within)
+                self.timer_at(c + within)
         st[2] = ",".join(map(str, keep)) or None
         return out
 
 
 class OrderOutcome(OrderedProcessor):
     """Q13: first create and first pay of an order in either order.  Both
-    seen -> ``paid`` / ``paid_late``; the deadline (``limit_ms`` after the
+    seen -> ``paid`` / ``paid_late``; the deadline (``limit_us`` after the
     first of them) passes with one side only -> ``unpaid`` or
     ``pay_without_create``.  A pay arriving after its order was reported
     ``unpaid`` is reported ``pay_without_create`` (SURVEY §2.11 row 8; the
     batch form, which sees the whole key, calls that pair ``paid_late``).
     State: create time, pay time, phase (None, ``unpaid`` or ``done``)."""
 
-    OUTPUT = "order_id BIGINT, create_ms BIGINT, pay_ms BIGINT, outcome STRING"
+    OUTPUT = "order_id BIGINT, create_us BIGINT, pay_us BIGINT, outcome STRING"
 
     def step(self, key, st, row):
         if st[2] == "done":
@@ -208,52 +224,52 @@ class OrderOutcome(OrderedProcessor):
         if st[2] == "unpaid":
             if row.kind == "pay":
                 st[2] = "done"
-                return [Row(order_id=key[0], create_ms=None, pay_ms=row.ts_ms,
+                return [Row(order_id=key[0], create_us=None, pay_us=row.ts_us,
                             outcome="pay_without_create")]
             return []
         if row.kind == "create" and st[0] is None:
-            st[0] = row.ts_ms
+            st[0] = row.ts_us
         elif row.kind == "pay" and st[1] is None:
-            st[1] = row.ts_ms
+            st[1] = row.ts_us
         if st[0] is not None and st[1] is not None:
             d = st[1] - st[0]
-            outcome = "paid" if 0 <= d < self.params["limit_ms"] else "paid_late"
+            outcome = "paid" if 0 <= d < self.params["limit_us"] else "paid_late"
             st[2] = "done"
-            return [Row(order_id=key[0], create_ms=st[0], pay_ms=st[1], outcome=outcome)]
+            return [Row(order_id=key[0], create_us=st[0], pay_us=st[1], outcome=outcome)]
         return []
 
-    def before(self, key, st, ts_ms):
+    def before(self, key, st, ts_us):
         if st[2] is None and (st[0] is not None or st[1] is not None):
             first = st[0] if st[0] is not None else st[1]
-            if first + self.params["limit_ms"] < ts_ms:
-                return self.on_watermark(key, st, ts_ms - 1)
+            if first + self.params["limit_us"] < ts_us:
+                return self.on_watermark(key, st, ts_us - 1)
         return []
 
     def on_watermark(self, key, st, wm):
         if st[2] is not None or (st[0] is None and st[1] is None):
             return []
         first = st[0] if st[0] is not None else st[1]
-        deadline = first + self.params["limit_ms"]
+        deadline = first + self.params["limit_us"]
         if deadline <= wm:
             if st[0] is not None:
                 st[2] = "unpaid"
-                return [Row(order_id=key[0], create_ms=st[0], pay_ms=None, outcome="unpaid")]
+                return [Row(order_id=key[0], create_us=st[0], pay_us=None, outcome="unpaid")]
             st[2] = "done"
-            return [Row(order_id=key[0], create_ms=None, pay_ms=st[1],
+            return [Row(order_id=key[0], create_us=None, pay_us=st[1],
                         outcome="pay_without_create")]
-        self.handle.registerTimer(deadline)
+        self.timer_at(deadline)
         return []
 
 
 def run_ordered(df: DataFrame, keys: list[str], processor: OrderedProcessor,
                 order: list[str], kind: Column | str, tag: Column | str | None = None
                 ) -> DataFrame:
-    """Attach ``ts_ms``/``tb``/``kind``/``tag`` and apply ``processor`` per key
+    """Attach ``ts_us``/``tb``/``kind``/``tag`` and apply ``processor`` per key
     (``transformWithState``, event-time timers, append mode)."""
     use_rocksdb(df.sparkSession)
     ts, tb = order[0], (order[1] if len(order) > 1 else None)
     prepared = df.select(
-        *keys, F.unix_millis(F.col(ts).cast("timestamp")).alias("ts_ms"),
+        *keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("ts_us"),
         (F.col(tb).cast("bigint") if tb else F.lit(0).cast("bigint")).alias("tb"),
         (F.col(kind) if isinstance(kind, str) else kind).cast("string").alias("kind"),
         (F.col(tag) if isinstance(tag, str) else (tag if tag is not None else F.lit(None)))
@@ -267,9 +283,5 @@ def run_ordered(df: DataFrame, keys: list[str], processor: OrderedProcessor,
                                 outputMode="Append", timeMode="EventTime", **extra))
 
 
-def ms_to_ts(col: str) -> Column:
-    return F.timestamp_millis(F.col(col))
-
-
-def utc(ms: int) -> datetime:
-    return datetime.fromtimestamp(ms / 1000, tz=timezone.utc).replace(tzinfo=None)
+def us_to_ts(col: str) -> Column:
+    return F.timestamp_micros(F.col(col))
