@@ -139,20 +139,27 @@ def login_fail_burst_stream(logins: DataFrame, gap: str | int = 2, min_count: in
                     F.format_string(f"login fail %d times within {gap_s}s", "fails").alias("msg")))
 
 
-def tx_reconcile_stream(orders: DataFrame, receipts: DataFrame, tolerance: str | int = 60
-                        ) -> DataFrame:
+def tx_reconcile_stream(orders: DataFrame, receipts: DataFrame, tolerance: str | int = 60,
+                        retention: str | int = "1 day") -> DataFrame:
     """Q14 stream: full outer interval join of payments and receipts on
     ``tx_id``; one-sided rows come out once the watermark passes the
-    tolerance.  Repeated ``tx_id``s inside the watermark are dropped."""
+    tolerance.  Each side first keeps the earliest row of a ``tx_id`` (in
+    event time, whatever the arrival order) and drops repeats seen within
+    ``retention``, as the batch form does."""
     tol = _seconds(tolerance)
-    pays = (orders.where((F.col("event_type") == "pay") & (F.coalesce("tx_id", F.lit("")) != ""))
-            .dropDuplicatesWithinWatermark(["tx_id"])
-            .select(F.col("tx_id").alias("_lk"), F.col("order_id"), F.col(TS).alias("pay_time")))
-    recs = (receipts.dropDuplicatesWithinWatermark(["tx_id"])
-            .select(F.col("tx_id").alias("_rk"), "pay_channel", F.col(TS).alias("receipt_time")))
+    keep_us = _seconds(retention) * 1_000_000
+    pays = orders.where((F.col("event_type") == "pay") & (F.coalesce("tx_id", F.lit("")) != ""))
+    first_pays = P.run_ordered(pays, ["tx_id"], P.FirstPerKey(retention_us=keep_us), _order(pays),
+                               kind=F.lit("pay"), tag=F.col("order_id").cast("string"))
+    first_recs = P.run_ordered(receipts, ["tx_id"], P.FirstPerKey(retention_us=keep_us),
+                               _order(receipts), kind=F.lit("receipt"), tag="pay_channel")
+    L = first_pays.select(F.col("k").alias("_lk"), F.col("tag").cast("bigint").alias("order_id"),
+                          F.col("event_time").alias("pay_time"))
+    R = first_recs.select(F.col("k").alias("_rk"), F.col("tag").alias("pay_channel"),
+                          F.col("event_time").alias("receipt_time"))
     cond = F.expr(f"_lk = _rk AND receipt_time BETWEEN pay_time - INTERVAL {tol} SECONDS "
                   f"AND pay_time + INTERVAL {tol} SECONDS")
-    j = pays.join(recs, cond, "full_outer")
+    j = L.join(R, cond, "full_outer")
     outcome = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), "matched")
                .when(F.col("_lk").isNotNull(), "order_only").otherwise("receipt_only"))
     return j.select(F.coalesce("_lk", "_rk").alias("tx_id"), "order_id", "pay_time",
