@@ -21,3 +21,19 @@ def test_cli_permissive_skips_bad_lines(spark, tmp_path):
     main(["login_fail_burst", "--input", str(logins), "--mode", "permissive", "--out", str(out)])
     rows = spark.read.parquet(str(out)).collect()
     assert [(r.user_id, r.fails) for r in rows] == [(1035, 2)]
+
+
+def test_cli_stream_once_resumes(spark, tmp_path):
+    import uuid
+    src = tmp_path / "logins"
+    src.mkdir()
+    (src / "a.csv").write_text("1035,ip,fail,1558430842\n1035,ip,fail,1558430843\n")
+    out, name = tmp_path / "out", f"cli_{uuid.uuid4().hex[:8]}"
+    args = ["login_fail_consecutive", "--input", str(src), "--stream", "--once", "--out", str(out),
+            "--name", name]
+    main(args)
+    assert spark.read.parquet(str(out)).count() == 0          # watermark has not passed yet
+    (src / "b.csv").write_text("1035,ip,fail,1558430844\n7,ip,fail,1558439999\n")
+    main(args)                                                 # resumes from its checkpoint
+    got = sorted((r.user_id, r.start_time, r.end_time) for r in spark.read.parquet(str(out)).collect())
+    assert [g[0] for g in got] == [1035, 1035]

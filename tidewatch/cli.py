@@ -76,6 +76,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", help="Parquet output folder (default: console)")
     ap.add_argument("--param", action="append", default=[], help="job parameter k=v")
     ap.add_argument("--mode", default="strict", choices=["strict", "permissive"])
+    ap.add_argument("--once", action="store_true",
+                    help="stream: process what has arrived, then stop (resumes from the checkpoint)")
+    ap.add_argument("--name", help="stream query name (its checkpoint folder); default: the job")
     a = ap.parse_args(argv)
 
     spark = build_session()
@@ -101,14 +104,15 @@ def main(argv: list[str] | None = None) -> None:
         n = int(params.pop("n", 3))
         sink = (lambda b, i: b.write.mode("append").parquet(a.out)) if a.out \
             else (lambda b, i: b.show(50, truncate=False))
-        q = wiring.start(counts_fn(*inputs, **params), a.job,
-                         foreach_batch=forms.top_n_writer(n, key, sink))
+        q = wiring.start(counts_fn(*inputs, **params), a.name or a.job,
+                         foreach_batch=forms.top_n_writer(n, key, sink), available_now=a.once)
     elif stream_fn is None:
         raise SystemExit(f"{a.job}: no stream form; run it in batch")
     else:
         out = stream_fn(*inputs, **params)
-        q = (wiring.start(out, a.job, sink="parquet", path=a.out) if a.out
-             else wiring.start(out, a.job, sink="console"))
+        q = (wiring.start(out, a.name or a.job, sink="parquet", path=a.out, available_now=a.once)
+             if a.out else wiring.start(out, a.name or a.job, sink="console",
+                                        available_now=a.once))
     q.awaitTermination()
 
 
