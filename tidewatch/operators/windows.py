@@ -47,6 +47,15 @@ def _interval(seconds: int) -> Column:
     return F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
 
+def _expansion_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle whose output grows ``size/slide``-fold:
+    ``spark.sql.shuffle.partitions``, but at most four tasks per core, so an
+    untuned setting does not turn a small job into thousands of empty tasks
+    (AQE cannot coalesce an explicit count)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(n, 4 * df.sparkSession.sparkContext.defaultParallelism))
+
+
 def _owner_bucket_seconds(size_s: int, slide_s: int) -> int:
     """Time bucket that owns window ends: one day, or more for longer windows,
     a whole number of slides."""
@@ -75,8 +84,8 @@ def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str]
     first = F.window(p, f"{B} seconds").getField("start")
     last = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
     with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(first, last))))
-    n = int(pane.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shuffled = with_bk.repartition(n, *[F.col(c) for c in part], F.col("_bk"))
+    shuffled = with_bk.repartition(_expansion_partitions(pane), *[F.col(c) for c in part],
+                                   F.col("_bk"))
     lo = F.greatest(p + _interval(slide_s), F.col("_bk") + _interval(slide_s))
     hi = F.least(p + _interval(size_s), F.col("_bk") + _interval(B))
     return shuffled.withColumn("window_end", F.explode(F.sequence(lo, hi, _interval(slide_s))))
@@ -107,8 +116,8 @@ def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence
     own = F.window(p, f"{B} seconds").getField("start")
     nxt = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
     with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(own, nxt))))
-    n = int(pane.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shuffled = with_bk.repartition(n, *[F.col(c) for c in keys], F.col("_bk"))
+    shuffled = with_bk.repartition(_expansion_partitions(pane), *[F.col(c) for c in keys],
+                                   F.col("_bk"))
     deltas = shuffled.select(
         *keys, "_bk",
         F.explode(F.array(
