@@ -327,3 +327,24 @@ def test_reconcile_stream_matches_batch_on_event_table(spark, tmp_path):
                                         Wr.event_time(T.receipts(stream), delay="2 hours"),
                                         tolerance="1 hour")), cols)
     assert [r for r in s if not str(r[0]).startswith(str(10 ** 9))] == b
+
+
+def test_revised_top_n_writer_reports_each_revision(spark, tmp_path):
+    first = [("a", 10), ("a", 20), ("b", 30), ("z", 700)]
+    late = [("c", 40), ("c", 41), ("c", 42), ("z", 705)]
+    ddl = "url STRING, event_time BIGINT"
+    src = str(tmp_path / "urls2")
+    for part in (first, late):
+        frame(spark, ddl, part).coalesce(1).write.mode("append").parquet(src)
+    st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ddl, first).schema,
+                                            max_files=1), delay="61 seconds")
+    counts = S.hot_urls_counts_stream(st, size="10 minutes", slide="10 minutes")
+    reports = []
+    sink = S.revised_top_n_writer(str(tmp_path / "log2"), 3, "url", lambda b, i: reports.append(
+        sorted((r.rank, r.url, r.cnt) for r in b.collect() if r.window_end == ts(600))))
+    q = Wr.start(counts, f"t_{uuid.uuid4().hex[:8]}", mode="update", foreach_batch=sink,
+                 available_now=True)
+    q.awaitTermination(300)
+    reports = [r for r in reports if r]
+    assert reports[0] == [(1, "a", 2), (2, "b", 1)]
+    assert reports[-1] == [(1, "c", 3), (2, "a", 2), (3, "b", 1)]

@@ -87,6 +87,26 @@ def revised_top_n(spark, changelog: str, n: int, key: str, by: str = "cnt") -> D
     return top_n_per_window(latest(spark, changelog, ["window_end", key]), n, key=key, by=by)
 
 
+def revised_top_n_writer(changelog: str, n: int, key: str,
+                         write: Callable[[DataFrame, int], None], by: str = "cnt"
+                         ) -> Callable[[DataFrame, int], None]:
+    """T-12 in ``foreachBatch`` (update mode): append the batch's revised
+    (window, key) counts to the change log, then rank again every window
+    the batch touched, from the newest counts of all its keys, and hand the
+    new top-N to ``write``.  Only the touched windows are read back (a
+    semi-join on the batch's window ends)."""
+    from tidewatch.streaming.wiring import changelog_writer, latest
+    append = changelog_writer(changelog)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        append(batch, batch_id)
+        touched = batch.select("window_end").distinct()
+        newest = latest(batch.sparkSession, changelog, ["window_end", key])
+        revised = newest.join(touched, "window_end", "left_semi")
+        write(top_n_per_window(revised, n, key=key, by=by), batch_id)
+    return each
+
+
 def unique_visitors_running_stream(behaviors: DataFrame, size: str = "1 hour",
                                    behavior: str = "pv") -> DataFrame:
     """T-14/T-15 (Q5's early firings): running exact bitmap counts per
