@@ -50,3 +50,10 @@ def test_query_matches_oracle(spark, duck, name):
     ocols = [d[0] for d in rel.description]
     assert sorted(sdf.columns) == sorted(ocols)
     assert _bag(sdf.columns, [tuple(r) for r in sdf.collect()]) == _bag(ocols, rel.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_schema_is_clean(spark, name):
+    cols = E.queries()[name](spark, SF_SMALL).columns
+    assert len(cols) == len(set(cols))
+    assert not [c for c in cols if c.startswith("_")]
