@@ -348,3 +348,23 @@ def test_revised_top_n_writer_reports_each_revision(spark, tmp_path):
     reports = [r for r in reports if r]
     assert reports[0] == [(1, "a", 2), (2, "b", 1)]
     assert reports[-1] == [(1, "c", 3), (2, "a", 2), (3, "b", 1)]
+
+
+def test_marketing_streams(spark, tmp_path):
+    ev, with_sentinel = _events_with_sentinel(spark, "click")
+    mk_b = T.marketing(ev).where(F.col("behavior") != "error")
+    cols = ["window_end", "channel", "behavior", "cnt"]
+    b_keys = _bag(jobs.marketing_by_channel(T.marketing(ev), slide="10 minutes", exclude="error"),
+                  cols)
+    b_total = _bag(jobs.marketing_total(T.marketing(ev), slide="10 minutes", exclude="error"),
+                   ["window_end", "cnt"])
+    src = _files(spark, with_sentinel.withColumnRenamed("ts", "event_time"), tmp_path)
+    mk = Wr.event_time(T.marketing(src.withColumnRenamed("event_time", "ts")))
+    mk = mk.where(F.col("behavior") != "error")
+    far = ts(FAR)
+    got = _bag(_run(S.windowed_count_stream(mk, "1 hour", "10 minutes",
+                                            keys=["channel", "behavior"])), cols)
+    assert [r for r in got if r[0] < far] == b_keys
+    got = _bag(_run(S.windowed_count_stream(mk, "1 hour", "10 minutes")), ["window_end", "cnt"])
+    assert [r for r in got if r[0] < far] == b_total
+    assert mk_b.count() > 0
