@@ -368,3 +368,15 @@ def test_marketing_streams(spark, tmp_path):
     got = _bag(_run(S.windowed_count_stream(mk, "1 hour", "10 minutes")), ["window_end", "cnt"])
     assert [r for r in got if r[0] < far] == b_total
     assert mk_b.count() > 0
+
+
+def test_unique_visitors_bitmap_stream(spark, tmp_path):
+    ev, with_sentinel = _events_with_sentinel(spark, "view")
+    b = _bag(jobs.unique_visitors(T.user_behavior(ev), behavior="view", method="bitmap"),
+             ["window_end", "uv"])
+    ub = Wr.event_time(T.user_behavior(_files(
+        spark, with_sentinel.withColumnRenamed("ts", "event_time"), tmp_path)
+        .withColumnRenamed("event_time", "ts")))
+    got = _bag(_run(S.unique_visitors_stream(ub, behavior="view", method="bitmap")),
+               ["window_end", "uv"])
+    assert [r for r in got if r[0] < ts(FAR)] == b
