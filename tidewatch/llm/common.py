@@ -11,6 +11,30 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidewatch.session import checkpoint_root
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's code to the workers, once per Spark context."""
+    global _SHIPPED
+    if _SHIPPED == spark.sparkContext.applicationId:
+        return
+    import tempfile
+    import zipfile
+
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tempfile.mkdtemp(prefix="tidewatch-code-")     # on the driver; Spark serves it from there
+    path = os.path.join(folder, "tidewatch_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(at, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED = spark.sparkContext.applicationId
+
+
+_SHIPPED: str | None = None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, packing
-from tidewatch.llm.common import table
+from tidewatch.llm import bpe, language, lines, packing, quality, topk
+from tidewatch.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -18,6 +18,15 @@ def query(f: Callable[[SparkSession, str], DataFrame]):
     return f
 
 
+def _held(divisor: int, at: int):
+    return F.coalesce(remainder("doc_id", divisor) == at, F.lit(False)).alias("held_out")
+
+
+def _verdict(scored: DataFrame, divisor: int, at: int, *more: str) -> DataFrame:
+    return scored.select("doc_id", _held(divisor, at), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                         *more)
+
+
 @query
 def op1_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
@@ -26,3 +35,64 @@ def op1_packing(spark, sf_dir):
 @query
 def op3_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    forest = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return _verdict(quality.score(docs, forest), 3, 1)
+
+
+@query
+def op6_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select(F.col("doc_id").cast("long"), _held(4, 2), "lang_pred", F.col("lang_score").alias("score"),
+                        F.col("lang_rejected").alias("rejected"))
+
+
+@query
+def op9_exact_topk(spark, sf_dir):
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE_SQL["op9_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id, score
+FROM p QUALIFY rank <= 5
+"""
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    cleaned = lines.remove(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", *lines.RESULT, F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op10_line_dedup"] = """
+WITH l AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+b AS (
+  SELECT trim(line) AS k FROM l WHERE trim(line) <> '' AND source IS NOT NULL
+  GROUP BY 1 HAVING count(DISTINCT source) >= 10),
+d AS (
+  SELECT doc_id, any_value(text) AS text, count(*) AS n_lines, count(k) AS hit,
+         coalesce(sum(strlen(trim(line))) FILTER (WHERE k IS NOT NULL), 0) AS hit_size,
+         sum(strlen(trim(line))) AS size,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE k IS NULL), '') AS kept
+  FROM l LEFT JOIN b ON trim(line) = k GROUP BY doc_id)
+SELECT doc_id, n_lines, CASE WHEN hit_size > 0.5 * size THEN 0 ELSE hit END AS n_removed,
+       hit_size > 0.5 * size AS copied,
+       sha256(CASE WHEN hit = 0 OR hit_size > 0.5 * size THEN text ELSE kept END) AS kept_sha256
+FROM d
+"""
