@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import local_path, small_batches, texts
+from tidewatch.llm.common import local_path, ship, small_batches, texts
 from tidewatch.llm.pieces import PieceEncoder, load_ranks, merge_ids, split_pattern
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -114,9 +114,7 @@ def encode(docs: DataFrame, *, ranks: str = "byte_bpe_multi_50k.tiktoken",
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks)
         for batch in small_batches(batches):
-            many = texts(batch)
-            c.encoder.prepare(many)
-            yield _result(batch.column("doc_id").to_pylist(), [c.encoder.encode(t) for t in many], c)
+            yield _result(batch.column("doc_id").to_pylist(), c.encoder.encode_many(texts(batch)), c)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pattern = split_pattern()
@@ -138,6 +136,7 @@ def encode(docs: DataFrame, *, ranks: str = "byte_bpe_multi_50k.tiktoken",
         packed = b"".join(c.encoder.pieces_to_bytes(found[i:i + step]) for i in range(0, len(found), step))
         return pa.Table.from_batches([_result(group.column("doc_id").to_pylist()[:1], [packed], c)])
 
+    ship(docs.sparkSession)
     short = rows.where(F.length("text") <= chunk).mapInArrow(whole, SCHEMA)
     n = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
     chunks = (rows.withColumn("row", F.monotonically_increasing_id()).where(F.length("text") > chunk)

@@ -18,8 +18,8 @@ from collections.abc import Callable
 import numpy as np
 
 #: Entries kept per memo before it is cleared.
-MEMO_WORDS = 600_000
-MEMO_PIECES = 400_000
+MEMO_WORDS = 900_000
+MEMO_PIECES = 700_000
 
 _NO_RANK = 1 << 40
 _SPACE_THEN_SPACE = re.compile(r" \s")
@@ -115,38 +115,43 @@ class PieceEncoder:
     def _one(self, text: str) -> bytes:
         return self.pieces_to_bytes(self.pattern.findall(text))
 
-    def prepare(self, many: list[str]) -> None:
-        """Learn the words of several texts at once, so that piece encoding runs in bulk."""
-        new = set()
-        for text in many:
-            new.update(text.split(" ")[1:])
-        new = [w for w in new if w not in self.words]
-        if not new:
-            return
+    def _learn_words(self, new: set[str]) -> None:
         if len(self.words) + len(new) > MEMO_WORDS:
             self.words = {}
         found = [self.pattern.findall(" " + w) for w in new]
         known = self.pieces
-        missing = list(dict.fromkeys(p for f in found for p in f if p not in known))
-        if missing:
-            if len(known) + len(missing) > MEMO_PIECES:
-                self.pieces = known = {}
-                missing = list(dict.fromkeys(p for f in found for p in f))
-            for p, ids in zip(missing, self.encode_pieces(missing), strict=True):
-                known[p] = np.asarray(ids, "<u4").tobytes()
+        missing = list({p for f in found for p in f if p not in known})
+        if len(known) + len(missing) > MEMO_PIECES:
+            self.pieces = known = {}
+            missing = list({p for f in found for p in f})
+        for p, ids in zip(missing, self.encode_pieces(missing), strict=True):
+            known[p] = np.asarray(ids, "<u4").tobytes()
         words = self.words
         for w, f in zip(new, found, strict=True):
-            words[w] = b"".join([known[p] for p in f])
-
-    def encode(self, text: str) -> bytes:
-        """Packed ids of a text whose words ``prepare`` has seen (others are learned)."""
-        if not text:
-            return b""
-        parts = text.split(" ")
+            words[w] = known[f[0]] if len(f) == 1 else b"".join([known[p] for p in f])
+
+    def encode_many(self, many: list[str]) -> list[bytes]:
+        """Packed ids of each text.  The words of all texts that are new to the
+        memo are learned first, in bulk."""
+        plain = [bool(t) and t[-1] != " " and not _SPACE_THEN_SPACE.search(t) for t in many]
+        parts = [t.split(" ") if p else [] for t, p in zip(many, plain, strict=True)]
+        seen = set().union(*parts)
+        new = seen.difference(self.words)
+        new.discard("")
+        if len(self.words) + len(new) > MEMO_WORDS:
+            self.words = {}
+            new = seen - {""}
+        if new:
+            self._learn_words(new)
         words = self.words
-        if not text.endswith(" ") and not _SPACE_THEN_SPACE.search(text):
-            try:
-                return self._one(parts[0]) + b"".join([words[p] for p in parts[1:]])
-            except KeyError:
-                pass
-        return self._one(text)
+        out = []
+        for text, p, own in zip(many, plain, parts, strict=True):
+            if not p:
+                out.append(self._one(text) if text else b"")
+            elif len(own) == 1:
+                out.append(self._one(text))
+            else:
+                first = self._one(own[0]) if own[0] else b""
+                del own[0]
+                out.append(first + b"".join([words[w] for w in own]))
+        return out
