@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
+import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -40,9 +43,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage: write the frame as a table in the shared checkpoint folder
+    and read it back.  The folder of this context is deleted when Python exits."""
+    spark = df.sparkSession
+    folder = f"{checkpoint_root(spark)}/tidewatch-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_delete, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_FOLDERS: set[str] = set()
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):                   # the context may be gone by then
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Most rows of a counted side that is broadcast; a larger one is joined by shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side that ``cut`` has written, if its counted rows allow."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def remainder(df_id: Column, divisor: int) -> Column:

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.common import cut, text_key
+from tidewatch.llm.common import cut, few, text_key
 
 RESULT = ("n_lines", "n_removed", "copied")
 
@@ -41,11 +41,6 @@ def _lines(docs: DataFrame, *cols: str) -> DataFrame:
             .select(*cols, "pos", *_hashes(F.col("line")), F.octet_length("line").alias("size")))
 
 
-def _few(df: DataFrame, most: int) -> DataFrame:
-    """Broadcast a checkpointed set of hashes while its counted size allows."""
-    return F.broadcast(df) if df.count() <= most else df
-
-
 def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
                 broadcast_lines: int = 200_000) -> DataFrame:
     """Hashes ``h1, h2`` of the lines on at least ``min_sites`` sites."""
@@ -55,11 +50,11 @@ def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
                 .agg(F.count("*").alias("n"), F.min("site").alias("lo"), F.max("site").alias("hi"))
                 .where((F.col("n") >= min_sites) & ((F.col("lo") < F.col("hi")) | F.lit(min_sites <= 1)))
                 .select("h1", "h2"))
-    spread = cut(lines.join(_few(often, broadcast_lines), ["h1", "h2"], "left_semi")
+    spread = cut(lines.join(few(often, broadcast_lines), ["h1", "h2"], "left_semi")
                  .groupBy("h1", "h2").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", lg_k)).alias("sites"))
                  .where(F.col("sites") >= min_sites / 2))
-    near = spread.where(F.col("sites") < 2 * min_sites).select("h1", "h2")
-    exact = (lines.join(_few(near, broadcast_lines), ["h1", "h2"], "left_semi")
+    near = cut(spread.where(F.col("sites") < 2 * min_sites).select("h1", "h2"))
+    exact = (lines.join(few(near, broadcast_lines), ["h1", "h2"], "left_semi")
              .groupBy("h1", "h2").agg(F.count_distinct("site").alias("n"))
              .where(F.col("n") >= min_sites).select("h1", "h2"))
     return spread.where(F.col("sites") >= 2 * min_sites).select("h1", "h2").unionByName(exact)
@@ -71,7 +66,7 @@ def remove(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k
     docs = docs.select(*[c for c in docs.columns if c not in (*RESULT, "__gone")])
     found = cut(boilerplate(docs, min_sites=min_sites, lg_k=lg_k, broadcast_lines=broadcast_lines))
     keyed = docs.select("doc_id", *text_key(F.col("text")), "text")
-    gone = (_lines(keyed, "doc_id", "k1", "k2").join(_few(found, broadcast_lines), ["h1", "h2"], "left_semi")
+    gone = (_lines(keyed, "doc_id", "k1", "k2").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi")
             .groupBy("doc_id", "k1", "k2").agg(F.collect_set("pos").alias("__gone"))
             .withColumnRenamed("doc_id", "__d").withColumnRenamed("k1", "__k1").withColumnRenamed("k2", "__k2"))
     k1, k2 = text_key(F.col("text"))
