@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, language, lines, packing, quality, topk
+from tidewatch.llm import bpe, language, lines, packing, partenum, quality, suffix, topk
 from tidewatch.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,15 @@ SELECT doc_id, n_lines, CASE WHEN hit_size > 0.5 * size THEN 0 ELSE hit END AS n
        sha256(CASE WHEN hit = 0 OR hit_size > 0.5 * size THEN text ELSE kept END) AS kept_sha256
 FROM d
 """
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    left = suffix.remove(docs, suffix.repeated_spans(docs), columns=("doc_id",))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op7_ngram_jaccard(spark, sf_dir):
+    return partenum.classes(table(spark, sf_dir, "documents"))
