@@ -68,9 +68,11 @@ def _delete(spark: SparkSession, folder: str) -> None:
 BROADCAST_ROWS = 1_000_000
 
 
-def few(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side that ``cut`` has written, if its counted rows allow."""
-    return F.broadcast(df) if df.count() <= most else df
+def few(df: DataFrame, most: int = BROADCAST_ROWS, lists: str | None = None) -> DataFrame:
+    """Broadcast a side that ``cut`` has written, if its counted rows (and the
+    elements of its column ``lists``) allow."""
+    n = F.count("*") if lists is None else F.count("*") + F.coalesce(F.sum(F.size(lists)), F.lit(0))
+    return F.broadcast(df) if df.agg(n).first()[0] <= most else df
 
 
 def remainder(df_id: Column, divisor: int) -> Column:
@@ -79,6 +81,15 @@ def remainder(df_id: Column, divisor: int) -> Column:
         else F.crc32(df_id.cast("string").cast("binary")) % divisor
 
 
+def labelled_sample(labels: DataFrame, label: str, divisor: int, held: int, most: int) -> DataFrame:
+    """At most ``most`` labelled ids outside the held-out remainder, by hash of the id."""
+    return (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+            .where(remainder("doc_id", divisor) != held)
+            .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+            .agg(F.avg(F.col(label).cast("double")).alias("_label"))
+            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+
+
 def text_key(text: Column) -> list[Column]:
     """Two independent 64-bit hashes that name a text (null: empty)."""
     t = F.coalesce(text, F.lit(""))

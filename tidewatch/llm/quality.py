@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import remainder, ship, small_batches, texts
+from tidewatch.llm.common import labelled_sample, ship, small_batches, texts
 
 STATISTICS = (
     "bytes", "chars_per_byte", "words", "lines", "word_length", "distinct_words", "top_word",
@@ -148,15 +148,6 @@ def grow(x: np.ndarray, y: np.ndarray, *, trees: int = 120, depth: int = 4, bins
     return Forest(base, feature, threshold, leaf, depth)
 
 
-def labelled_sample(labels: DataFrame, label: str, divisor: int, held: int, most: int) -> DataFrame:
-    """At most ``most`` labelled ids outside the held-out remainder, by hash of the id."""
-    return (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-            .where(remainder("doc_id", divisor) != held)
-            .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-            .agg(F.avg(F.col(label).cast("double")).alias("_label"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-
-
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", divisor: int = 3, held: int = 1,
         max_fit_rows: int = 20_000, **growth) -> Forest:
     """Trees grown on the statistics of a bounded sample of labelled documents."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, language, lines, packing, partenum, quality, suffix, topk
+from tidewatch.llm import bpe, language, lines, nndescent, packing, partenum, quality, suffix, topk, toxicity
 from tidewatch.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,13 @@ def op1_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return _verdict(toxicity.score(docs, index), 5, 0, "evidence")
+
+
 @query
 def op3_bpe(spark, sf_dir):
     return bpe.encode(table(spark, sf_dir, "documents"))
@@ -108,3 +115,8 @@ def op4_suffix_dedup(spark, sf_dir):
 @query
 def op7_ngram_jaccard(spark, sf_dir):
     return partenum.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_nn_descent(spark, sf_dir):
+    return nndescent.search(table(spark, sf_dir, "embeddings"))
