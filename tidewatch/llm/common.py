@@ -15,8 +15,15 @@ from tidewatch.session import checkpoint_root
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's code to the workers, once per Spark context."""
+    """Send this package's code to the workers, once per Spark context.
+
+    Arrow batches are also made smaller, where the session has Spark's default
+    of 10,000 rows: that many whole texts would not fit beside a worker."""
     global _SHIPPED
+    for key, default, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+                                ("spark.sql.execution.arrow.maxBytesPerBatch", None, str(16 << 20))):
+        if spark.conf.get(key, default) in (default, None):
+            spark.conf.set(key, value)
     if _SHIPPED == spark.sparkContext.applicationId:
         return
     import tempfile

@@ -39,7 +39,7 @@ from tidewatch.llm.hashing import Prefix, mix, signed, sliding_min
 
 _LOW = np.uint64((1 << 21) - 1)
 #: Bytes handled at once in a task; longer texts are entered in overlapping blocks.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def runs_of(data: np.ndarray, size: np.ndarray, depth: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -174,7 +174,8 @@ def repeated_spans(docs: DataFrame, *, depth: int = 200, gram: int = 64, digit:
                  .where(F.col("n") > 1).select("a", (F.col("lo") < F.col("hi")).alias("several")))
     met = cut(runs.join(few(shared, broadcast_rows), "a"))
     # pass 2: runs that agree as a whole
-    alike = met.groupBy("a", "c").agg(F.count("*").alias("n"), F.min("ref").alias("one"))
+    # written first, so that both sides of the join are plain exchanges and a hot key can be split
+    alike = cut(met.groupBy("a", "c").agg(F.count("*").alias("n"), F.min("ref").alias("one")))
     judged = cut(met.join(alike, ["a", "c"]))
     begin, last = F.shiftright("at", 16).cast("int"), F.shiftright("at", 8).bitwiseAND(255).cast("int")
     full = judged.where("n > 1").select("ref", begin.alias("s"), (begin + last).alias("e"))
@@ -196,7 +197,7 @@ def repeated_spans(docs: DataFrame, *, depth: int = 200, gram: int = 64, digit:
                                                                              pa.bool_(), pa.binary()), strict=True)],
                 names=["a", "ref", "at", "sure", "bytes"])
 
-    opened = cut(rows.join(few(lists, broadcast_rows // 4), "ref")
+    opened = cut(rows.join(few(lists, broadcast_rows, "runs"), "ref")
                  .mapInArrow(cover, "a long, ref long, at long, sure boolean, bytes binary")
                  .dropDuplicates(["a", "ref", "at"]))
     large = cut(opened.groupBy("a").count().where(F.col("count") > max_group).select("a"))
@@ -276,16 +277,15 @@ def repeated_spans(docs: DataFrame, *, depth: int = 200, gram: int = 64, digit:
 
 
 def remove(docs: DataFrame, spans: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS,
-           columns: tuple[str, ...] = ()) -> DataFrame:
+           columns: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """``columns`` of docs and ``n_bytes, n_removed, n_spans, kept``: what is left of
-    each text, as bytes."""
+    each text, as bytes; with ``as_text`` as a string, without the rest of a character
+    that was cut, and null where the text was."""
     k1, _ = text_key(F.col("text"))
     names = list(dict.fromkeys(c for c in columns if c not in ("n_bytes", "n_removed", "n_spans", "kept", "text")))
     side = spans.withColumnRenamed("ref", "__ref").withColumnRenamed("begins", "__begins") \
         .withColumnRenamed("ends", "__ends")
-    if (spans.agg(F.sum(F.size("begins") + 1)).first()[0] or 0) <= broadcast_rows:
-        side = F.broadcast(side)
-    joined = docs.select(*names, "text").join(side, k1 == F.col("__ref"), "left") \
+    joined = docs.select(*names, "text").join(few(side, broadcast_rows, "__begins"), k1 == F.col("__ref"), "left") \
         .select(*names, "text", "__begins", "__ends")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,18 +295,19 @@ def remove(docs: DataFrame, spans: DataFrame, *, broadcast_rows: int = BROADCAST
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 sizes.append(len(raw))
                 s, e = s or [], e or []
-                kept.append(b"".join(raw[a:b] for a, b in zip([0, *e], [*s, len(raw)], strict=True)))
-                removed.append(len(raw) - len(kept[-1]))
+                rest = b"".join(raw[a:b] for a, b in zip([0, *e], [*s, len(raw)], strict=True))
+                removed.append(len(raw) - len(rest))
                 n_spans.append(len(s))
+                kept.append(rest if not as_text else rest.decode("utf-8", "ignore") if s else text)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(n) for n in names), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(n_spans, pa.int64()), pa.array(kept, pa.binary())],
+                 pa.array(n_spans, pa.int64()), pa.array(kept, pa.string() if as_text else pa.binary())],
                 names=[*names, "n_bytes", "n_removed", "n_spans", "kept"])
 
     from pyspark.sql import types as T
     schema = T.StructType([*docs.select(*names).schema.fields, *(
         T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
-        T.StructField("kept", T.BinaryType())])
+        T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
     ship(docs.sparkSession)
     return joined.mapInArrow(run, schema)
 
