@@ -115,9 +115,14 @@ def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int =
     train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text") \
         .where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .where(remainder("doc_id", divisor) != held)
-    # ids first: a partial limit per language precedes the shuffle, and no text moves
+    # ids first, no text moves; a hash threshold leaves about four times the rows wanted of
+    # a large language, so its rank sees as few rows at any size
+    key = F.xxhash64("doc_id")
+    some = train.groupBy(F.col("lang").alias("_l")).agg(F.least(F.lit(1.0), 4.0 * per_language / F.count("*")).alias("_some"))
+    few_ids = train.select("lang", "doc_id").join(some, F.col("lang") == F.col("_l")) \
+        .where(F.pmod(key, F.lit(1 << 20)) < F.col("_some") * (1 << 20))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = train.select("lang", "doc_id").withColumn("_r", rank).where(F.col("_r") <= per_language) \
+    ids = few_ids.withColumn("_r", rank).where(F.col("_r") <= per_language) \
         .select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")).distinct().persist()
     if ids.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
