@@ -1,0 +1,139 @@
+"""Toxicity, quality and language operators: exactness of their parts and held-out accuracy."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from brute import frame, odd_rows, words
+from tidewatch.llm import language, quality, queries, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+def label_frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def auc(score, y):
+    order = np.argsort(score, kind="stable")
+    _, inverse, count = np.unique(np.array(score)[order], return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[inverse]
+    ys = np.array(y)[order]
+    n1 = ys.sum()
+    return (rank[ys == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(ys) - n1))
+
+
+@pytest.mark.parametrize("name,label,mod,held", [("op2_toxicity", "toxic", 5, 0), ("op5_quality", "quality", 3, 1)])
+def test_held_out_accuracy(spark, name, label, mod, held):
+    got = {r.doc_id: r for r in queries.QUERIES[name](spark, SF).collect()}
+    assert len(got) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % mod == held) for d, r in got.items())
+    pairs = [(got[r.doc_id].score, r[label]) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()
+             if got[r.doc_id].held_out]
+    assert auc([p[0] for p in pairs], [p[1] for p in pairs]) > 0.95
+
+
+def test_held_out_labels_are_not_used(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    turned = labels.selectExpr("doc_id", "quality",
+                               "CASE WHEN crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 5 = 0 THEN 1 - toxic ELSE toxic END AS toxic")
+    a, b = toxicity.fit(docs, labels), toxicity.fit(docs, turned)
+    assert a.number == b.number and a.rate == b.rate and (a.toxic == b.toxic).all()
+
+
+def test_block_max_search_is_exact():
+    r = random.Random(4)
+    rows = [(k, float(r.random() < 0.4), {f: r.randrange(1, 4) for f in r.sample(range(60), r.randrange(1, 9))})
+            for k in range(500)]
+    index = toxicity.build(rows, {f"f{k}": k for k in range(60)}, k=12, block=8)
+    dense = np.zeros((len(index.doc_id), 60))
+    for t in range(60):
+        dense[index.post[t], t] = index.weight[t]
+    assert np.allclose(np.linalg.norm(dense, axis=1), 1)
+    for _ in range(50):
+        counts = {f: r.randrange(1, 4) for f in r.sample(range(60), r.randrange(1, 7))}
+        f, w = index.vector(counts)
+        cos = dense[:, f] @ w
+        entries, got = index.nearest(f, w)
+        assert np.allclose(got, np.sort(cos)[::-1][:12]) and np.allclose(cos[entries], got)
+
+
+def test_toxicity_evidence_and_votes(spark):
+    rows = [(k, ("vile slur " if k % 4 == 0 else "") + words(k, 30, kinds=5000)) for k in range(400)]
+    labels = [(k, 1, int(k % 4 == 0)) for k in range(400)]
+    index = toxicity.fit(frame(spark, rows), label_frame(spark, labels))
+    got = {r.doc_id: r for r in toxicity.score(frame(spark, [(0, "a vile slur"), (1, "plain"), (2, None), (3, "VILE!!")]),
+                                               index).collect()}
+    assert got[0].score > 0.9 and got[3].score > 0.9 and got[1].score == got[2].score < 0.1
+    assert got[0].evidence[0].cosine > 0.99 and got[0].evidence[0].toxic == got[0].evidence[0].examples
+
+
+@pytest.mark.parametrize("module,label", [(toxicity, "toxic"), (quality, "quality")])
+def test_scores_of_odd_rows(spark, module, label):
+    docs, none = frame(spark, odd_rows()), label_frame(spark, [])
+    few = label_frame(spark, [(4, 1, 1), (4, 1, 0), (5, None, None), (None, 1, 1), (7, 0, 0), (8, 1, 1), (6, 0, 0)])
+    for labels in (none, few):
+        model = module.fit(docs, labels)
+        got = module.score(docs, model).collect()
+        assert len(got) == len(odd_rows()) and all(0 <= r.score <= 1 for r in got)
+        if labels is none:
+            assert {r.score for r in got} == {0.5}
+    assert module.score(docs.where("false"), model).count() == 0
+
+
+def test_trees_walk_as_nodes_say():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(600, 5))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
+    f = quality.grow(x, y, trees=30, depth=3, bins=16)
+    raw = []
+    for row in x[:50]:
+        total = f.base
+        for t in range(len(f.feature)):
+            n = 0
+            for _ in range(f.depth):
+                n = 2 * n + 1 + (row[f.feature[t, n]] > f.threshold[t, n])
+            total += f.leaf[t, n - (2 ** f.depth - 1)]
+        raw.append(total)
+    assert np.allclose(raw, f.raw(x[:50]))
+    assert ((f.score(x) > 0.5) == y).mean() > 0.97
+
+
+def test_statistics_of_texts():
+    s = dict(zip(quality.STATISTICS, quality.statistics(["Ab a1!\nAb a1!\n|"])[0]))
+    assert (s["bytes"], s["words"], s["lines"], s["newline"]) == (15, 5, 3, 2 / 15)
+    assert s["repeated_lines"] == 1 - 2 / 3 and s["distinct_words"] == 3 / 5 and s["upper"] == 2 / 15
+    assert not quality.statistics([""])[0][2:3].any()
+
+
+def test_language_held_out(spark):
+    got = queries.QUERIES["op6_language"](spark, SF).collect()
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    held = [r for r in got if r.held_out]
+    assert len(got) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got)
+    assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.95
+    assert sum(r.rejected for r in got) < 5
+
+
+def test_language_rejects_what_is_far(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs, per_language=60)
+    rows = [(1, "Это совсем другой язык, который никто не учил. " * 20), (2, None), (3, "123 !!"), (4, ""),
+            (5, docs.where("lang = 'de'").orderBy("doc_id").first().text)]
+    got = {r.doc_id: r for r in language.identify(frame(spark, rows), model).collect()}
+    assert got[1].lang_rejected and not got[5].lang_rejected and got[5].lang_pred == "de"
+    for k in (2, 3, 4):
+        assert (got[k].lang_pred, got[k].lang_score, got[k].lang_rejected) == ("und", 0.0, True)
+    assert got[5].k1 == 7
+
+
+def test_language_odd_rows(spark):
+    docs = frame(spark, odd_rows())
+    model = language.fit(docs)
+    assert language.identify(docs, model).count() == len(odd_rows())
+    nothing = language.fit(docs.where("false"))
+    assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
+    assert language.identify(docs.where("false"), model).count() == 0
