@@ -13,9 +13,12 @@ its ``hot`` most frequent ones, and a linked pair still shares one: both orders
 are the same for all sets.  A set with no shared signature left is linked to
 nothing.
 
-Candidates are verified on the exact sets.  In each signature group all members
-are first compared with its smallest one; then only members that are still in
-different components are paired.  Copies (equal sets) are entered once, under
+Candidates are verified on the exact sets.  Every set is first compared with the
+one of its signature groups that shares most signatures.  What is then still in
+different components is thinned: a set most of whose shingles no other set there
+has cannot be linked, and a pair must be able to reach the similarity with the
+shingles each has in common with any other, and by the parity sketches of both.  Of what is left the groups' leaders
+are compared with their members, and then all that are still apart.  Copies (equal sets) are entered once, under
 the set's 64-bit name, so groups of copies give no pairs at all.
 
 Defined cases: a text that is null or has no word has the empty set and is
@@ -35,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewatch.llm.common import BROADCAST_ROWS, cut, few, ship, small_batches
+from tidewatch.llm.common import BROADCAST_ROWS, cut, few, ship, small_batches, text_key
 from tidewatch.llm.components import components
 from tidewatch.llm.hashing import mix, signed
 from tidewatch.llm.shingles import set_names, shingle_sets
@@ -43,6 +46,8 @@ from tidewatch.llm.shingles import set_names, shingle_sets
 #: Bits of a signature that hold its band.
 BAND_BITS = 7
 BATCH = 2 << 20
+#: 64-bit words of a parity sketch.
+SKETCH = 16
 
 
 @dataclass
@@ -143,19 +148,77 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
         .select("a", "b", "set_a", "set_b").mapInArrow(check, "a long, b long")
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """The rows of signature groups whose members are in different components."""
+    mixed = placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")) \
+        .where("x < y").select("sig")
+    return placed.join(mixed, "sig", "left_semi")
+
+
+def _labelled(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` with the component label of each ``ref``; its own name without links."""
+    return rows.join(found.withColumnRenamed("node", "ref"), "ref", "left") \
+        .withColumn("label", F.coalesce("label", "ref"))
+
+
+def _shared(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """``ref, size, common``: set size and number of shingles that another set of
+    ``rest`` has too.  Sets with too few of them are linked to no other and left out."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                raw = part.column("members").to_pylist()
+                ends = np.concatenate(([0], np.cumsum([len(r) // 8 for r in raw]))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("ref"), pa.ListArray.from_arrays(
+                        pa.array(ends), pa.array(np.frombuffer(b"".join(raw), np.int64)))], names=["ref", "members"])
+
+    here = sets.join(rest.select("ref").distinct(), "ref")
+    alone = here.mapInArrow(spread, "ref long, members array<long>") \
+        .select("ref", F.explode("members").alias("h")).groupBy("h").agg(F.min("ref").alias("ref"), F.count("*").alias("n")) \
+        .where("n = 1").groupBy("ref").agg(F.count("*").alias("alone"))
+    size = (F.octet_length("members") / 8).cast("long")
+    return here.select("ref", size.alias("size")).join(alone, "ref", "left") \
+        .withColumn("common", F.col("size") - F.coalesce("alone", F.lit(0))) \
+        .where(100 * F.col("common") >= similarity * F.col("size")).select("ref", "size", "common")
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``ref, o0 .. o15``: the parity of the number of shingles in each of 1024
+    hash buckets.  A shingle that only one of two sets has turns one bit, so the
+    bits in which two sketches differ are at most the shingles in which the sets do."""
+
+    def odd(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                raw = part.column("members").to_pylist()
+                row = np.repeat(np.arange(len(raw)), [len(r) // 8 for r in raw])
+                h = mix(np.frombuffer(b"".join(raw), np.uint64) + np.uint64(23)) >> np.uint64(54)
+                bits = np.bincount(row * 1024 + h.astype(np.int64), minlength=1024 * len(raw)) & 1
+                words = np.packbits(bits.astype(np.uint8)).view(np.int64).reshape(len(raw), SKETCH)
+                yield pa.RecordBatch.from_arrays([part.column("ref"), *(pa.array(words[:, k]) for k in range(SKETCH))],
+                                                 names=["ref", *(f"o{k}" for k in range(SKETCH))])
+
+    return sets.mapInArrow(odd, "ref long, " + ", ".join(f"o{k} long" for k in range(SKETCH)))
+
+
 def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple[int, int] = (1, 1),
             weak: float = 0.2, hot: float = 0.08, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document."""
+    """``doc_id, n_shingles, component_id`` of every document, and ``text_key``, a hash
+    of its text."""
     ship(docs.sparkSession)
     bands = Bands.of(similarity, sub, weak, hot)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key(F.col("text"))[0].alias("text_key"))
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, max_bytes=BATCH):
             shingles, count = shingle_sets(batch.column("text").to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count.astype(np.int64)), pa.array(signed(set_names(shingles, count)))],
-                names=["doc_id", "n_shingles", "ref"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(count.astype(np.int64)),
+                 pa.array(signed(set_names(shingles, count)))], names=["doc_id", "text_key", "n_shingles", "ref"])
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()                             # copies within a task are entered once
@@ -185,8 +248,8 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
                  pa.array([shingles[b - n:b].tobytes() for b, n in zip(ends, count, strict=True)], pa.binary())],
                 names=["want", "ref", "members"])
 
-    base = cut(rows.mapInArrow(name, "doc_id long, n_shingles long, ref long"))
-    signed_sets = rows.mapInArrow(sign, "ref long, sigs array<long>") \
+    base = cut(rows.mapInArrow(name, "doc_id long, text_key long, n_shingles long, ref long"))
+    signed_sets = rows.select("text").mapInArrow(sign, "ref long, sigs array<long>") \
         .select("ref", F.explode("sigs").alias("sig")).repartition("sig")
     groups = signed_sets.groupBy("sig").agg(F.min("ref").alias("lo"), F.max("ref").alias("hi"),
                                             F.count("*").alias("n")).where("lo < hi").select("sig", "n")
@@ -194,10 +257,17 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
     allowed = F.element_at(F.array(*[F.lit(int(h)) for h in bands.hot]), band + 1)
     hottest = F.row_number().over(Window.partitionBy("ref", band).orderBy(F.desc("n"), "sig"))
     kept = cut(signed_sets.join(groups.hint("shuffle_hash"), "sig").distinct()
-               .withColumn("r", hottest).where(F.col("r") > allowed).select("sig", "ref"))
-    lead = kept.groupBy("sig").agg(F.min("ref").alias("a"), F.max("ref").alias("last")).where("a < last")
-    star = cut(kept.join(lead, "sig").where("ref <> a").select("a", F.col("ref").alias("b")).distinct())
-    met = cut(star.select(F.col("a").alias("ref")).unionByName(star.select(F.col("b").alias("ref"))).distinct())
+               .withColumn("r", hottest).where(F.col("r") > allowed).select("sig", "ref", "n"))
+    # first every set is compared with one other: of the sets it shares a signature with, the one
+    # that shares most itself, the likeliest link of all
+    weight = kept.groupBy("ref").agg(F.sum("n").alias("weight"))
+    lead = kept.join(weight, "ref").groupBy("sig").agg(F.max_by("ref", "weight").alias("lead"),
+                                                       F.max("weight").alias("weight"), F.count("*").alias("n")) \
+        .where("n > 1").select("sig", "lead", "weight")
+    kept = cut(kept.select("sig", "ref").join(lead, "sig"))
+    star = cut(kept.where("ref <> lead").groupBy("ref").agg(F.max_by("lead", "weight").alias("lead"))
+               .select(F.least("lead", "ref").alias("a"), F.greatest("lead", "ref").alias("b")).distinct())
+    met = cut(kept.select("ref").distinct())
     wanted = cut(base.join(few(met, broadcast_rows), "ref").groupBy(F.col("ref").alias("want"))
                  .agg(F.min("doc_id").alias("id")))
     sets = cut(rows.join(few(wanted, broadcast_rows), F.col("doc_id").eqNullSafe(F.col("id")))
@@ -205,17 +275,41 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
                .where("want = ref").select("ref", "members").dropDuplicates(["ref"]))
     links = cut(verified(star, sets, similarity))
     found = components(links)
-    # members of a signature group that the first comparison left apart
-    placed = cut(kept.join(found.withColumnRenamed("node", "ref"), "ref", "left")
-                 .withColumn("label", F.coalesce("label", "ref")))
-    apart = placed.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("sig")
-    rest = cut(placed.join(apart, "sig", "left_semi"))
-    pairs = rest.select("sig", F.col("ref").alias("a"), F.col("label").alias("la")) \
-        .join(rest.select("sig", F.col("ref").alias("b"), F.col("label").alias("lb")), "sig") \
-        .where("a < b AND la <> lb").select("a", "b").distinct().join(star, ["a", "b"], "left_anti")
-    more = cut(verified(pairs, sets, similarity))
-    if more.limit(1).count():
-        found = components(links.unionByName(more))
+    # members of a signature group that are still apart
+    rest = cut(_apart(cut(_labelled(kept.select("sig", "ref", "lead"), found))))
+    left = rest.select("ref").distinct().count()
+    while left:                                            # until no set can be ruled out any more
+        rest = cut(_apart(rest.select("sig", "ref", "lead", "label").join(_shared(rest, sets, similarity), "ref")))
+        left, before = rest.select("ref").distinct().count(), left
+        if left > 0.9 * before:
+            break
+    if left:
+        rest = cut(rest.join(_sketches(sets.join(rest.select("ref").distinct(), "ref")), "ref"))
+    # the intersection is at most what the set with fewer common shingles has of them, and the
+    # shingles in which linked sets differ bound the bits in which their sketches do
+    most = F.least("common_a", "common_b")
+    odd = [f"o{k}" for k in range(SKETCH)]
+    bits = sum((F.bit_count(F.col(o + "_a").bitwiseXOR(F.col(o + "_b"))) for o in odd), F.lit(0))
+    enough = (100 * most >= similarity * (F.col("size_a") + F.col("size_b") - most)) & \
+        ((100 + similarity) * bits <= (100 - similarity) * (F.col("size_a") + F.col("size_b")))
+    for whole in (False, True):                            # with each group's leader, then all that are apart
+        if not left:
+            break
+        one, two = (rest.select("sig", "lead", *[F.col(c).alias(c + t) for c in ("ref", "label", "size", "common", *odd)])
+                    for t in ("_a", "_b"))
+        one = one.drop("lead") if whole else one.where("ref_a = lead").drop("lead")
+        order = F.col("ref_a") < F.col("ref_b") if whole else F.lit(True)
+        pairs = one.join(two, "sig").where(F.col("label_a") != F.col("label_b")).where(order).where(enough) \
+            .select(F.least("ref_a", "ref_b").alias("a"), F.greatest("ref_a", "ref_b").alias("b")).distinct() \
+            .join(star, ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        more = cut(verified(pairs, sets, similarity))
+        star = star.unionByName(pairs)
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            found = components(links)
+            rest = cut(_apart(cut(_labelled(rest.drop("label"), found))))
+            left = rest.limit(1).count()
     found = found.select(F.col("node").alias("ref"), "label")
     placed = base.join(few(found, broadcast_rows), "ref", "left") \
         .withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "ref")))
@@ -223,4 +317,27 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
                                                                        F.count("*").alias("n"))
                 .where("n > 1").select("label", "least"))
     return placed.join(few(least, broadcast_rows), "label", "left") \
-        .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
+        .select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"), "text_key")
+
+
+def keep_one(docs: DataFrame, *, broadcast_rows: int = BROADCAST_ROWS, **settings) -> DataFrame:
+    """The rows of ``docs`` less all but one of each class: the document that names it.
+
+    Documents without words all stay.  Rows that repeat an id and its text are one
+    document; of rows that share an id in one class the smallest hash of the text stays.
+    """
+    found = cut(classes(docs, broadcast_rows=broadcast_rows, **settings))
+    worded = found.where("n_shingles > 0")
+    named = worded.where("doc_id = component_id").groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
+    other = found.where("n_shingles = 0 OR component_id IS NULL").select("doc_id", "text_key").distinct()
+    stay = cut(named.unionByName(other).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")))
+    key = text_key(F.col("text"))[0]
+    kept = docs.join(few(stay, broadcast_rows), F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key")),
+                     "left_semi")
+    again = cut(worded.groupBy("doc_id", "text_key").count().where("count > 1")
+                .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")))
+    if not again.count():
+        return kept
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    twice = kept.join(few(again, broadcast_rows), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(few(again, broadcast_rows), same, "left_anti").unionByName(twice)
