@@ -112,9 +112,55 @@ def op4_suffix_dedup(spark, sf_dir):
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLE_SQL["op4_suffix_dedup"] = """
+WITH b AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(0, n - 199)) AS i, h FROM b WHERE n >= 200),
+k AS (SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 400)) AS m FROM w),
+r AS (SELECT doc_id, i FROM k QUALIFY count(*) OVER (PARTITION BY m) > 1),
+f AS (
+  SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS fresh FROM r),
+g AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS s FROM f),
+spans AS (SELECT doc_id, s, min(i) AS a, max(i) + 200 AS z FROM g GROUP BY 1, 2),
+kept AS (
+  SELECT doc_id, s, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS lo, a AS hi FROM spans
+  UNION ALL
+  SELECT b.doc_id, 1000000000, coalesce(max(z), 0), any_value(n) FROM b LEFT JOIN spans USING (doc_id) GROUP BY b.doc_id),
+rest AS (
+  SELECT doc_id, string_agg(substr(h, 2 * lo + 1, 2 * (hi - lo)), '' ORDER BY s) AS left_over
+  FROM kept JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, n AS n_bytes, coalesce(sum(z - a), 0)::BIGINT AS n_removed, count(s) AS n_spans,
+       sha256(unhex(any_value(left_over))) AS kept_sha256
+FROM b JOIN rest USING (doc_id) LEFT JOIN spans USING (doc_id) GROUP BY b.doc_id, n
+"""
+
+
 @query
 def op7_ngram_jaccard(spark, sf_dir):
-    return partenum.classes(table(spark, sf_dir, "documents"))
+    return partenum.classes(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE_SQL["op7_ngram_jaccard"] = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                        ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g
+  FROM w),
+d AS (SELECT DISTINCT doc_id, g FROM s),
+n AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM d a JOIN d b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+c(node, label) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.label FROM c JOIN l ON l.a = c.node)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(label) AS component_id
+FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.node = w.doc_id GROUP BY w.doc_id
+"""
 
 
 @query
