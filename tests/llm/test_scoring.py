@@ -25,12 +25,13 @@ def auc(score, y):
     return (rank[ys == 1].sum() - n1 * (n1 + 1) / 2) / (n1 * (len(ys) - n1))
 
 
-@pytest.mark.parametrize("name,label,mod,held", [("op2_toxicity", "toxic", 5, 0), ("op5_quality", "quality", 3, 1)])
-def test_held_out_accuracy(spark, name, label, mod, held):
-    got = {r.doc_id: r for r in queries.QUERIES[name](spark, SF).collect()}
-    assert len(got) == 1000 and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
+@pytest.mark.parametrize("name,label,mod,held,sf", [("op2_toxicity", "toxic", 5, 0, "/root/testdata/sf0.1"),
+                                                   ("op5_quality", "quality", 3, 1, SF)])
+def test_held_out_accuracy(spark, name, label, mod, held, sf):
+    got = {r.doc_id: r for r in queries.QUERIES[name](spark, sf).collect()}
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got.values())
     assert all(r.held_out == (zlib.crc32(str(d).encode()) % mod == held) for d, r in got.items())
-    pairs = [(got[r.doc_id].score, r[label]) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()
+    pairs = [(got[r.doc_id].score, r[label]) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
              if got[r.doc_id].held_out]
     assert auc([p[0] for p in pairs], [p[1] for p in pairs]) > 0.95
 

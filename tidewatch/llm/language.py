@@ -12,7 +12,7 @@ of few letters the limit shrinks in proportion.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and
 is rejected; ties go to the smaller language name; with nothing to learn from
-all texts are ``und``; a null doc_id is kept; repeated rows are scored each;
+all texts are ``und`` and only those without a letter are rejected; a null doc_id is kept; repeated rows are scored each;
 an empty table gives no rows; other input columns are ignored.
 """
 
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidewatch.llm.common import remainder, ship, small_batches, texts
+from tidewatch.llm.common import cut, few, remainder, ship, small_batches, texts
 
 UNKNOWN = "und"
 #: Hash buckets of 1-, 2- and 3-grams.
@@ -118,8 +118,9 @@ def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int =
     # ids first, no text moves; a hash threshold leaves about four times the rows wanted of
     # a large language, so its rank sees as few rows at any size
     key = F.xxhash64("doc_id")
-    some = train.groupBy(F.col("lang").alias("_l")).agg(F.least(F.lit(1.0), 4.0 * per_language / F.count("*")).alias("_some"))
-    few_ids = train.select("lang", "doc_id").join(some, F.col("lang") == F.col("_l")) \
+    some = cut(train.groupBy(F.col("lang").alias("_l"))
+               .agg(F.least(F.lit(1.0), 4.0 * per_language / F.count("*")).alias("_some")))
+    few_ids = train.select("lang", "doc_id").join(few(some, MAX_BROADCAST_IDS), F.col("lang") == F.col("_l")) \
         .where(F.pmod(key, F.lit(1 << 20)) < F.col("_some") * (1 << 20))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = few_ids.withColumn("_r", rank).where(F.col("_r") <= per_language) \
@@ -196,6 +197,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     # a short text's cosine is low by chance: its limit shrinks with its letters
                     size = np.array([sum(map(str.isalpha, t[k].as_py()[:FULL_LETTERS])) for k in kept])
                     out[kept] = near < model.reach[best] * np.minimum(1, size / FULL_LETTERS)
+            else:                                          # nothing learned: only texts without a letter
+                out = np.array([not (t and any(map(str.isalpha, t))) for t in batch.column("text").to_pylist()], bool)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(lang, pa.string()), pa.array(value), pa.array(out)],
                 names=[*batch.schema.names, "lang_pred", "lang_score", "lang_rejected"])
