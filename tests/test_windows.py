@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators.windows import windowed_count, windowed_count_sets
+from tidewatch.operators.windows import windowed_count, windowed_count_sets, windowed_distinct
 from tidewatch.operators.ranking import top_n_per_window, window_report
 from tidewatch.plans import jobs
 from tidewatch.sources import tables as T
@@ -143,3 +143,102 @@ def test_pane_sweep_matches_brute_force_for_shapes(spark, size, slide, span):
     got = {r.window_end: r.cnt for r in
            windowed_count(df, "event_time", size, slide, panes=True).collect()}
     assert got == totals
+
+
+def brute_windows(rows, size, slide):
+    """Counts per (window end, key): windows start at every multiple of the slide."""
+    out = {}
+    for k, _, t in rows:
+        start = t // slide * slide
+        while start > t - size:
+            out[ts(start + size), k] = out.get((ts(start + size), k), 0) + 1
+            start -= slide
+    return out
+
+
+SHAPES = [(100, 7), (3600, 420), (95, 10), (600, 600), (10, 20), (200_000, 7_000)]
+
+
+@pytest.mark.parametrize("size,slide", SHAPES)
+def test_any_slide_gives_the_windows_of_the_definition(spark, size, slide):
+    import random
+    rnd = random.Random(size)
+    rows = [(rnd.choice("ab"), rnd.randrange(5), 86_300 + rnd.randrange(0, 4 * min(size, 4000))) for _ in range(150)]
+    df = frame(spark, DDL, rows)
+    want = brute_windows(rows, size, slide)
+    ntz = df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    for d in (df, ntz):
+        for panes in (True, False):
+            got = {(r.window_end, r.k): r.cnt for r in
+                   windowed_count(d, "event_time", size, slide, keys=["k"], panes=panes).collect()}
+            assert got == want, panes
+
+
+@pytest.mark.parametrize("size,slide", [(100, 7), (3600, 420), (95, 10)])
+def test_sliding_sketches_count_the_visitors_of_any_slide(spark, size, slide):
+    import random
+    rnd = random.Random(slide)
+    rows = [("a", rnd.randrange(30), 86_300 + rnd.randrange(0, 2 * size)) for _ in range(120)]
+    seen = {}
+    for _, u, t in rows:
+        for (end, _k) in brute_windows([("a", u, t)], size, slide):
+            seen.setdefault(end, set()).add(u)
+    got = {r.window_end: r.uv for r in windowed_distinct(frame(spark, DDL, rows), "event_time", size, "user_id",
+                                                         slide=slide, method="hll").collect()}
+    assert got == {end: len(us) for end, us in seen.items()}
+
+
+def test_sweep_branch_of_count_sets_at_full_fan_out(spark):
+    import random
+    rnd = random.Random(3)
+    rows = [(rnd.choice("abc"), 1, rnd.randrange(0, 9000)) for _ in range(200)]
+    df = frame(spark, DDL, rows)
+    got = {(r.window_end, r.k): r.cnt for r in windowed_count_sets(df, "event_time", "1 hour", "10 seconds", ["k"]).collect()}
+    want = brute_windows(rows, 3600, 10)
+    for (end, _), n in list(want.items()):
+        want[end, "total"] = want.get((end, "total"), 0) + n
+    assert got == want
+
+
+def test_sweep_takes_the_configured_partitions(spark):
+    from tidewatch.operators.windows import _expansion_partitions
+    df = spark.range(1)
+    assert _expansion_partitions(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _expansion_partitions(df, 5000) == 5000
+
+
+def _plan(df):
+    import contextlib
+    import io
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    return out.getvalue()
+
+
+def test_bitmap_count_is_hashed_not_sorted(spark):
+    ub = T.user_behavior(T.table(spark, SF_SMALL, "events"))
+    assert "SortAggregate" not in _plan(jobs.unique_visitors(ub, behavior="view", method="bitmap"))
+
+
+@pytest.mark.parametrize("n", [100, 5000])
+def test_cap_is_limited_per_hour_before_the_day(spark, n):
+    clicks = T.ad_click(T.table(spark, SF_SMALL, "events"))
+    plan = _plan(jobs.ad_click_cap(clicks, n=n))
+    assert plan.count("Window [") + plan.count("Window (") >= 2 or plan.count("+- Window") >= 2
+    assert "_hour" in plan and (n > 1000 or "WindowGroupLimit" in plan)
+
+
+def test_cap_equals_plain_numbering_at_any_n(spark):
+    import random
+    rnd = random.Random(8)
+    rows = [(1, "a", 86400 * 3 + rnd.randrange(0, 200_000), k) for k in range(400)]
+    df = frame(spark, "user_id BIGINT, ad_id STRING, event_time BIGINT, seq BIGINT", rows)
+    for n in (1, 37, 1500):
+        got = sorted((r.seq, r.outcome) for r in jobs.ad_click_cap(df, n=n).collect())
+        want, days = [], {}
+        for u, a, t, k in sorted(rows, key=lambda r: (r[2], r[3])):
+            days[t // 86400] = days.get(t // 86400, 0) + 1
+            if days[t // 86400] <= n + 1:
+                want.append((k, "pass" if days[t // 86400] <= n else "warn"))
+        assert got == sorted(want)

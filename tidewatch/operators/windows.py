@@ -5,15 +5,17 @@ Results carry ``window_end`` (the reference's ``windowEnd``), the keys and
 the measure.
 
 Sliding windows multiply every input row by ``size / slide``.  When that
-factor is large the *pane path* counts first per (key, pane of one slide)
-and only then spreads each pane to the windows that contain it, so the
-fan-out applies to pane counts rather than raw rows (SURVEY §4).  Both paths
+factor is large the *pane path* counts first per (key, pane; one slide wide, or
+gcd(size, slide) where the slide does not divide the size) and only then
+spreads each pane to the windows that contain it, so the fan-out applies to
+pane counts rather than raw rows (SURVEY §4).  Both paths
 plan as partial + final hash aggregates: a hot key or a busy window is
 combined map-side before any shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -43,17 +45,17 @@ def _keys(keys: Sequence[str | Column]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
-def _interval(seconds: int) -> Column:
-    return F.expr(f"INTERVAL {int(seconds)} SECONDS")
+def _expansion_partitions(df: DataFrame, partitions: int | None = None) -> int:
+    """Partitions for a shuffle whose output grows ``size/slide``-fold: the
+    caller's number or ``spark.sql.shuffle.partitions``.  It is given
+    explicitly, because AQE would coalesce the small pane rows by their bytes."""
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _expansion_partitions(df: DataFrame) -> int:
-    """Partitions for a shuffle whose output grows ``size/slide``-fold:
-    ``spark.sql.shuffle.partitions``, but at most four tasks per core, so an
-    untuned setting does not turn a small job into thousands of empty tasks
-    (AQE cannot coalesce an explicit count)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(n, 4 * df.sparkSession.sparkContext.defaultParallelism))
+def pane_seconds(size_s: int, slide_s: int) -> int:
+    """Width of a pane: every window is a whole number of panes, also when the
+    slide does not divide the size."""
+    return math.gcd(size_s, slide_s)
 
 
 def _owner_bucket_seconds(size_s: int, slide_s: int) -> int:
@@ -63,84 +65,134 @@ def _owner_bucket_seconds(size_s: int, slide_s: int) -> int:
     return -(-b // slide_s) * slide_s
 
 
-def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str]) -> DataFrame:
+def _pane_second(pane: DataFrame) -> Column:
+    """Start of a pane (``_ps``) in seconds since the epoch, zone-free for a
+    ``TIMESTAMP_NTZ``."""
+    if dict(pane.dtypes)["_ps"] == "timestamp_ntz":
+        return F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', _ps)")
+    return F.unix_seconds("_ps")
+
+
+def _time_of(pane: DataFrame, second: str) -> Column:
+    """Back from seconds to the pane's own time type."""
+    if dict(pane.dtypes)["_ps"] == "timestamp_ntz":
+        return F.expr(f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + "
+                      f"make_dt_interval(CAST({second} DIV 86400 AS INT), 0, 0, {second} % 86400)")
+    return F.timestamp_seconds(second)
+
+
+class _Grid:
+    """Window ends of one (size, slide), in seconds: ``size`` after every
+    multiple of the slide.  Panes start at multiples of ``gcd(size, slide)``,
+    which also divides every end, so a pane ``[p, p + g)`` lies in the windows
+    that end from ``up(p + g)`` to the last end not after ``p + size``."""
+
+    def __init__(self, size_s: int, slide_s: int):
+        self.size, self.slide, self.pane = size_s, slide_s, pane_seconds(size_s, slide_s)
+        self.bucket = _owner_bucket_seconds(size_s, slide_s)
+
+    def up(self, t: Column) -> Column:
+        """The first window end at or after ``t``."""
+        return t + F.pmod(F.lit(self.size % self.slide) - t, F.lit(self.slide))
+
+    def first(self, pane: Column) -> Column:
+        return self.up(pane + self.pane)
+
+    def after(self, pane: Column) -> Column:
+        """The first end whose window no longer holds the pane."""
+        return self.up(pane + self.size + self.pane)
+
+    def owner(self, end: Column) -> Column:
+        """Bucket ``b`` owns the ends in ``(b, b + bucket]``."""
+        at = end - self.pane
+        return at - F.pmod(at, F.lit(self.bucket))
+
+    def owners(self, pane: Column) -> Column:
+        """The (at most two) buckets that own a window holding the pane."""
+        return F.array_distinct(F.array(self.owner(self.first(pane)),
+                                        self.owner(self.after(pane) - self.slide)))
+
+    def bucket_first(self) -> Column:
+        return self.up(F.col("_bk") + self.pane)
+
+    def bucket_after(self) -> Column:
+        return self.up(F.col("_bk") + self.bucket + self.pane)
+
+    def ends(self) -> Column:
+        return F.explode(F.sequence("_lo", "_hi", F.lit(self.slide).cast("bigint"))).alias("_we")
+
+
+def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str],
+                 partitions: int | None = None) -> DataFrame:
     """Pane rows (``_ps`` = pane start, plus keys and measures) -> one row per
     (window end, pane) for the sliding windows that contain the pane.
 
     The windows are generated after a shuffle of the *pane* rows on
     ``part`` + an owner bucket ``_bk``: bucket ``b`` owns the window ends in
     ``(b, b + B]``, and a pane is sent to each (at most two) bucket owning a
-    window that contains it.  A later ``groupBy('window_end', *part, '_bk')``
-    is then satisfied by this partitioning, so the exploded rows are summed
-    where they are made and never cross the network.  A key's rows per task
-    are bounded by ``B / slide`` panes, however hot the key.
-
-    The shuffle takes an explicit partition count: its input is small (pane
-    rows) but the work after it grows ``size / slide`` times, and AQE would
-    otherwise coalesce it by input bytes into a handful of tasks.
+    window that contains it.  A later ``groupBy('_we', *part, '_bk')`` (``_we``:
+    the window end in seconds) is then satisfied by this partitioning, so the
+    exploded rows are summed where they are made and never cross the network.
+    A key's rows per task are bounded by the panes of a bucket, however hot the
+    key.
     """
-    B = _owner_bucket_seconds(size_s, slide_s)
-    p = F.col("_ps")
-    first = F.window(p, f"{B} seconds").getField("start")
-    last = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
-    with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(first, last))))
-    shuffled = with_bk.repartition(_expansion_partitions(pane), *[F.col(c) for c in part],
-                                   F.col("_bk"))
-    lo = F.greatest(p + _interval(slide_s), F.col("_bk") + _interval(slide_s))
-    hi = F.least(p + _interval(size_s), F.col("_bk") + _interval(B))
-    return shuffled.withColumn("window_end", F.explode(F.sequence(lo, hi, _interval(slide_s))))
+    grid = _Grid(size_s, slide_s)
+    p = F.col("_p")
+    shuffled = (pane.withColumn("_p", _pane_second(pane)).drop("_ps")
+                .withColumn("_bk", F.explode(grid.owners(p)))
+                .repartition(_expansion_partitions(pane, partitions), *[F.col(c) for c in part],
+                             F.col("_bk")))
+    return (shuffled.withColumn("_lo", F.greatest(grid.first(p), grid.bucket_first()))
+            .withColumn("_hi", F.least(grid.after(p), grid.bucket_after()) - slide_s)
+            .where("_lo <= _hi").withColumn("_we", grid.ends()).drop("_lo", "_hi", "_p"))
 
 
 def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence[str],
-                      name: str = "cnt") -> DataFrame:
+                      name: str = "cnt", partitions: int | None = None) -> DataFrame:
     """Sliding-window sums of pane counts (``_ps``, ``*keys``, ``_n``) by a
     sweep: ``window_end, *keys, <name>``, one row per non-empty window.
 
-    A pane starting at ``p`` adds ``_n`` to the windows ending in
-    ``[p + slide, p + size]``: +n at ``p + slide`` and -n at
-    ``p + size + slide``.  Per (key, owner bucket) the change points are
-    summed, a running sum over them gives the count from one change point
-    to the next, and each stretch with a positive count emits its window
+    A pane adds ``_n`` at the first window end that holds it and takes it off
+    at the first one that no longer does.  Per (key, owner bucket) the change
+    points are summed, a running sum over them gives the count from one change
+    point to the next, and each stretch with a positive count emits its window
     ends with ``sequence``.  Every output row is produced exactly once and
     no aggregate ever runs over the exploded rows.
 
-    Partitioning: pane rows are shuffled once on (keys, owner bucket); a
-    bucket owns the ends in ``(b, b + B]`` and also receives the panes of
-    the ``size - slide`` before it (their windows end inside it).  The
-    change-point aggregate and the running sum reuse that partitioning, so
-    no further exchange is planned.  A key holds at most
-    ``(B + size) / slide`` panes per bucket, however hot it is.
+    Partitioning: pane rows are shuffled once on (keys, owner bucket).  The
+    change-point aggregate and the running sum reuse that partitioning, so no
+    further exchange is planned.  A key holds at most the panes of one bucket
+    and of one window in a task, however hot it is.
     """
-    B = _owner_bucket_seconds(size_s, slide_s)
-    p = F.col("_ps")
-    own = F.window(p, f"{B} seconds").getField("start")
-    nxt = F.window(p + _interval(size_s - slide_s), f"{B} seconds").getField("start")
-    with_bk = pane.withColumn("_bk", F.explode(F.array_distinct(F.array(own, nxt))))
-    shuffled = with_bk.repartition(_expansion_partitions(pane), *[F.col(c) for c in keys],
-                                   F.col("_bk"))
+    grid = _Grid(size_s, slide_s)
+    p = F.col("_p")
+    shuffled = (pane.withColumn("_p", _pane_second(pane)).drop("_ps")
+                .withColumn("_bk", F.explode(grid.owners(p)))
+                .repartition(_expansion_partitions(pane, partitions), *[F.col(c) for c in keys],
+                             F.col("_bk")))
     deltas = shuffled.select(
         *keys, "_bk",
-        F.explode(F.array(
-            F.struct((p + _interval(slide_s)).alias("t"), F.col("_n").alias("d")),
-            F.struct((p + _interval(size_s + slide_s)).alias("t"), (-F.col("_n")).alias("d"))
-        )).alias("_c"))
+        F.explode(F.array(F.struct(grid.first(p).alias("t"), F.col("_n").alias("d")),
+                          F.struct(grid.after(p).alias("t"), (-F.col("_n")).alias("d")))).alias("_c"))
     points = (deltas.groupBy(*keys, "_bk", F.col("_c.t").alias("_t"))
               .agg(F.sum("_c.d").alias("_d")))
     spec = Window.partitionBy(*keys, "_bk").orderBy("_t")
     run = (points
            .withColumn(name, F.sum("_d").over(spec.rowsBetween(Window.unboundedPreceding, 0)))
            .withColumn("_next", F.lead("_t").over(spec)))
-    first = F.greatest(F.col("_t"), F.col("_bk") + _interval(slide_s))
-    stop = F.least(F.col("_next"), F.col("_bk") + _interval(B + slide_s)) - _interval(slide_s)
-    ends = (run.where((F.col(name) > 0) & F.col("_next").isNotNull() & (first <= stop))
-            .select(F.explode(F.sequence(first, stop, _interval(slide_s))).alias("window_end"),
-                    *keys, F.col(name).cast("bigint").alias(name)))
-    return ends
+    held = (run.where((F.col(name) > 0) & F.col("_next").isNotNull())
+            .withColumn("_lo", F.greatest(F.col("_t"), grid.bucket_first()))
+            .withColumn("_hi", F.least(F.col("_next"), grid.bucket_after()) - slide_s)
+            .where("_lo <= _hi"))
+    return (held.select(grid.ends(), *keys, F.col(name).cast("bigint").alias(name))
+            .select(_time_of(pane, "_we").alias("window_end"), *keys, name))
 
 
 def _use_panes(size: int, slide: int | None, panes: bool | str) -> bool:
     if slide is None or slide == size:
         return False
+    if slide > size:                                       # windows with gaps: window() has none
+        return True
     if panes == "auto":
         return size // slide >= PANE_FANOUT
     return bool(panes)
@@ -154,7 +206,7 @@ def windowed_count(df: DataFrame, ts: str, size: str | int, slide: str | int | N
     slide_s = _seconds(slide) if slide is not None else None
     keys = _keys(keys)
     if _use_panes(size_s, slide_s, panes):
-        pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
+        pane = (df.groupBy(F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start").alias("_ps"), *keys)
                 .agg(F.count(F.lit(1)).alias("_n")))
         key_names = [c for c in pane.columns if c not in ("_ps", "_n")]
         return sweep_pane_counts(pane, size_s, slide_s, key_names, name)
@@ -175,10 +227,8 @@ def windowed_distinct(df: DataFrame, ts: str, size: str | int, col: str,
             in a partial aggregate, shuffles on that triple, then counts, so
             no window's visitors are ever held in one set (A-4).
     bitmap  distinct offsets of the reference's 2^29-bit bitmap hash (A-5),
-            collisions included, counted with Spark's bitmap aggregates: the
-            bitmap is cut into 32768-bit chunks, one partial bitmap per
-            (window, chunk) is built map-side and OR-merged, and the window
-            sums its chunks' bit counts.  Same count as the reference.
+            collisions included: a visitor is its bit, and the set bits are
+            counted as the exact form counts visitors, by hash aggregates.
     hll     mergeable HyperLogLog sketches (A-6); with a sliding window each
             pane keeps one sketch and windows union their panes' sketches.
     """
@@ -187,24 +237,20 @@ def windowed_distinct(df: DataFrame, ts: str, size: str | int, col: str,
     slide_s = _seconds(slide) if slide is not None else None
     if method == "hll":
         if slide_s and slide_s != size_s:
-            pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
+            pane = (df.groupBy(F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start").alias("_ps"), *keys)
                     .agg(F.hll_sketch_agg(F.col(col), lg_k).alias("_sk")))
             key_names = [c for c in pane.columns if c not in ("_ps", "_sk")]
             ends = spread_panes(pane, size_s, slide_s, key_names)
-            return (ends.groupBy("window_end", *key_names, "_bk")
-                    .agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).alias(name)).drop("_bk"))
+            return (ends.groupBy("_we", *key_names, "_bk")
+                    .agg(F.hll_sketch_estimate(F.hll_union_agg("_sk")).alias(name))
+                    .select(_time_of(pane, "_we").alias("window_end"), *key_names, name))
         else:
             out = (df.groupBy(F.window(ts, _spec(size_s)).alias("_w"), *keys)
                    .agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(col), lg_k)).alias(name)))
     elif method == "bitmap":
-        off = bitmap_offset(col)
         w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s
              else F.window(ts, _spec(size_s)))
-        chunks = (df.groupBy(w.alias("_w"), *keys, F.bitmap_bucket_number(off).alias("_chunk"))
-                  .agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(off)))
-                       .alias("_bits")))
-        key_names = [c for c in chunks.columns if c not in ("_w", "_chunk", "_bits")]
-        out = chunks.groupBy("_w", *key_names).agg(F.sum("_bits").cast("bigint").alias(name))
+        out = df.groupBy(w.alias("_w"), *keys).agg(F.count_distinct(bitmap_offset(col)).alias(name))
     else:
         w = (F.window(ts, _spec(size_s), _spec(slide_s)) if slide_s
              else F.window(ts, _spec(size_s)))
@@ -228,7 +274,7 @@ def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | in
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
     if _use_panes(size_s, slide_s, "auto"):
-        pane = (df.groupBy(F.window(ts, _spec(slide_s)).getField("start").alias("_ps"), *keys)
+        pane = (df.groupBy(F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start").alias("_ps"), *keys)
                 .agg(F.count(F.lit(1)).alias("_n")))
         per_key = sweep_pane_counts(pane, size_s, slide_s, list(keys), name)
         pane_total = pane.groupBy("_ps").agg(F.sum("_n").alias("_n"))
