@@ -22,10 +22,12 @@ def from_epoch_millis(col: Column | str) -> Column:
     return F.timestamp_millis(_c(col))
 
 
-def parse_access_time(day_time: Column | str, offset: Column | str) -> Column:
-    """``17/05/2015:10:05:14`` + ``+0000`` -> TIMESTAMP, offset applied."""
-    return F.to_timestamp(F.concat_ws(" ", _c(day_time), _c(offset)),
-                          ACCESS_LOG_TIME_FORMAT)
+def parse_access_time(day_time: Column | str, offset: Column | str, strict: bool = True) -> Column:
+    """``day/month/year:time`` + zone offset -> TIMESTAMP, offset applied.  Not
+    strict: null where the text is no such time."""
+    parse = F.to_timestamp if strict else F.try_to_timestamp
+    form = ACCESS_LOG_TIME_FORMAT if strict else F.lit(ACCESS_LOG_TIME_FORMAT)
+    return parse(F.concat_ws(" ", _c(day_time), _c(offset)), form)
 
 
 def utc_day(ts: Column | str, ntz: bool = True) -> Column:
@@ -39,9 +41,11 @@ def utc_day(ts: Column | str, ntz: bool = True) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(_c(ts)) / 86400).cast("int"))
 
 
-def next_utc_midnight(ts: Column | str) -> Column:
-    """Start of the following day: when a daily counter resets (X-5)."""
-    return F.date_trunc("DAY", _c(ts)) + F.expr("INTERVAL 1 DAY")
+def next_utc_midnight(ts: Column | str, ntz: bool = True) -> Column:
+    """Start of the following UTC day: when a daily counter resets (X-5)."""
+    if ntz:
+        return F.date_trunc("DAY", _c(ts)).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    return F.timestamp_seconds((F.floor(F.unix_seconds(_c(ts)) / 86400) + 1) * 86400)
 
 
 def display_time(ts: Column | str) -> Column:

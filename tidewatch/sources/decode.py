@@ -7,7 +7,9 @@ record type of one reference job, with ``event_time`` as TIMESTAMP.  One
 
 ``mode="strict"`` casts with ANSI semantics, so a malformed line fails the
 job as it does in the reference.  ``mode="permissive"`` uses ``try_cast`` and
-adds a boolean ``malformed`` column; nothing is dropped silently.
+adds a boolean ``malformed`` column and the line itself (``raw``), for lines with
+missing fields, bad numbers or bad times alike; nothing is dropped silently:
+``split_malformed`` parts the records from the lines to set aside.
 """
 
 from __future__ import annotations
@@ -16,14 +18,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.time import from_epoch_millis, from_epoch_seconds, parse_access_time
 
-# Record types, as Spark DDL.
-USER_BEHAVIOR = "user_id BIGINT, item_id BIGINT, category_id INT, behavior STRING, event_time TIMESTAMP"
-ACCESS_LOG = "ip STRING, user_id STRING, event_time TIMESTAMP, method STRING, url STRING"
-MARKETING = "user_id STRING, behavior STRING, channel STRING, event_time TIMESTAMP"
-AD_CLICK = "user_id BIGINT, ad_id BIGINT, province STRING, city STRING, event_time TIMESTAMP"
-LOGIN = "user_id BIGINT, ip STRING, event_type STRING, event_time TIMESTAMP"
-ORDER_EVENT = "order_id BIGINT, event_type STRING, tx_id STRING, event_time TIMESTAMP"
-RECEIPT = "tx_id STRING, pay_channel STRING, event_time TIMESTAMP"
+# Seconds and milliseconds a Spark timestamp can hold; anything beyond is malformed.
+_MOST = {"s": 253_402_300_799, "ms": 253_402_300_799_999}
 
 
 def _cast(c: Column, type_: str, strict: bool) -> Column:
@@ -37,22 +33,35 @@ def _decode(lines: DataFrame, sep: str, fields: list[tuple[str, int, str]],
     parts = F.split(F.col("value"), sep)
     cols = []
     for name, idx, type_ in fields:
-        raw = parts.getItem(idx)
+        raw = parts.getItem(idx) if strict else F.get(parts, F.lit(idx))
         cols.append((name, raw if type_ == "string" else _cast(raw, type_, strict)))
     if time_field is not None:
         idx, unit = time_field
-        secs = _cast(parts.getItem(idx), "bigint", strict)
+        secs = _cast(parts.getItem(idx) if strict else F.get(parts, F.lit(idx)), "bigint", strict)
+        if not strict:
+            secs = F.when(F.abs(secs) <= _MOST[unit], secs)
         ts = from_epoch_seconds(secs) if unit == "s" else from_epoch_millis(secs)
         cols.append(("event_time", ts))
     for name, c in (extra or {}).items():
         cols.append((name, c))
-    out = lines.select(*[c.alias(n) for n, c in cols])
-    if not strict:
-        bad = F.lit(False)
-        for n, _ in cols:
-            bad = bad | F.col(n).isNull()
-        out = out.withColumn("malformed", bad)
-    return out
+    return _select(lines, cols, strict)
+
+
+def _select(lines: DataFrame, cols: list[tuple[str, Column]], strict: bool) -> DataFrame:
+    """The record columns; not strict: also ``malformed`` and the line as ``raw``."""
+    named = [c.alias(n) for n, c in cols]
+    if strict:
+        return lines.select(*named)
+    bad = F.lit(False)
+    for n, _ in cols:
+        bad = bad | F.col(n).isNull()
+    return lines.select(*named, F.col("value").alias("raw")).withColumn("malformed", bad)
+
+
+def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(records, malformed lines as ``value``) of a permissively decoded frame."""
+    return (decoded.where(~F.col("malformed")).drop("malformed", "raw"),
+            decoded.where("malformed").select(F.col("raw").alias("value")))
 
 
 def decode_user_behavior(lines: DataFrame, mode: str = "strict") -> DataFrame:
@@ -96,14 +105,12 @@ def decode_marketing(lines: DataFrame, mode: str = "strict") -> DataFrame:
 
 def decode_access_log(lines: DataFrame, mode: str = "strict") -> DataFrame:
     """``ip user - dd/MM/yyyy:HH:mm:ss +zzzz METHOD url`` (S-9)."""
+    strict = mode == "strict"
     parts = F.split(F.col("value"), " ")
-    ts = parse_access_time(parts.getItem(3), parts.getItem(4))
-    out = lines.select(parts.getItem(0).alias("ip"), parts.getItem(1).alias("user_id"),
-                       ts.alias("event_time"), parts.getItem(5).alias("method"),
-                       parts.getItem(6).alias("url"))
-    if mode != "strict":
-        out = out.withColumn("malformed", F.col("event_time").isNull() | F.col("url").isNull())
-    return out
+    at = [parts.getItem(i) if strict else F.get(parts, F.lit(i)) for i in range(7)]
+    cols = [("ip", at[0]), ("user_id", at[1]), ("event_time", parse_access_time(at[3], at[4], strict)),
+            ("method", at[5]), ("url", at[6])]
+    return _select(lines, cols, strict)
 
 
 DECODERS = {

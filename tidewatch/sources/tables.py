@@ -37,11 +37,16 @@ def user_behavior(events: DataFrame) -> DataFrame:
 
 
 def access_log(events: DataFrame) -> DataFrame:
-    """ApacheLogEvent: the event type plays the URL."""
+    """ApacheLogEvent: event type and item make the URL; items ending in 0 and 1
+    are a style sheet and an image (static resources)."""
+    item = item_of()
+    ending = (F.when(F.pmod(item, F.lit(10)) == 0, ".css").when(F.pmod(item, F.lit(10)) == 1, ".png")
+              .otherwise(""))
     return events.select(
         F.lit(None).cast("string").alias("ip"), F.col("user_id").cast("string").alias("user_id"),
         F.col("ts").alias("event_time"), F.lit("GET").alias("method"),
-        F.col("event_type").alias("url"), F.col("event_id"))
+        F.concat(F.lit("/"), F.col("event_type"), F.lit("/"), item.cast("string"), ending).alias("url"),
+        F.col("event_id"))
 
 
 def marketing(events: DataFrame, channels: int = 5) -> DataFrame:
@@ -52,23 +57,25 @@ def marketing(events: DataFrame, channels: int = 5) -> DataFrame:
         F.col("ts").alias("event_time"), F.col("event_id"))
 
 
-def ad_click(events: DataFrame, nation: DataFrame) -> DataFrame:
-    """AdClickLog: the ad is the event type, the province the user's nation
-    (user_id mod 25 = n_nationkey).
+def ad_click(events: DataFrame) -> DataFrame:
+    """AdClickLog: the click events; the ad is the event type, the province is
+    named by its number (user_id mod 25) until ``with_province`` looks it up."""
+    return events.where(F.col("event_type") == "click").select(
+        F.col("user_id"), F.col("event_type").alias("ad_id"),
+        F.pmod(F.col("user_id"), F.lit(25)).cast("int").alias("province_key"),
+        F.lit(None).cast("string").alias("city"), F.col("ts").alias("event_time"), F.col("event_id"))
+
+
+def with_province(clicks: DataFrame, nation: DataFrame) -> DataFrame:
+    """The province name of each click (or count) from its number.
 
     ``nation`` is a dimension; the join is left to the planner, which
     broadcasts it only while its measured size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both
-    sides.  A left join keeps every click whatever the dimension holds.
+    sides.  A left join keeps every row whatever the dimension holds.
     """
-    nkeys = F.pmod(F.col("user_id"), F.lit(25)).cast("int")
-    e = events.select(F.col("user_id"), F.col("event_type").alias("ad_id"),
-                      F.col("ts").alias("event_time"), F.col("event_id"),
-                      nkeys.alias("_nk"))
-    n = nation.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("province"))
-    return (e.join(n, "_nk", "left")
-            .select("user_id", "ad_id", "province", F.lit(None).cast("string").alias("city"),
-                    "event_time", "event_id"))
+    n = nation.select(F.col("n_nationkey").alias("province_key"), F.col("n_name").alias("province"))
+    return clicks.join(n, "province_key", "left").drop("province_key")
 
 
 # The event type that plays a failed login; every other type is a success.
