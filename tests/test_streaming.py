@@ -219,9 +219,16 @@ def test_tagged_writer_splits_outcomes(spark, tmp_path):
     base = str(tmp_path / "tagged")
     w = Wr.tagged_writer(base)
     w(df, 0)
-    w(df, 0)   # a replayed batch lands in the same batch folder
-    paid = spark.read.parquet(base).where("outcome = 'paid' AND _batch = 0")
-    assert paid.select("order_id").distinct().count() == 2
+    w(df, 1)
+    w(df, 0)                                               # replayed: replaces its own files
+    got = spark.read.parquet(base)
+    assert got.count() == 6 and got.where("outcome = 'paid' AND batch = 0").count() == 2
+    log, top = str(tmp_path / "log"), str(tmp_path / "top")
+    counts = frame(spark, "window_end BIGINT, url STRING, cnt BIGINT", [(10, "a", 1), (10, "b", 2)], "window_end")
+    for each, path, n in ((Wr.changelog_writer(log), log, 2), (Wr.batch_writer(top), top, 2)):
+        each(counts, 5)
+        each(counts, 5)
+        assert spark.read.parquet(path).count() == n
 
 
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
@@ -232,12 +239,14 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ddl, [("a", 1)]).schema,
                                             max_files=1), delay="60 seconds")
     name = f"t_{uuid.uuid4().hex[:8]}"
+    late = Wr.LateRows(spark, name)
     q = Wr.start(S.windowed_count_stream(st, "10 minutes", keys=["url"]), name,
                  available_now=True)
     q.awaitTermination(300)
     ends = sorted(r.window_end for r in spark.sql(f"SELECT * FROM {name}").collect())
     assert ts(600) not in ends                  # the row at 100 s came too late
     assert Wr.dropped_late_rows(q) >= 1
+    assert late.close() == 1
 
 
 def test_clicks_after_cap_stream(spark, tmp_path):
@@ -261,13 +270,13 @@ def test_text_line_stream_decoded(spark, tmp_path):
     from tidewatch.sources.text import read_lines
     src = tmp_path / "lines"
     src.mkdir()
-    (src / "a.csv").write_text("1035,1.1.1.1,fail,1558430842\n1035,1.1.1.1,fail,1558430843\n")
-    (src / "b.csv").write_text("1035,1.1.1.1,fail,1558430844\n9,1.1.1.1,fail,1600000000\n")
+    (src / "a.csv").write_text("71,10.0.0.1,fail,1700000042\n71,10.0.0.1,fail,1700000043\n")
+    (src / "b.csv").write_text("71,10.0.0.1,fail,1700000044\n9,10.0.0.2,fail,1700900000\n")
     logins = Wr.event_time(decode_login(read_lines(spark, str(src), stream=True,
                                                    max_files_per_trigger=1)),
                            delay="3 seconds")
     got = _bag(_run(S.login_fail_consecutive_stream(logins)), ["user_id", "start_time", "end_time"])
-    assert got == [(1035, ts(1558430842), ts(1558430843)), (1035, ts(1558430843), ts(1558430844))]
+    assert got == [(71, ts(1700000042), ts(1700000043)), (71, ts(1700000043), ts(1700000044))]
 
 
 def test_pay_after_unpaid_deadline_stream(spark, tmp_path):
@@ -380,3 +389,85 @@ def test_unique_visitors_bitmap_stream(spark, tmp_path):
     got = _bag(_run(S.unique_visitors_stream(ub, behavior="view", method="bitmap")),
                ["window_end", "uv"])
     assert [r for r in got if r[0] < ts(FAR)] == b
+
+
+def _parts(spark, tmp_path, ddl, parts):
+    """One file per part, one part per micro-batch."""
+    src = str(tmp_path / f"parts-{uuid.uuid4().hex[:6]}")
+    for k, part in enumerate(parts):
+        frame(spark, ddl, part).coalesce(1).write.parquet(f"{src}/p{k:03d}.parquet")
+        import time
+        time.sleep(0.02)                                   # files are taken in the order of their times
+    return Wr.read_table_stream(spark, f"{src}/*.parquet", frame(spark, ddl, parts[0]).schema, max_files=1)
+
+
+def test_late_rows_revise_the_real_windows(spark, tmp_path):
+    """10 min / 5 s windows, 1 s delay, 1 min lateness: a row 29 s after a window's end revises
+    it, one 90 s after is dropped there (and still counts in its later windows)."""
+    ddl = "url STRING, event_time BIGINT"
+    parts = [[("a", 10_000), ("b", 10_000), ("b", 10_001)], [("b", 10_603)], [("b", 10_604)],
+             [("a", 10_574)], [("b", 10_605)], [("a", 10_514), ("b", 10_605)], [("b", 11_900)]]
+    st = Wr.event_time(_parts(spark, tmp_path, ddl, parts), delay="61 seconds")
+    log, got = str(tmp_path / "revisions"), {}
+
+    def keep(b, i):
+        for r in b.collect():
+            got.setdefault(r.window_end, {})[i] = got.get(r.window_end, {}).get(i, []) + [(r.rank, r.url, r.cnt)]
+
+    q = Wr.start(S.hot_urls_counts_stream(st, revisions=True), f"t_{uuid.uuid4().hex[:8]}", mode="update",
+                 foreach_batch=S.revised_top_n_writer(log, 3, "url", keep), available_now=True)
+    q.awaitTermination(300)
+    assert q.exception() is None
+    newest = {(r.window_end, r.url): r.cnt for r in Wr.latest(spark, log, ["window_end", "url"]).collect()}
+    assert newest[ts(10_600), "a"] == newest[ts(10_575), "a"] == 3    # 10_000, 10_574 and 10_514
+    assert newest[ts(10_515), "a"] == 1                    # 10_514 came more than 61 s late
+    last = got[ts(10_600)][max(got[ts(10_600)])]
+    assert sorted(last) == [(1, "a", 3), (2, "b", 2)]
+    assert Wr.compact(spark, log, ["window_end", "url"], "2000-01-01") == 1
+    again = {(r.window_end, r.url): r.cnt for r in Wr.latest(spark, log, ["window_end", "url"]).collect()}
+    assert again == newest and spark.read.parquet(log).select("batch").distinct().count() == 1
+
+
+def _state_rows(q):
+    return [sum(o.numRowsTotal for o in p.stateOperators) for p in q.recentProgress]
+
+
+def test_finished_orders_leave_the_state(spark, tmp_path):
+    n = 20
+    parts = [[(k, "create", "", 1000, k) for k in range(n)] + [(k, "pay", "t", 1100, n + k) for k in range(n)],
+             [(900, "create", "", 50_000, 900)], [(901, "create", "", 50_001, 901)], [(902, "create", "", 50_002, 902)]]
+    st = Wr.event_time(_parts(spark, tmp_path, ORDER, parts))
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    q = Wr.start(S.order_outcomes_stream(st, limit=900, retention=600), name, available_now=True)
+    q.awaitTermination(300)
+    got = spark.sql(f"SELECT * FROM {name}")
+    assert got.where("outcome = 'paid'").count() == n
+    assert {r.msg for r in got.where("outcome = 'paid'").collect()} == {"order paid in time"}
+    rows = _state_rows(q)
+    assert max(rows) >= n and rows[-1] <= 3 * 3            # only the orders still open are held
+
+
+def test_hot_click_key_keeps_a_bounded_buffer(spark, tmp_path):
+    ddl = "user_id BIGINT, ad_id STRING, province STRING, event_time BIGINT, seq BIGINT"
+    day = 86400 * 20
+    parts = [[(7, "a", "bj", day + k % 80_000, k) for k in range(100_000)],
+             [(7, "a", "bj", day + 80_001, 200_000)], [(8, "b", "sh", day + 90_000, 200_001)],
+             [(8, "b", "sh", day + 400_000, 200_002)]]
+    st = Wr.event_time(_parts(spark, tmp_path, ddl, parts))
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    q = Wr.start(S.ad_click_cap_stream(st, n=100), name, available_now=True)
+    q.awaitTermination(300)
+    got = spark.sql(f"SELECT * FROM {name}").where("user_id = 7").collect()
+    assert sorted(r.outcome for r in got) == ["pass"] * 100 + ["warn"]
+    assert [r.msg for r in got if r.outcome == "warn"] == ["user 7 clicked ad a more than 100 times on 1970-01-21"]
+    assert max(_state_rows(q)) <= 400                      # not the 100,000 rows of the key
+
+
+def test_reports_from_a_stream(spark, tmp_path):
+    ddl = "url STRING, event_time BIGINT"
+    st = Wr.event_time(_parts(spark, tmp_path, ddl, [[("/a", 100), ("/a", 101), ("/b", 102)], [("/b", FAR)]]))
+    got = []
+    q = Wr.start(S.hot_urls_counts_stream(st), f"t_{uuid.uuid4().hex[:8]}", available_now=True,
+                 foreach_batch=S.report_writer(3, "url", "url", lambda b, i: got.extend(r.report for r in b.collect())))
+    q.awaitTermination(300)
+    assert any("No.1 url=/a count=2" in r and "No.2 url=/b count=1" in r for r in got)

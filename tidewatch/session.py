@@ -52,11 +52,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names storage every executor reaches; it is a
-    static setting, read here and never changed.  Only in local mode, where
+    static setting, read here; it is applied only where Spark has not done so.  Only in local mode, where
     it is unset (tests), is a folder under the system temp directory used;
     a cluster without it is an error rather than a machine-local folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    named = bool(root or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
@@ -67,7 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             import tempfile
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
         root = _LOCAL_ROOT
-    spark.sparkContext.setCheckpointDir(root)
+    if not named or not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)          # the session's own setting is left as it is
     return root
 
 

@@ -21,8 +21,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidewatch.functions.hashing import bitmap_offset
-from tidewatch.operators.ranking import top_n_per_window
-from tidewatch.operators.windows import _seconds
+from tidewatch.functions.messages import message
+from tidewatch.operators.ranking import top_n_per_window, window_report
+from tidewatch.operators.windows import _seconds, pane_seconds
+from tidewatch.plans import jobs
 from tidewatch.streaming import processors as P
 
 TS = "event_time"
@@ -33,13 +35,15 @@ STREAM_PANE_FANOUT = 60
 
 
 def windowed_count_stream(df: DataFrame, size: str | int, slide: str | int | None = None,
-                          keys: Sequence[str] = (), name: str = "cnt") -> DataFrame:
+                          keys: Sequence[str] = (), name: str = "cnt",
+                          revisions: bool = False) -> DataFrame:
     """``window_end, *keys, <name>`` in append mode (each window once, when
-    the watermark closes it)."""
+    the watermark closes it).  ``revisions``: for update mode, which allows one
+    aggregate only, so every row opens its windows directly."""
     size_s = _seconds(size)
     slide_s = _seconds(slide) if slide is not None else size_s
-    if slide_s != size_s and size_s // slide_s >= STREAM_PANE_FANOUT:
-        pane = (df.groupBy(F.window(TS, f"{slide_s} seconds").alias("_p"), *keys)
+    if not revisions and slide_s != size_s and size_s // slide_s >= STREAM_PANE_FANOUT:
+        pane = (df.groupBy(F.window(TS, f"{pane_seconds(size_s, slide_s)} seconds").alias("_p"), *keys)
                 .agg(F.count(F.lit(1)).alias("_n")))
         w = F.window(F.window_time("_p"), f"{size_s} seconds", f"{slide_s} seconds")
         out = pane.groupBy(w.alias("_w"), *keys).agg(F.sum("_n").cast("bigint").alias(name))
@@ -68,14 +72,14 @@ def hot_items_counts_stream(behaviors: DataFrame, size: str = "1 hour", slide: s
 
 
 def hot_urls_counts_stream(logs: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
-                           exclude_static: bool = False) -> DataFrame:
+                           exclude_static: bool = False, revisions: bool = False) -> DataFrame:
     """Q2 stream, first stage.  For the reference's late revisions (T-12) give
-    the input a watermark of delay + lateness and run in update mode into
-    ``wiring.changelog_writer``; ``wiring.latest`` + ``top_n_per_window``
-    then rank every revised window as a whole."""
+    the input a watermark of delay + lateness, set ``revisions`` and run in
+    update mode into ``revised_top_n_writer``, which ranks every revised window
+    again as a whole."""
     if exclude_static:
-        logs = logs.where(~F.col("url").rlike(r"\.(css|js|ico|png)$"))
-    return windowed_count_stream(logs, size, slide, keys=["url"])
+        logs = logs.where(~F.col("url").rlike(jobs.STATIC_URL))
+    return windowed_count_stream(logs, size, slide, keys=["url"], revisions=revisions)
 
 
 def revised_top_n(spark, changelog: str, n: int, key: str, by: str = "cnt") -> DataFrame:
@@ -90,23 +94,51 @@ def revised_top_n(spark, changelog: str, n: int, key: str, by: str = "cnt") -> D
 def revised_top_n_writer(changelog: str, n: int, key: str,
                          write: Callable[[DataFrame, int], None], by: str = "cnt"
                          ) -> Callable[[DataFrame, int], None]:
-    """T-12 in ``foreachBatch`` (update mode): append the batch's revised
-    (window, key) counts to the change log, then rank again every window
+    """T-12 in ``foreachBatch`` (update mode): put the batch's revised
+    (window, key) counts into the change log, then rank again every window
     the batch touched, from the newest counts of all its keys, and hand the
-    new top-N to ``write``.  Only the touched windows are read back (a
-    semi-join on the batch's window ends)."""
+    new top-N to ``write``.  Only the partitions of the touched days are read
+    back, and of those only the touched windows."""
     from tidewatch.streaming.wiring import changelog_writer, latest
     append = changelog_writer(changelog)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        append(batch, batch_id)
-        touched = batch.select("window_end").distinct()
-        newest = latest(batch.sparkSession, changelog, ["window_end", key])
-        revised = newest.join(touched, "window_end", "left_semi")
-        write(top_n_per_window(revised, n, key=key, by=by), batch_id)
+        batch.persist()
+        try:
+            append(batch, batch_id)
+            touched = batch.select("window_end").distinct()
+            days = [r.day for r in touched.select(F.date_format("window_end", "yyyy-MM-dd").alias("day"))
+                    .distinct().collect()]                 # the open windows' days: one or two
+            newest = latest(batch.sparkSession, changelog, ["window_end", key], days=days)
+            revised = newest.join(touched, "window_end", "left_semi")
+            write(top_n_per_window(revised, n, key=key, by=by), batch_id)
+        finally:
+            batch.unpersist()
     return each
 
 
+def report_writer(n: int, key: str, label: str, write: Callable[[DataFrame, int], None],
+                  by: str = "cnt") -> Callable[[DataFrame, int], None]:
+    """R-4 from a stream: one text block per closed window."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write(window_report(top_n_per_window(batch, n, key=key, by=by), key=key, label=label), batch_id)
+    return each
+
+
+def marketing_by_channel_stream(rows: DataFrame, size: str = "1 hour", slide: str = "10 seconds",
+                                exclude: str = "UNINSTALL") -> DataFrame:
+    """Q6 stream: ``window_end, channel, behavior, cnt``."""
+    return windowed_count_stream(rows.where(F.col("behavior") != exclude), size, slide,
+                                 keys=["channel", "behavior"])
+
+
+def marketing_total_stream(rows: DataFrame, size: str = "1 hour", slide: str = "10 seconds",
+                           exclude: str = "UNINSTALL") -> DataFrame:
+    """Q7 stream: the window total; ``channel`` and ``behavior`` read 'total'."""
+    out = windowed_count_stream(rows.where(F.col("behavior") != exclude), size, slide)
+    return out.select("window_end", F.lit("total").alias("channel"), F.lit("total").alias("behavior"), "cnt")
+
+
 def unique_visitors_running_stream(behaviors: DataFrame, size: str = "1 hour",
                                    behavior: str = "pv") -> DataFrame:
     """T-14/T-15 (Q5's early firings): running exact bitmap counts per
@@ -183,7 +215,8 @@ def tx_reconcile_stream(orders: DataFrame, receipts: DataFrame, tolerance: str |
     outcome = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), "matched")
                .when(F.col("_lk").isNotNull(), "order_only").otherwise("receipt_only"))
     return j.select(F.coalesce("_lk", "_rk").alias("tx_id"), "order_id", "pay_time",
-                    "receipt_time", "pay_channel", outcome.alias("outcome"))
+                    "receipt_time", "pay_channel", outcome.alias("outcome")) \
+        .withColumn("msg", jobs._msg_of(F.col("outcome"), jobs.RECONCILE_MSG))
 
 
 def _order(df: DataFrame) -> list[str]:
@@ -191,10 +224,14 @@ def _order(df: DataFrame) -> list[str]:
 
 
 def ad_click_cap_stream(clicks: DataFrame, n: int = 100) -> DataFrame:
-    """Q9 stream: ``user_id, ad_id, event_time, province, outcome``."""
+    """Q9 stream: ``user_id, ad_id, event_time, province, outcome, msg``."""
     out = P.run_ordered(clicks, ["user_id", "ad_id"], P.ClickCap(n=n), _order(clicks),
                         kind=F.lit("click"), tag="province")
-    return out.select("user_id", "ad_id", "event_time", F.col("tb"), "province", "outcome")
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("event_time") / 86400).cast("int"))
+    msg = message(f"user %s clicked ad %s more than {n} times on %s", F.col("user_id").cast("string"),
+                  F.col("ad_id").cast("string"), day.cast("string"))
+    return out.select("user_id", "ad_id", "event_time", F.col("tb"), "province", "outcome",
+                      F.when(F.col("outcome") == "warn", msg).alias("msg"))
 
 
 def ad_clicks_after_cap_stream(clicks: DataFrame, n: int = 100, size: str = "1 hour",
@@ -208,33 +245,41 @@ def ad_clicks_after_cap_stream(clicks: DataFrame, n: int = 100, size: str = "1 h
 
 def login_fail_consecutive_stream(logins: DataFrame, within: str | int = 2,
                                   fail: str = "fail") -> DataFrame:
-    """Q11 stream: ``user_id, start_time, end_time``."""
+    """Q11 stream: ``user_id, start_time, end_time, msg``."""
     w = _seconds(within) * 1_000_000
     out = P.run_ordered(logins, ["user_id"], P.ConsecutiveFailures(within_us=w, fail=fail),
                         _order(logins), kind="event_type")
     return out.select("user_id", P.us_to_ts("start_us").alias("start_time"),
-                      P.us_to_ts("end_us").alias("end_time"))
+                      P.us_to_ts("end_us").alias("end_time"),
+                      F.lit(f"login fail 2 times within {_seconds(within)}s").alias("msg"))
 
 
 def order_timeout_pattern_stream(orders: DataFrame, within: str | int = "9 minutes"
                                  ) -> DataFrame:
-    """Q12 stream: ``order_id, create_time, pay_time, outcome``."""
+    """Q12 stream: ``order_id, create_time, pay_time, outcome, msg``."""
     w = _seconds(within) * 1_000_000
     out = P.run_ordered(orders, ["order_id"], P.CreateThenPay(within_us=w), _order(orders),
                         kind="event_type", tag="tx_id")
     return out.select("order_id", P.us_to_ts("create_us").alias("create_time"),
-                      P.us_to_ts("pay_us").alias("pay_time"), "outcome")
+                      P.us_to_ts("pay_us").alias("pay_time"), "outcome",
+                      F.when(F.col("outcome") == "paid", "order paid in time")
+                      .otherwise("no payment in time").alias("msg"))
 
 
-def order_outcomes_stream(orders: DataFrame, limit: str | int = "15 minutes") -> DataFrame:
-    """Q13 stream: ``order_id, create_time, pay_time, outcome``.  Deadlines
+def order_outcomes_stream(orders: DataFrame, limit: str | int = "15 minutes",
+                          retention: str | int = "1 day") -> DataFrame:
+    """Q13 stream: ``order_id, create_time, pay_time, outcome, msg``.  Deadlines
     and rows interleave in event time.  A create-only order is ``unpaid`` at
     its deadline, and a pay after that deadline is ``pay_without_create``
     (the batch form, seeing the whole key, calls that pair ``paid_late``;
     SURVEY §2.11 row 8).  A pay at exactly the limit is ``paid_late`` in
-    both forms."""
+    both forms.  A finished order is remembered for ``retention`` after its
+    deadline, so that a late second pay is not taken for a new order, and then
+    its state is cleared."""
     w = _seconds(limit) * 1_000_000
-    out = P.run_ordered(orders, ["order_id"], P.OrderOutcome(limit_us=w), _order(orders),
-                        kind="event_type")
+    out = P.run_ordered(orders, ["order_id"],
+                        P.OrderOutcome(limit_us=w, retention_us=_seconds(retention) * 1_000_000),
+                        _order(orders), kind="event_type")
     return out.select("order_id", P.us_to_ts("create_us").alias("create_time"),
-                      P.us_to_ts("pay_us").alias("pay_time"), "outcome")
+                      P.us_to_ts("pay_us").alias("pay_time"), "outcome",
+                      jobs._msg_of(F.col("outcome"), jobs.OUTCOME_MSG).alias("msg"))

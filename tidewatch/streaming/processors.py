@@ -68,11 +68,25 @@ class OrderedProcessor(StatefulProcessor):
     # -- engine -------------------------------------------------------------
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         new = [(r.ts_us, r.tb, r.kind, r.tag) for r in rows]
-        if new:
-            self.buf.appendList(new)
-            self.timer_at(min(t for t, *_ in new))
+        kept = self.prune(new, None)
+        if kept is new:                                    # every row counts: append
+            if new:
+                self.buf.appendList(new)
+                self.timer_at(min(t for t, *_ in new))
+        elif kept:
+            held = [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
+            self.buf.put(self.prune(held + kept, held))
+            self.timer_at(min(t for t, *_ in kept))
         return iter([])
 
+    def prune(self, rows: list, held: list | None) -> list:
+        """Rows of a key that can still matter; the list itself when all do."""
+        return rows
+
+    def cancel_at(self, ts_us: int) -> None:
+        """Take back a timer that is no longer needed."""
+        self.handle.deleteTimer(-(-ts_us // 1000))
+
     def timer_at(self, ts_us: int) -> None:
         """Fire once the watermark (ms) has reached ``ts_us``."""
         self.handle.registerTimer(-(-ts_us // 1000))
@@ -85,7 +99,6 @@ class OrderedProcessor(StatefulProcessor):
         rest = [r for r in rows if r[0] > wm]
         if rest:
             self.buf.put(rest)
-            self.timer_at(min(r[0] for r in rest))
         elif rows:
             self.buf.clear()
         st = list(self.state.get()) if self.state.exists() else [None, None, None]
@@ -94,6 +107,8 @@ class OrderedProcessor(StatefulProcessor):
             out.extend(self.before(key, st, r[0]))
             out.extend(self.step(key, st, Row(ts_us=r[0], tb=r[1], kind=r[2], tag=r[3])))
         out.extend(self.on_watermark(key, st, wm))
+        if rest:                                           # last, so that no step has taken it back
+            self.timer_at(min(r[0] for r in rest))
         if st == [None, None, None]:
             self.state.clear()
         else:
@@ -134,7 +149,9 @@ class ConsecutiveFailures(OrderedProcessor):
 
 class ClickCap(OrderedProcessor):
     """Q9: first ``n`` clicks of a key per UTC day pass, the next one warns,
-    the rest are dropped.  State: day and count; cleared at midnight (T-5,
+    the rest are dropped.  Of each day only the first ``n + 1`` buffered clicks
+    are kept, and none once the day's warning is out, so a key's buffer is
+    bounded however hot it is.  State: day and count; cleared at midnight (T-5,
     on event time).  Rows keep their event time (``event_time``), so a
     windowed count can follow in the same query."""
 
@@ -142,6 +159,15 @@ class ClickCap(OrderedProcessor):
               "outcome STRING, event_time TIMESTAMP")
     EVENT_TIME = "event_time"
 
+    def prune(self, rows, held):
+        n = self.params["n"]
+        st = self.state.get() if self.state.exists() else None
+        by_day: dict[int, list] = {}
+        for r in rows:
+            if not (st and st[0] == _day(r[0]) and st[1] > n):
+                by_day.setdefault(_day(r[0]), []).append(r)
+        return [r for d in by_day.values() for r in sorted(d, key=lambda r: (r[0], r[1]))[:n + 1]]
+
     def _out(self, key, row, outcome):
         return Row(user_id=key[0], ad_id=str(key[1]), ts_us=row.ts_us, tb=row.tb,
                    province=row.tag, outcome=outcome,
@@ -173,38 +199,40 @@ class ClickCap(OrderedProcessor):
 class CreateThenPay(OrderedProcessor):
     """Q12: each create is matched by the first later pay (with a
     transaction id) less than ``within_us`` after it, else times out.
-    State: pending create times (comma list; a key has few pending creates)."""
+    State: list of pending create times, in order; a matched create's timer is
+    taken back."""
 
     OUTPUT = "order_id BIGINT, create_us BIGINT, pay_us BIGINT, outcome STRING"
+    PENDING = StructType([StructField("create_us", LongType())])
 
-    def _pending(self, st):
-        return [int(x) for x in st[2].split(",")] if st[2] else []
+    def init(self, handle):
+        super().init(handle)
+        self.pending = handle.getListState("pending", self.PENDING)
+
+    def _row(self, key, create_us, pay_us):
+        return Row(order_id=key[0], create_us=create_us, pay_us=pay_us,
+                   outcome="paid" if pay_us is not None else "timeout")
 
     def step(self, key, st, row):
-        within, out, keep = self.params["within_us"], [], []
-        pending = self._pending(st)
+        within, out = self.params["within_us"], []
         if row.kind == "pay" and row.tag:
-            for c in pending:
-                ok = row.ts_us - c < within
-                out.append(Row(order_id=key[0], create_us=c, pay_us=row.ts_us if ok else None,
-                               outcome="paid" if ok else "timeout"))
-            pending = []
+            for (c,) in (self.pending.get() if self.pending.exists() else ()):
+                out.append(self._row(key, c, row.ts_us if row.ts_us - c < within else None))
+                self.cancel_at(c + within)
+            self.pending.clear()
         elif row.kind == "create":
-            pending.append(row.ts_us)
-        keep = pending
-        st[2] = ",".join(map(str, keep)) or None
+            self.pending.appendValue((row.ts_us,))
+            self.timer_at(row.ts_us + within)
         return out
 
     def on_watermark(self, key, st, wm):
-        within, out, keep = self.params["within_us"], [], []
-        for c in self._pending(st):
-            if c + within <= wm:
-                out.append(Row(order_id=key[0], create_us=c, pay_us=None, outcome="timeout"))
-            else:
-                keep.append(c)
-                self.timer_at(c + within)
-        st[2] = ",".join(map(str, keep)) or None
-        return out
+        within = self.params["within_us"]
+        times = [c for (c,) in self.pending.get()] if self.pending.exists() else []
+        over = [c for c in times if c + within <= wm]
+        if over:
+            rest = [(c,) for c in times if c + within > wm]
+            self.pending.put(rest) if rest else self.pending.clear()
+        return [self._row(key, c, None) for c in over]
 
 
 class OrderOutcome(OrderedProcessor):
@@ -214,7 +242,8 @@ class OrderOutcome(OrderedProcessor):
     ``pay_without_create``.  A pay arriving after its order was reported
     ``unpaid`` is reported ``pay_without_create`` (SURVEY §2.11 row 8; the
     batch form, which sees the whole key, calls that pair ``paid_late``).
-    State: create time, pay time, phase (None, ``unpaid`` or ``done``)."""
+    State: create time, pay time, phase (None, ``unpaid`` or ``done``); cleared
+    ``retention_us`` after the deadline."""
 
     OUTPUT = "order_id BIGINT, create_us BIGINT, pay_us BIGINT, outcome STRING"
 
@@ -246,11 +275,19 @@ class OrderOutcome(OrderedProcessor):
         return []
 
     def on_watermark(self, key, st, wm):
-        if st[2] is not None or (st[0] is None and st[1] is None):
+        if st[0] is None and st[1] is None:
             return []
-        first = st[0] if st[0] is not None else st[1]
+        first = min(t for t in st[:2] if t is not None)
         deadline = first + self.params["limit_us"]
+        forget = deadline + self.params.get("retention_us", DAY_US)
+        if st[2] is not None:                              # finished: remembered for a while
+            if forget <= wm:
+                st[0] = st[1] = st[2] = None
+            else:
+                self.timer_at(forget)
+            return []
         if deadline <= wm:
+            self.timer_at(forget)
             if st[0] is not None:
                 st[2] = "unpaid"
                 return [Row(order_id=key[0], create_us=st[0], pay_us=None, outcome="unpaid")]
