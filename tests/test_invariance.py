@@ -18,7 +18,7 @@ def _shuffled(df):
 CASES = {
     "hot_items": lambda ev, nat: jobs.hot_items(T.user_behavior(ev), behavior="click"),
     "hot_urls": lambda ev, nat: jobs.hot_urls(T.access_log(ev), slide="1 minute"),
-    "cap": lambda ev, nat: jobs.ad_click_cap(T.ad_click(ev, nat), n=2),
+    "cap": lambda ev, nat: jobs.ad_click_cap(T.with_province(T.ad_click(ev), nat), n=2),
     "burst": lambda ev, nat: jobs.login_fail_burst(T.login(ev), gap="6 hours", fail="error"),
     "pattern": lambda ev, nat: jobs.order_timeout_pattern(T.order_events(ev), within="6 hours"),
     "reconcile": lambda ev, nat: jobs.tx_reconcile(T.order_events(ev), T.receipts(ev),

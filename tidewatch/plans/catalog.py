@@ -13,7 +13,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.plans import jobs
+from tidewatch.plans import jobs, streams
+from tidewatch.plans.decoded import KINDS, decoded
 from tidewatch.sources import tables as T
 
 # Stand-in limits for the pattern jobs on the test tables.
@@ -52,40 +53,55 @@ def q_unique_visitors_bitmap(spark, sf_dir):
 
 
 def q_unique_visitors_hll(spark, sf_dir):
-    return jobs.unique_visitors(T.user_behavior(_events(spark, sf_dir)), behavior="view",
-                                method="hll")
+    """A-6 held against the exact count: the sketch must lie within three of its
+    standard errors (1.04 / sqrt(2^lg_k)) of it, or one visitor."""
+    views = T.user_behavior(_events(spark, sf_dir))
+    exact = jobs.unique_visitors(views, behavior="view")
+    sketch = jobs.unique_visitors(views, behavior="view", method="hll").withColumnRenamed("uv", "estimate")
+    near = F.abs(F.col("estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), 3 * 1.04 / 64 * F.col("uv"))
+    return exact.join(sketch, "window_end").select("window_end", "uv", near.alias("within_three_errors"))
+
+
+def q_hot_urls_dynamic(spark, sf_dir):
+    return jobs.hot_urls(T.access_log(_events(spark, sf_dir)), exclude_static=True)
+
 
+def q_hot_urls_report(spark, sf_dir):
+    return jobs.hot_urls_report(T.access_log(_events(spark, sf_dir)))
 
-# Marketing: 1 h sliding 10 min (the reference's 10 s slide would multiply
-# every row 360 times for 14 rows an hour); 'error' plays UNINSTALL.
+
+# Marketing: 'error' plays UNINSTALL.
 def q_marketing_by_channel(spark, sf_dir):
-    return jobs.marketing_by_channel(T.marketing(_events(spark, sf_dir)), slide="10 minutes",
-                                     exclude="error")
+    return jobs.marketing_by_channel(T.marketing(_events(spark, sf_dir)), exclude="error")
 
 
 def q_marketing_total(spark, sf_dir):
-    return jobs.marketing_total(T.marketing(_events(spark, sf_dir)), slide="10 minutes",
-                                exclude="error")
+    return jobs.marketing_total(T.marketing(_events(spark, sf_dir)), exclude="error")
 
 
 def q_marketing_rollup(spark, sf_dir):
-    return jobs.marketing_rollup(T.marketing(_events(spark, sf_dir)), slide="10 minutes",
-                                 exclude="error")
+    return jobs.marketing_rollup(T.marketing(_events(spark, sf_dir)), exclude="error")
 
 
+# Ad clicks: Q8 and Q9 read one relation; provinces are looked up after the
+# cap and the counts, by their number.
 def _ad_clicks(spark, sf_dir) -> DataFrame:
-    return T.ad_click(_events(spark, sf_dir), T.table(spark, sf_dir, "nation"))
+    return T.ad_click(_events(spark, sf_dir))
+
+
+def _named(df: DataFrame, spark, sf_dir) -> DataFrame:
+    return T.with_province(df, T.table(spark, sf_dir, "nation"))
 
 
 def q_ad_clicks_by_province(spark, sf_dir):
-    clicks = _ad_clicks(spark, sf_dir).where(F.col("ad_id") == "click")
-    return jobs.ad_clicks_by_province(clicks)
+    r = jobs.ad_clicks_by_province(_ad_clicks(spark, sf_dir), province="province_key")
+    return _named(r, spark, sf_dir).select("window_end", "province", "cnt")
 
 
 def q_ad_click_cap(spark, sf_dir):
     r = jobs.ad_click_cap(_ad_clicks(spark, sf_dir), n=CAP_N)
-    return r.select("user_id", "ad_id", "province", "event_time", "event_id", "day",
-                    "seq_no", "outcome", "msg")
+    return _named(r, spark, sf_dir).select("user_id", "ad_id", "province", "event_time", "event_id", "day",
+                                           "seq_no", "outcome", "msg")
 
 
 def q_ad_click_warnings(spark, sf_dir):
@@ -93,7 +109,8 @@ def q_ad_click_warnings(spark, sf_dir):
 
 
 def q_ad_clicks_after_cap(spark, sf_dir):
-    return jobs.ad_clicks_after_cap(_ad_clicks(spark, sf_dir), n=CAP_N, slide="5 minutes")
+    r = jobs.ad_clicks_after_cap(_ad_clicks(spark, sf_dir), n=CAP_N, province="province_key")
+    return _named(r, spark, sf_dir).select("window_end", "province", "cnt")
 
 
 def q_login_fail_burst(spark, sf_dir):
@@ -125,6 +142,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items": q_hot_items,
     "hot_items_report": q_hot_items_report,
     "hot_urls": q_hot_urls,
+    "hot_urls_dynamic": q_hot_urls_dynamic,
+    "hot_urls_report": q_hot_urls_report,
     "page_views": q_page_views,
     "unique_visitors": q_unique_visitors,
     "unique_visitors_bitmap": q_unique_visitors_bitmap,
@@ -141,4 +160,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_timeout_pattern": q_order_timeout_pattern,
     "order_outcomes": q_order_outcomes,
     "tx_reconcile": q_tx_reconcile,
+    **{f"decode_{kind}": decoded(kind) for kind in KINDS},
+    "stream_page_views": streams.q_page_views,
+    "stream_hot_items": streams.q_hot_items,
+    "stream_login_fail_burst": streams.q_login_fail_burst,
 }

@@ -68,6 +68,11 @@ def hot_items_report(behaviors: DataFrame, **kw) -> DataFrame:
     return window_report(hot_items(behaviors, **kw), key="item_id", label="item")
 
 
+def hot_urls_report(logs: DataFrame, **kw) -> DataFrame:
+    """R-4: Q2 as one text block per window."""
+    return window_report(hot_urls(logs, **kw), key="url", label="url")
+
+
 # --- Q3 .. Q5: page views and unique visitors ---------------------------------
 
 def page_views(behaviors: DataFrame, size: str = "1 hour", behavior: str = "pv") -> DataFrame:
@@ -111,9 +116,9 @@ def marketing_rollup(rows: DataFrame, size: str = "1 hour", slide: str = "10 sec
 # --- Q8 / Q9: ad clicks -------------------------------------------------------
 
 def ad_clicks_by_province(clicks: DataFrame, size: str = "1 hour",
-                          slide: str = "5 seconds") -> DataFrame:
-    """Q8: ``window_end, province, cnt``."""
-    return windowed_count(clicks, TS, size, slide, keys=["province"])
+                          slide: str = "5 seconds", province: str = "province") -> DataFrame:
+    """Q8: ``window_end, province, cnt`` (or the column that names the province)."""
+    return windowed_count(clicks, TS, size, slide, keys=[province])
 
 
 def ad_click_cap(clicks: DataFrame, n: int = 100, keys: tuple[str, ...] = ("user_id", "ad_id")
@@ -136,11 +141,11 @@ def ad_click_warnings(clicks: DataFrame, n: int = 100,
 
 
 def ad_clicks_after_cap(clicks: DataFrame, n: int = 100, size: str = "1 hour",
-                        slide: str = "5 seconds",
+                        slide: str = "5 seconds", province: str = "province",
                         keys: tuple[str, ...] = ("user_id", "ad_id")) -> DataFrame:
     """Q9 main output: Q8 over the clicks that passed the cap."""
     passed = ad_click_cap(clicks, n, keys).where(F.col("outcome") == "pass")
-    return ad_clicks_by_province(passed, size, slide)
+    return ad_clicks_by_province(passed, size, slide, province)
 
 
 # --- Q10 / Q11: failed logins --------------------------------------------------
@@ -185,16 +190,16 @@ def order_timeout_pattern(orders: DataFrame, within: str | int = "9 minutes",
     is_pay = (F.col("event_type") == "pay") & (F.coalesce(F.col("tx_id"), F.lit("")) != "")
     m = followed_by(orders, list(keys), order_of(orders), is_create, is_pay, w)
     outcome = F.when(F.col("matched"), "paid").otherwise("timeout")
-    msg = F.when(F.col("matched"), F.lit("pay successfully")).otherwise(F.lit("time out"))
+    msg = F.when(F.col("matched"), F.lit("order paid in time")).otherwise(F.lit("no payment in time"))
     return m.select(*keys, F.col("start_time").alias("create_time"),
                     F.col("end_time").alias("pay_time"), outcome.alias("outcome"), msg.alias("msg"))
 
 
 OUTCOME_MSG = {
-    "paid": "pay successfully",
-    "paid_late": "pay but over timeout",
-    "unpaid": "pay time out",
-    "pay_without_create": "pay without create",
+    "paid": "order paid in time",
+    "paid_late": "order paid after its limit",
+    "unpaid": "order not paid within its limit",
+    "pay_without_create": "payment for an unknown order",
 }
 
 
@@ -217,7 +222,7 @@ def order_outcomes(orders: DataFrame, limit: str | int = "15 minutes",
 
 
 RECONCILE_MSG = {
-    "matched": "success",
+    "matched": "payment and receipt agree",
     "order_only": "no receipt for this payment",
     "receipt_only": "no payment for this receipt",
 }

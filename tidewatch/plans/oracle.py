@@ -8,6 +8,8 @@ match the Spark results (counts and ranks BIGINT).
 
 from __future__ import annotations
 
+from tidewatch.plans.decoded import KINDS, oracle
+
 
 def _sliding(slide: str, n: int) -> tuple[str, str]:
     """(window_end expression, join clause) for windows of n slides."""
@@ -17,9 +19,8 @@ def _sliding(slide: str, n: int) -> tuple[str, str]:
 
 _HI_END, _HI_JOIN = _sliding("5 MINUTE", 12)
 _HU_END, _HU_JOIN = _sliding("5 SECOND", 120)
-_MK_END, _MK_JOIN = _sliding("10 MINUTE", 6)
+_MK_END, _MK_JOIN = _sliding("10 SECOND", 360)
 _AD_END, _AD_JOIN = _sliding("5 SECOND", 720)
-_AC_END, _AC_JOIN = _sliding("5 MINUTE", 12)
 
 _BITMAP = ("list_reduce(list_prepend(0::BIGINT, list_transform(string_split(user_id::VARCHAR, ''), "
            "lambda x: ascii(x)::BIGINT)), lambda a, x: (a * 61 + x) & 536870911)")
@@ -27,7 +28,8 @@ _BITMAP = ("list_reduce(list_prepend(0::BIGINT, list_transform(string_split(user
 _AD_CLICKS = """
   SELECT e.user_id, e.event_type AS ad_id, n.n_name AS province, e.ts AS event_time,
          e.event_id, CAST(e.ts AS DATE) AS day
-  FROM events e LEFT JOIN nation n ON e.user_id % 25 = n.n_nationkey"""
+  FROM events e LEFT JOIN nation n ON e.user_id % 25 = n.n_nationkey
+  WHERE e.event_type = 'click'"""
 
 _CAPPED = f"""
   WITH a AS ({_AD_CLICKS}),
@@ -46,6 +48,16 @@ _ORDERS = """
          CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS tx_id
   FROM events WHERE event_type IN ('signup', 'purchase')"""
 
+_TOP_URLS = f"""
+      WITH u AS (SELECT ts, '/' || event_type || '/' || json_extract_string(props, '$.k') ||
+                        CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 10
+                             WHEN 0 THEN '.css' WHEN 1 THEN '.png' ELSE '' END AS url FROM events),
+      c AS (SELECT {_HU_END} AS window_end, url FROM u {_HU_JOIN} WHERE {{keep}}),
+      g AS (SELECT window_end, url, count(*) AS cnt FROM c GROUP BY 1, 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rn
+            FROM g)
+      SELECT window_end, url, cnt, CAST(rn AS BIGINT) AS rank FROM r WHERE rn <= 3"""
+
 ORACLE_SQL: dict[str, str] = {
     "hot_items": f"""
       WITH c AS (SELECT {_HI_END} AS window_end,
@@ -71,12 +83,18 @@ ORACLE_SQL: dict[str, str] = {
                        repeat('=', 40)) AS report
       FROM r WHERE rn <= 3 GROUP BY window_end""",
 
-    "hot_urls": f"""
-      WITH c AS (SELECT {_HU_END} AS window_end, event_type AS url FROM events {_HU_JOIN}),
-      g AS (SELECT window_end, url, count(*) AS cnt FROM c GROUP BY 1, 2),
-      r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rn
-            FROM g)
-      SELECT window_end, url, cnt, CAST(rn AS BIGINT) AS rank FROM r WHERE rn <= 3""",
+    "hot_urls": _TOP_URLS.format(keep="true"),
+
+    "hot_urls_dynamic": _TOP_URLS.format(keep="NOT regexp_matches(url, '[.](css|js|ico|png)$')"),
+
+    "hot_urls_report": f"""
+      WITH r AS ({_TOP_URLS.format(keep="true")})
+      SELECT window_end,
+             concat_ws(chr(10), repeat('=', 40),
+                       'time: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S'),
+                       string_agg(printf('No.%d url=%s count=%d', rank, url, cnt), chr(10) ORDER BY rank),
+                       repeat('=', 40)) AS report
+      FROM r GROUP BY window_end""",
 
     "page_views": """
       SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS pv
@@ -87,6 +105,11 @@ ORACLE_SQL: dict[str, str] = {
              count(DISTINCT user_id) AS uv
       FROM events WHERE event_type = 'view' GROUP BY 1""",
 
+    "unique_visitors_hll": """
+      SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+             count(DISTINCT user_id) AS uv, true AS within_three_errors
+      FROM events WHERE event_type = 'view' GROUP BY 1""",
+
     "unique_visitors_bitmap": f"""
       SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
              count(DISTINCT {_BITMAP}) AS uv
@@ -110,7 +133,7 @@ ORACLE_SQL: dict[str, str] = {
       SELECT window_end, 'total', 'total', count(*) FROM c GROUP BY 1""",
 
     "ad_clicks_by_province": f"""
-      WITH a AS ({_AD_CLICKS}), c AS (SELECT event_time AS ts, province FROM a WHERE ad_id = 'click')
+      WITH a AS ({_AD_CLICKS}), c AS (SELECT event_time AS ts, province FROM a)
       SELECT {_AD_END} AS window_end, province, count(*) AS cnt
       FROM c {_AD_JOIN} GROUP BY 1, 2""",
 
@@ -121,7 +144,7 @@ ORACLE_SQL: dict[str, str] = {
 
     "ad_clicks_after_cap": f"""
       WITH c AS ({_CAPPED}), p AS (SELECT event_time AS ts, province FROM c WHERE outcome = 'pass')
-      SELECT {_AC_END} AS window_end, province, count(*) AS cnt FROM p {_AC_JOIN} GROUP BY 1, 2""",
+      SELECT {_AD_END} AS window_end, province, count(*) AS cnt FROM p {_AD_JOIN} GROUP BY 1, 2""",
 
     "login_fail_burst": """
       WITH f AS (SELECT user_id, ts, event_id,
@@ -157,7 +180,7 @@ ORACLE_SQL: dict[str, str] = {
             GROUP BY c.order_id, c.ts, c.event_id)
       SELECT order_id, create_time, pay_time,
              CASE WHEN pay_time IS NOT NULL THEN 'paid' ELSE 'timeout' END AS outcome,
-             CASE WHEN pay_time IS NOT NULL THEN 'pay successfully' ELSE 'time out' END AS msg
+             CASE WHEN pay_time IS NOT NULL THEN 'order paid in time' ELSE 'no payment in time' END AS msg
       FROM m""",
 
     "order_outcomes": f"""
@@ -176,10 +199,10 @@ ORACLE_SQL: dict[str, str] = {
               WHEN create_time IS NOT NULL THEN 'unpaid'
               ELSE 'pay_without_create' END AS outcome FROM j)
       SELECT order_id, day, create_time, pay_time, outcome,
-             CASE outcome WHEN 'paid' THEN 'pay successfully'
-                          WHEN 'paid_late' THEN 'pay but over timeout'
-                          WHEN 'unpaid' THEN 'pay time out'
-                          ELSE 'pay without create' END AS msg
+             CASE outcome WHEN 'paid' THEN 'order paid in time'
+                          WHEN 'paid_late' THEN 'order paid after its limit'
+                          WHEN 'unpaid' THEN 'order not paid within its limit'
+                          ELSE 'payment for an unknown order' END AS msg
       FROM k""",
 
     "tx_reconcile": f"""
@@ -197,8 +220,41 @@ ORACLE_SQL: dict[str, str] = {
                  AND r.receipt_time BETWEEN p.pay_time - INTERVAL 1 HOUR
                                         AND p.pay_time + INTERVAL 1 HOUR)
       SELECT tx_id, order_id, pay_time, receipt_time, pay_channel, outcome,
-             CASE outcome WHEN 'matched' THEN 'success'
+             CASE outcome WHEN 'matched' THEN 'payment and receipt agree'
                           WHEN 'order_only' THEN 'no receipt for this payment'
                           ELSE 'no payment for this receipt' END AS msg
       FROM j""",
+
+    **{f"decode_{kind}": oracle(kind) for kind in KINDS},
+
+    # a stream has closed the windows that its watermark, the last event of its kind, has passed
+    "stream_page_views": """
+      WITH v AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, count(*) AS pv
+                 FROM events WHERE event_type = 'view' GROUP BY 1)
+      SELECT * FROM v WHERE window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type = 'view')""",
+
+    "stream_hot_items": f"""
+      WITH c AS (SELECT {_HI_END} AS window_end,
+                        CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id
+                 FROM events {_HI_JOIN} WHERE event_type = 'click'),
+      g AS (SELECT window_end, item_id, count(*) AS cnt FROM c GROUP BY 1, 2),
+      r AS (SELECT *, row_number() OVER (PARTITION BY window_end
+                                         ORDER BY cnt DESC, item_id) AS rn FROM g)
+      SELECT window_end, item_id, cnt, CAST(rn AS BIGINT) AS rank FROM r
+      WHERE rn <= 3 AND window_end <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type = 'click')""",
+
+    "stream_login_fail_burst": """
+      WITH f AS (SELECT user_id, ts, event_id,
+                        lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
+                 FROM events WHERE event_type = 'error'),
+      s AS (SELECT *, sum(CASE WHEN prev IS NULL OR ts > prev + INTERVAL 6 HOUR THEN 1 ELSE 0 END)
+                      OVER (PARTITION BY user_id ORDER BY ts, event_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+            FROM f),
+      g AS (SELECT user_id, min(ts) AS start_time, max(ts) AS end_time, count(*) AS fails
+            FROM s GROUP BY user_id, run)
+      SELECT user_id, start_time, end_time, fails,
+             'login fail ' || fails || ' times within 21600s' AS msg
+      FROM g WHERE fails >= 2
+        AND end_time + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type = 'error')""",
 }
