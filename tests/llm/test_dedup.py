@@ -202,3 +202,18 @@ def test_line_query_equals_sql(spark, tmp_path):
     names = [c[0] for c in cur.description]
     assert by_id([tuple(r[n] for n in names) for r in got]) == by_id(cur.fetchall())
     assert hashlib.sha256(b"").hexdigest() in {r.kept_sha256 for r in got}
+
+
+def test_pages_of_boilerplate_are_cleaned_and_copies_are_not(spark):
+    """A page that is mostly boilerplate loses it; a text copied to many sites stays."""
+    import corpus_pipeline
+    body = [words(5000 + j, 12) for j in range(8)]
+    rows = line_rows() + [(50, f"Accept all cookies\n{words(997, 2)}\n(c) site", "en", "s3")]
+    rows += [(60 + k, "\n".join([*body[:7], f"{body[7]} edit{k}"]), "en", f"t{k}") for k in range(12)]
+    rows += [(80, f"{body[0]}\nmine", "en", "s4")]
+    docs = frame(spark, rows)
+    assert {r.doc_id for r in lines.remove(docs).where("copied").collect()} >= {40, 50, 60, 71}
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert out[50] == words(997, 2) and out[40] == ""
+    assert all(out[r[0]] == r[1] for r in rows if r[0] is not None and r[0] >= 60)
+    assert out[0] == "\n".join([*[words(j, 12) for j in range(6)], ""])

@@ -7,9 +7,12 @@ the others a HyperLogLog sketch of sites per line hash is built and merged by
 aggregation.  Estimates of at least twice the threshold are boilerplate, those
 under half of it are not, and the lines between get an exact distinct count.
 
-A document of which boilerplate would take more than ``max_share`` of the
-line bytes is a copied document, not a page with boilerplate around its
-content: it is left whole, for the near-duplicate stages.
+``remove`` leaves a document whole of which boilerplate would take more than
+``max_share`` of the line bytes, as its SQL says, copy or not.  ``remove_all``,
+the pipeline's stage, leaves none out: documents of so large a share are put in
+classes of near copies (``partenum``), each class votes for its lines as one
+site, and the lines still on ``min_sites`` sites leave every document.  So a
+text copied to many sites keeps its lines, and a page of boilerplate does not.
 
 Lines are named by 128 bits of hash, sites by 64.  Counting shuffles one row
 per distinct line and task; a hot line is summed before the shuffle.  Sets of
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidewatch.llm import partenum
 from tidewatch.llm.common import cut, few, text_key
 
 RESULT = ("n_lines", "n_removed", "copied")
@@ -41,11 +45,8 @@ def _lines(docs: DataFrame, *cols: str) -> DataFrame:
             .select(*cols, "pos", *_hashes(F.col("line")), F.octet_length("line").alias("size")))
 
 
-def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
-                broadcast_lines: int = 200_000) -> DataFrame:
-    """Hashes ``h1, h2`` of the lines on at least ``min_sites`` sites."""
-    lines = _lines(docs.where(F.col("source").isNotNull()).select("text", F.xxhash64("source").alias("site")),
-                   "site").select("h1", "h2", "site")
+def _on_sites(lines: DataFrame, min_sites: int, lg_k: int, broadcast_lines: int) -> DataFrame:
+    """Hashes ``h1, h2`` of the ``lines(h1, h2, site)`` on at least ``min_sites`` sites."""
     often = cut(lines.groupBy("h1", "h2")
                 .agg(F.count("*").alias("n"), F.min("site").alias("lo"), F.max("site").alias("hi"))
                 .where((F.col("n") >= min_sites) & ((F.col("lo") < F.col("hi")) | F.lit(min_sites <= 1)))
@@ -60,11 +61,56 @@ def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
     return spread.where(F.col("sites") >= 2 * min_sites).select("h1", "h2").unionByName(exact)
 
 
+def _sited(docs: DataFrame) -> DataFrame:
+    """``k1`` (a hash of the text), ``text`` and ``site`` of the documents with a source."""
+    return docs.where(F.col("source").isNotNull()) \
+        .select(text_key(F.col("text"))[0], "text", F.xxhash64("source").alias("site"))
+
+
+def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
+                broadcast_lines: int = 200_000) -> DataFrame:
+    """Hashes ``h1, h2`` of the lines on at least ``min_sites`` sites."""
+    return _on_sites(_lines(_sited(docs), "site").select("h1", "h2", "site"), min_sites, lg_k, broadcast_lines)
+
+
+def voted(docs: DataFrame, found: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
+          broadcast_lines: int = 200_000) -> DataFrame:
+    """Those of the lines ``found`` that are on ``min_sites`` sites when near copies vote once.
+
+    Near copies are looked for among the documents of which ``found`` holds more than
+    ``max_share`` of the line bytes; a class of them stands on its smallest site only."""
+    texts = cut(_sited(_without(docs, found, max_share, broadcast_lines).where("copied"))
+                .groupBy("k1").agg(F.first("text").alias("text"), F.min("site").alias("site")))
+    if not texts.limit(1).count():
+        return found
+    classes = cut(partenum.classes(texts.select(F.col("k1").alias("doc_id"), "text"))
+                  .select(F.col("doc_id").alias("k1"), "component_id").join(texts.select("k1", "site"), "k1"))
+    vote = cut(classes.groupBy("component_id").agg(F.min("site").alias("vote")))
+    votes = cut(classes.join(few(vote), "component_id").select("k1", "vote"))
+    lines = _lines(_sited(docs), "k1", "site").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi") \
+        .join(few(votes), "k1", "left").select("h1", "h2", F.coalesce("vote", "site").alias("site"))
+    return _on_sites(lines, min_sites, lg_k, broadcast_lines)
+
+
 def remove(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
            broadcast_lines: int = 200_000) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and RESULT columns."""
-    docs = docs.select(*[c for c in docs.columns if c not in (*RESULT, "__gone")])
     found = cut(boilerplate(docs, min_sites=min_sites, lg_k=lg_k, broadcast_lines=broadcast_lines))
+    return _without(docs, found, max_share, broadcast_lines)
+
+
+def remove_all(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
+               broadcast_lines: int = 200_000) -> DataFrame:
+    """As ``remove``, but near copies vote once for their lines, and no document is left
+    whole for its share of boilerplate."""
+    settings = {"min_sites": min_sites, "lg_k": lg_k, "broadcast_lines": broadcast_lines}
+    found = cut(boilerplate(docs, **settings))
+    return _without(docs, cut(voted(docs, found, max_share=max_share, **settings)), None, broadcast_lines)
+
+
+def _without(docs: DataFrame, found: DataFrame, max_share: float | None, broadcast_lines: int) -> DataFrame:
+    """``docs`` less the lines ``found``, but for documents that would lose more than ``max_share``."""
+    docs = docs.select(*[c for c in docs.columns if c not in (*RESULT, "__gone")])
     keyed = docs.select("doc_id", *text_key(F.col("text")), "text")
     gone = (_lines(keyed, "doc_id", "k1", "k2").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi")
             .groupBy("doc_id", "k1", "k2").agg(F.collect_set("pos").alias("__gone"))
@@ -76,7 +122,7 @@ def remove(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k
     kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("__gone"), i))
     size = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.octet_length(F.trim(x)))
     touched = F.col("__gone").isNotNull()
-    copied = touched & (size(parts) - size(kept) > max_share * size(parts))
+    copied = F.lit(False) if max_share is None else touched & (size(parts) - size(kept) > max_share * size(parts))
     cleaned = joined.withColumn("copied", F.coalesce(copied, F.lit(False))) \
         .withColumn("n_lines", F.size(parts).cast("long")) \
         .withColumn("n_removed", F.when(touched & ~F.col("copied"), F.size("__gone")).otherwise(0).cast("long")) \
