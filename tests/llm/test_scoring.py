@@ -138,3 +138,27 @@ def test_language_odd_rows(spark):
     nothing = language.fit(docs.where("false"))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
     assert language.identify(docs.where("false"), model).count() == 0
+
+
+def test_language_limit_counts_the_whole_text(spark):
+    """What a text opens with does not spare it: the limit follows its letters."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    far = "Это совсем другой язык, который никто не учил. " * 20
+    one = docs.where("lang = 'de'").orderBy("doc_id").first().text
+    rows = [(1, "7" * 400 + " " + far), (2, " " * 400 + far), (3, "- " * 200 + far), (4, "7" * 400 + " " + one), (5, one)]
+    got = {r.doc_id: r.lang_rejected for r in language.identify(frame(spark, rows), language.fit(docs)).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False, 5: False}
+
+
+def test_language_limit_is_fitted_to_held_back_texts(spark):
+    """The share of the limit follows what texts held back from the centroids reach."""
+    r = random.Random(8)
+    kinds = {lang: ["".join(r.choice(letters) for _ in range(r.randrange(2, 8))) for _ in range(200)]
+             for lang, letters in (("x", "abcdefgh"), ("y", "ijklmnop"), ("z", "qrstuvwx"))}
+    rows = [(k, " ".join(r.choices(kinds["xyz"[k % 3]], k=150)), "xyz"[k % 3]) for k in range(900)]
+    docs = frame(spark, rows)
+    least, fitted = (language.fit(docs, least_held=n) for n in (10 ** 9, 100))
+    assert (fitted.reach > 1.5 * least.reach).all()
+    assert not language.identify(docs, fitted).where("lang_rejected").count()
+    mixed = [(k, " ".join(r.choices(kinds["x"], k=75) + r.choices(kinds["y"], k=75))) for k in range(5)]
+    assert language.identify(frame(spark, mixed), fitted).where("lang_rejected").count() == 5

@@ -8,7 +8,10 @@ hash of the id first), because one language holds several kinds of text.  A
 text gets the language of the centroid of largest cosine.  It is rejected when
 that cosine is under a share of what nearly all training texts of the centroid
 reach, that is, when it lies far outside the centroid's own spread; for a text
-of few letters the limit shrinks in proportion.
+of few letters (of the whole text, under ``FULL_LETTERS``) the limit shrinks in
+proportion.  The share is what all training texts reach that were held back (one in
+``folds`` of a language's sample) from centroids of the others, less a ``margin``;
+``share`` is its least, and what holds with fewer than ``least_held`` of them.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0 and
 is rejected; ties go to the smaller language name; with nothing to learn from
@@ -66,6 +69,11 @@ def grams(text: str) -> np.ndarray | None:
     return np.bincount(at, minlength=WIDTH)
 
 
+def letters_of(text: str) -> int:
+    """Number of letters of the whole text, lower case as in ``grams``."""
+    return int(_letters()[np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")].sum())
+
+
 def vectors(many: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of each text that has a letter, its unit vector)."""
     kept, rows = [], []
@@ -100,6 +108,31 @@ def cluster(x: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndar
     return c, cos
 
 
+def _size(many: list[str]) -> np.ndarray:
+    """Share of the full rejection limit that holds for each text."""
+    # a short text's cosine is low by chance: its limit shrinks with its letters
+    return np.minimum(1, np.array([letters_of(t) for t in many], float) / FULL_LETTERS)
+
+
+def _reach(cos: np.ndarray, spread: float) -> np.ndarray:
+    """Cosine that nearly all texts of each centroid reach."""
+    own = cos.argmax(1)
+    return np.array([np.quantile(cos[own == j, j], spread) if (own == j).any() else 0.0
+                     for j in range(cos.shape[1])], float)
+
+
+def held_back(x: np.ndarray, size: np.ndarray, clusters: int, spread: float, folds: int) -> np.ndarray:
+    """What share of the limit each text reaches that was held back from centroids
+    of the other texts."""
+    out = np.arange(len(x)) % folds == folds - 1
+    if not out.any():
+        return np.zeros(0)
+    c, cos = cluster(x[~out], clusters)
+    far = x[out] @ c.T
+    best = far.argmax(1)
+    return far.max(1) / np.maximum(_reach(cos, spread)[best] * size[out], 1e-12)
+
+
 @dataclass
 class Model:
     idf: np.ndarray
@@ -109,7 +142,8 @@ class Model:
 
 
 def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int = 1000,
-        clusters: int = 4, spread: float = 0.01, share: float = 0.4) -> Model:
+        clusters: int = 4, spread: float = 0.01, share: float = 0.4, folds: int = 5, least_held: int = 100,
+        margin: float = 0.8) -> Model:
     """Centroids from at most ``per_language`` labelled texts of each language."""
     ship(docs.sparkSession)
     train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text") \
@@ -152,20 +186,24 @@ def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int =
 
         def centroids(group: pa.Table) -> pa.Table:
             group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-            _, x = vectors(group.column("text").to_pylist(), idf)
+            many = group.column("text").to_pylist()
+            kept, x = vectors(many, idf)
             if not len(x):
                 return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary()),
-                                 "reach": pa.array([], pa.float64())})
+                                 "reach": pa.array([], pa.float64()), "back": pa.array([], pa.list_(pa.float64()))})
             c, cos = cluster(x, clusters)
-            own = cos.argmax(1)
-            reach = [float(np.quantile(cos[own == j, j], spread)) if (own == j).any() else 0.0
-                     for j in range(len(c))]
+            back = held_back(x, _size([many[k] for k in kept]), clusters, spread, folds)
             return pa.table({"lang": group.column("lang").to_pylist()[:1] * len(c),
                              "centroid": pa.array([v.astype("<f4").tobytes() for v in c], pa.binary()),
-                             "reach": pa.array(reach, pa.float64())})
-
-        rows = sorted((r.lang, bytes(r.centroid), r.reach) for r in sample.groupBy("lang").applyInArrow(
-            centroids, "lang string, centroid binary, reach double").collect())
+                             "reach": pa.array(_reach(cos, spread)),
+                             "back": pa.array([back.tolist()] + [[]] * (len(c) - 1), pa.list_(pa.float64()))})
+
+        found = sample.groupBy("lang").applyInArrow(
+            centroids, "lang string, centroid binary, reach double, back array<double>").collect()
+        rows = sorted((r.lang, bytes(r.centroid), r.reach) for r in found)
+        back = np.array([v for r in found for v in r.back], float)
+        if len(back) >= least_held:
+            share = max(share, min(1.0, margin * float(back.min())))
     finally:
         sample.unpersist()
         ids.unpersist()
@@ -194,9 +232,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
                     near = cos[np.arange(len(kept)), best].astype(float)
                     lang[kept] = np.array(model.langs, object)[best]
                     value[kept] = np.clip(near, 0, 1)
-                    # a short text's cosine is low by chance: its limit shrinks with its letters
-                    size = np.array([sum(map(str.isalpha, t[k].as_py()[:FULL_LETTERS])) for k in kept])
-                    out[kept] = near < model.reach[best] * np.minimum(1, size / FULL_LETTERS)
+                    out[kept] = near < model.reach[best] * _size([t[k].as_py() for k in kept])
             else:                                          # nothing learned: only texts without a letter
                 out = np.array([not (t and any(map(str.isalpha, t))) for t in batch.column("text").to_pylist()], bool)
             yield pa.RecordBatch.from_arrays(
