@@ -49,17 +49,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write the frame as a table in the shared checkpoint folder
-    and read it back.  The folder of this context is deleted when Python exits."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new folder name in the shared checkpoint folder; all of this context are
+    deleted when Python exits."""
     folder = f"{checkpoint_root(spark)}/tidewatch-{spark.sparkContext.applicationId}"
     if folder not in _FOLDERS:
         _FOLDERS.add(folder)
         atexit.register(_delete, spark, folder)
-    path = f"{folder}/{uuid.uuid4().hex}"
+    return f"{folder}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage: write the frame as a table in the shared checkpoint folder
+    and read it back."""
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _FOLDERS: set[str] = set()

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import bpe, language, lines, nndescent, packing, partenum, quality, suffix, topk, toxicity
+from tidewatch.llm import bpe, language, lines, nndescent, packing, partenum, quality, runs, suffix, topk, toxicity, \
+    variants, warc
 from tidewatch.llm.common import remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +168,66 @@ FROM w LEFT JOIN n USING (doc_id) JOIN c ON c.node = w.doc_id GROUP BY w.doc_id
 @query
 def op8_nn_descent(spark, sf_dir):
     return nndescent.search(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op11_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type",
+                                                              "refers_to")
+
+
+ORACLE_SQL["op11_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+         sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM p),
+r AS (SELECT *, payload_bytes >= 1000 AND top IS NOT NULL AND page_id IS DISTINCT FROM top AS again FROM m)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN top END AS refers_to
+FROM r
+"""
+
+
+def repeat_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's planted periods: in some documents the words from a place on repeat."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n = len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    tail = words[a:a + p]
+    return words[:a] + (tail * ((n - a) // p + 1))[:n - a]
+
+
+@query
+def op12_runs(spark, sf_dir):
+    found = runs.detect(table(spark, sf_dir, "documents"), edit=repeat_tail)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"),
+                                                     r["period"].cast("string")))
+    listed = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def misspell(doc_id: int | None, counts: dict[str, int]) -> dict[str, int]:
+    """The contract's planted variants: of some words of some documents one code point goes."""
+    begun = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+    out: dict[str, int] = {}
+    for word, n in counts.items():
+        h = zlib.crc32(word.encode(), begun)
+        if h % 97 == 0:
+            at = h % len(word)
+            word = word[:at] + word[at + 1:]
+        out[word] = out.get(word, 0) + n
+    return out
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    return variants.group(table(spark, sf_dir, "documents"), edit=misspell)
