@@ -112,3 +112,51 @@ def test_recall_on_the_graph(spark):
     hit = sum(len({i for _, i in got[q]} & {i for _, i in want[q]}) for q in want)
     assert set(got) == set(want) and hit >= 0.9 * 10 * len(want)
     assert all(len(v) == 10 for v in got.values())
+
+
+def recall(rows, got, want):
+    return sum(len({i for _, i in got.get(q, [])} & {i for _, i in want[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def clustered(seed, n, width):
+    """A third of the vectors in one narrow cluster far from the rest."""
+    r = np.random.default_rng(seed)
+    x = r.normal(size=(n, width))
+    x[:n // 3] = 50 + 0.01 * r.normal(size=(n // 3, width))
+    return [(k, [float(v) for v in row]) for k, row in enumerate(x[r.permutation(n)])]
+
+
+@pytest.mark.parametrize("shift,n", [(0.0, 2500), (100.0, 4000), (1000.0, 6000), (1e25, 2000)])
+def test_recall_with_production_settings(spark, shift, n):
+    r = np.random.default_rng(int(shift) % 97 + n)
+    scale = 1e24 if shift > 1e20 else 1.0                  # finite components whose squares are not
+    rows = [(k, [float(v) for v in row]) for k, row in enumerate((shift + scale * r.normal(size=(n, 32))).astype(np.float32))]
+    got = grouped(nndescent.search(vectors(spark, rows)).collect())
+    want = brute_near(rows, 10, 100)
+    assert set(got) == set(want) and recall(rows, got, want) >= 0.9
+
+
+def test_recall_with_a_third_in_one_cluster(spark):
+    rows = clustered(8, 4500, 16)
+    got = grouped(nndescent.search(vectors(spark, rows)).collect())
+    want = brute_near([(i, [float(np.float32(x)) for x in v]) for i, v in rows], 10, 100)
+    assert recall(rows, got, want) >= 0.9
+
+
+def test_one_outlier_does_not_blur_the_rest(spark):
+    rows = random_rows(9, 2000, width=16) + [(5000, [3e38] * 16), (5001, [-3e38] * 16)]
+    got = grouped(nndescent.search(vectors(spark, rows)).collect())
+    want = brute_near(rows, 10, 100)
+    inner = {q: w for q, w in want.items() if q < 5000}
+    assert recall(rows, got, inner) >= 0.9
+
+
+def test_buckets_of_one_place_are_parted(spark):
+    """More vectors on one side of every plane than leaves hold are split until they fit."""
+    rows = [(k, v) for k, v in clustered(3, 3000, 8)]
+    base = nndescent.cut(nndescent.nodes_of(vectors(spark, rows), 10))
+    centre, spread = nndescent.centre_of(base, 4096)
+    nodes = spark.createDataFrame([(r.node, nndescent._codes(np.array([r.x]), centre, spread)[0].tobytes()) for r in base.collect()],
+                                  "node long, code binary")
+    out = nndescent._buckets(nodes, 3000, 8, 2, 50).groupBy("bucket", "part").count().collect()
+    assert max(r["count"] for r in out) <= 100 and sum(r["count"] for r in out) == 2 * nodes.count()
