@@ -173,7 +173,8 @@ def test_line_spread(spark, broadcast_lines):
     text = {r.doc_id: r for r in out}
     assert len(out) == 35
     assert text[0].n_removed == 2 and "cookies" not in text[0].text and text[0].text.count("\n") == 6
-    assert text[40].copied and text[40].text == "Accept all cookies"        # nothing else: left whole
+    assert text[40].n_removed == 1 and text[40].text == ""                  # nothing else: no document is exempt
+    assert text[40].line_bytes == text[40].removed_bytes == 18
     assert text[41].text is None and text[41].n_lines == 1 and text[42].text == ""
     assert text[43].n_removed == 1 and text[None].n_removed == 1
     assert text[0].k1 == 7 and text[0].line == "x"                          # other columns stay
@@ -192,6 +193,35 @@ def test_line_spread_sketch_beyond_twice_the_threshold(spark):
     assert out == {1}
 
 
+def test_copies_of_a_text_vote_once(spark):
+    copied = "\n".join(words(70 + j, 12) for j in range(5))
+    rows = [(k, copied, "en", f"s{k}") for k in range(40)]
+    rows += [(100 + k, f"shared line\n{words(k, 30)}", "en", f"s{k}") for k in range(10)]
+    out = {r.doc_id: r for r in lines.remove(frame(spark, rows)).collect()}
+    assert all(out[k].text == copied and out[k].n_removed == 0 for k in range(40))
+    assert all(out[100 + k].n_removed == 1 for k in range(10))
+
+
+def test_hashes_in_python_are_those_of_spark(spark):
+    many = ["a", "Accept all cookies", "é日本語 🙂", "x" * 1000, " inner  space"]
+    df = spark.createDataFrame([(t,) for t in many], "line string")
+    assert [tuple(r) for r in df.select(*lines._hashes(F.col("line"))).collect()] == [lines.line_name(t) for t in many]
+
+
+@pytest.mark.parametrize("broadcast_lines", [0, 1000])
+def test_a_text_of_many_lines_takes_linear_time(spark, broadcast_lines):
+    import time
+    rows = [(k, f"notice\n{words(k, 20)}", "en", f"s{k}") for k in range(12)]
+    rows += [(50, "notice\n" * 60_000 + "\n".join(str(j) for j in range(60_000)), "en", "s50")]
+    docs = frame(spark, rows)
+    found = lines.cut(lines.boilerplate(docs))
+    began = time.time()
+    out = {r.doc_id: r for r in lines._without(docs, found, broadcast_lines).collect()}
+    assert time.time() - began < 20
+    assert out[50].n_removed == 60_000 and out[50].n_lines == 120_000
+    assert out[50].text == "\n".join(str(j) for j in range(60_000))
+
+
 def test_line_query_equals_sql(spark, tmp_path):
     frame(spark, line_rows()).where("doc_id IS NOT NULL").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     from tidewatch.llm.queries import QUERIES
@@ -212,7 +242,7 @@ def test_pages_of_boilerplate_are_cleaned_and_copies_are_not(spark):
     rows += [(60 + k, "\n".join([*body[:7], f"{body[7]} edit{k}"]), "en", f"t{k}") for k in range(12)]
     rows += [(80, f"{body[0]}\nmine", "en", "s4")]
     docs = frame(spark, rows)
-    assert {r.doc_id for r in lines.remove(docs).where("copied").collect()} >= {40, 50, 60, 71}
+    assert {r.doc_id for r in lines.remove(docs).where("2 * removed_bytes > line_bytes").collect()} >= {40, 50, 60, 71}
     out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert out[50] == words(997, 2) and out[40] == ""
     assert all(out[r[0]] == r[1] for r in rows if r[0] is not None and r[0] >= 60)

@@ -74,5 +74,5 @@ def test_registered():
     import __spark_entry__ as entry
     names = entry.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names) and [n for n, _ in pipeline.STAGES][-1] == "packing"
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert lines.RESULT[1] == "n_removed"

@@ -7,31 +7,41 @@ the others a HyperLogLog sketch of sites per line hash is built and merged by
 aggregation.  Estimates of at least twice the threshold are boilerplate, those
 under half of it are not, and the lines between get an exact distinct count.
 
-``remove`` leaves a document whole of which boilerplate would take more than
-``max_share`` of the line bytes, as its SQL says, copy or not.  ``remove_all``,
-the pipeline's stage, leaves none out: documents of so large a share are put in
-classes of near copies (``partenum``), each class votes for its lines as one
-site, and the lines still on ``min_sites`` sites leave every document.  So a
-text copied to many sites keeps its lines, and a page of boilerplate does not.
+A text is one voter however often it stands: copies of it count for its smallest
+source only, so a text copied to many sites keeps its lines.  In ``remove_all``, the
+pipeline's stage, near copies vote as one too: documents of which the lines found first
+hold more than ``max_share`` of the bytes are put in classes of near copies
+(``partenum``), each class votes for its lines as one site, and the lines still on
+``min_sites`` sites go.  In both the lines found leave every document, whatever their
+share of it.
 
 Lines are named by 128 bits of hash, sites by 64.  Counting shuffles one row
 per distinct line and task; a hot line is summed before the shuffle.  Sets of
 line hashes are broadcast up to ``broadcast_lines`` rows (counted first) and
-joined by shuffle beyond that.
+joined by shuffle beyond that.  So is removal: with few lines found a task hashes its
+documents' lines against them, in one walk and without a shuffle; with more, the
+places of the found lines of each text are joined to it by key.
 
 Defined cases: a null text counts as empty (one empty line); a null source is no
 site, its lines are removed like others; a null doc_id is kept; repeated rows
-keep one result each; an empty table gives no rows.
+keep one result each; a very long text is one row of one task, in time and memory
+linear in its lines; an empty table gives no rows; columns named like a result are
+replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewatch.llm import partenum
-from tidewatch.llm.common import cut, few, text_key
+from tidewatch.llm.common import cut, few, ship, small_batches, text_key
 
-RESULT = ("n_lines", "n_removed", "copied")
+#: Lines, lines removed, bytes of all trimmed lines and of the removed ones.
+RESULT = ("n_lines", "n_removed", "line_bytes", "removed_bytes")
 
 
 def _hashes(line: Column) -> list[Column]:
@@ -67,10 +77,20 @@ def _sited(docs: DataFrame) -> DataFrame:
         .select(text_key(F.col("text"))[0], "text", F.xxhash64("source").alias("site"))
 
 
+def _voters(docs: DataFrame, broadcast_lines: int) -> DataFrame:
+    """``k1, text, site`` of the documents with a source; copies of a text have its smallest source."""
+    placed = docs.where(F.col("source").isNotNull()).select("text", "source", *text_key(F.col("text")))
+    copied = cut(placed.groupBy("k1", "k2").agg(F.min("source").alias("lo"), F.max("source").alias("hi"))
+                 .where("lo < hi").select("k1", "k2", "lo"))
+    return placed.join(few(copied, broadcast_lines), ["k1", "k2"], "left") \
+        .select("k1", "text", F.xxhash64(F.coalesce("lo", "source")).alias("site"))
+
+
 def boilerplate(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12,
                 broadcast_lines: int = 200_000) -> DataFrame:
     """Hashes ``h1, h2`` of the lines on at least ``min_sites`` sites."""
-    return _on_sites(_lines(_sited(docs), "site").select("h1", "h2", "site"), min_sites, lg_k, broadcast_lines)
+    lines = _lines(_voters(docs, broadcast_lines), "site").select("h1", "h2", "site")
+    return _on_sites(lines, min_sites, lg_k, broadcast_lines)
 
 
 def voted(docs: DataFrame, found: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
@@ -79,52 +99,104 @@ def voted(docs: DataFrame, found: DataFrame, *, min_sites: int = 10, max_share:
 
     Near copies are looked for among the documents of which ``found`` holds more than
     ``max_share`` of the line bytes; a class of them stands on its smallest site only."""
-    texts = cut(_sited(_without(docs, found, max_share, broadcast_lines).where("copied"))
-                .groupBy("k1").agg(F.first("text").alias("text"), F.min("site").alias("site")))
+    large = _without(docs.select("text", "source"), found, broadcast_lines, strip=False) \
+        .where(F.col("removed_bytes") > max_share * F.col("line_bytes"))
+    texts = cut(_sited(large).groupBy("k1").agg(F.first("text").alias("text"), F.min("site").alias("site")))
     if not texts.limit(1).count():
         return found
     classes = cut(partenum.classes(texts.select(F.col("k1").alias("doc_id"), "text"))
                   .select(F.col("doc_id").alias("k1"), "component_id").join(texts.select("k1", "site"), "k1"))
     vote = cut(classes.groupBy("component_id").agg(F.min("site").alias("vote")))
     votes = cut(classes.join(few(vote), "component_id").select("k1", "vote"))
-    lines = _lines(_sited(docs), "k1", "site").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi") \
+    lines = _lines(_voters(docs, broadcast_lines), "k1", "site").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi") \
         .join(few(votes), "k1", "left").select("h1", "h2", F.coalesce("vote", "site").alias("site"))
     return _on_sites(lines, min_sites, lg_k, broadcast_lines)
 
 
-def remove(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
-           broadcast_lines: int = 200_000) -> DataFrame:
+def remove(docs: DataFrame, *, min_sites: int = 10, lg_k: int = 12, broadcast_lines: int = 200_000) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and RESULT columns."""
     found = cut(boilerplate(docs, min_sites=min_sites, lg_k=lg_k, broadcast_lines=broadcast_lines))
-    return _without(docs, found, max_share, broadcast_lines)
+    return _without(docs, found, broadcast_lines)
 
 
 def remove_all(docs: DataFrame, *, min_sites: int = 10, max_share: float = 0.5, lg_k: int = 12,
                broadcast_lines: int = 200_000) -> DataFrame:
-    """As ``remove``, but near copies vote once for their lines, and no document is left
-    whole for its share of boilerplate."""
+    """As ``remove``, but near copies vote once for their lines."""
     settings = {"min_sites": min_sites, "lg_k": lg_k, "broadcast_lines": broadcast_lines}
     found = cut(boilerplate(docs, **settings))
-    return _without(docs, cut(voted(docs, found, max_share=max_share, **settings)), None, broadcast_lines)
-
-
-def _without(docs: DataFrame, found: DataFrame, max_share: float | None, broadcast_lines: int) -> DataFrame:
-    """``docs`` less the lines ``found``, but for documents that would lose more than ``max_share``."""
+    return _without(docs, cut(voted(docs, found, max_share=max_share, **settings)), broadcast_lines)
+
+
+def line_name(line: str) -> tuple[int, int]:
+    """The two hashes of ``_hashes``, outside Spark."""
+    import xxhash
+
+    raw = line.encode("utf-8")
+    salted = xxhash.xxh64_intdigest((77).to_bytes(4, "little"), seed=42)   # the hash of the salt is the next one's seed
+    out = (xxhash.xxh64_intdigest(raw, seed=42), xxhash.xxh64_intdigest(raw, seed=salted))
+    return tuple(h - (1 << 64) if h >> 63 else h for h in out)
+
+
+def stripped(text: str, gone) -> tuple[str, int, int, int, int]:
+    """(text without the lines that ``gone(place, trimmed line)`` names, RESULT)."""
+    parts = text.split("\n")
+    kept, size, less = [], 0, 0
+    for i, line in enumerate(parts):
+        trimmed = line.strip(" ")
+        n = len(trimmed.encode("utf-8")) if not trimmed.isascii() else len(trimmed)
+        size += n
+        if trimmed and gone(i, trimmed):
+            less += n
+        else:
+            kept.append(line)
+    removed = len(parts) - len(kept)
+    return "\n".join(kept) if removed else text, len(parts), removed, size, less
+
+
+def _without(docs: DataFrame, found: DataFrame, broadcast_lines: int, strip: bool = True) -> DataFrame:
+    """``docs`` less the lines ``found`` (or only counted, with ``strip`` off), and RESULT."""
+    spark = docs.sparkSession
+    ship(spark)
     docs = docs.select(*[c for c in docs.columns if c not in (*RESULT, "__gone")])
-    keyed = docs.select("doc_id", *text_key(F.col("text")), "text")
-    gone = (_lines(keyed, "doc_id", "k1", "k2").join(few(found, broadcast_lines), ["h1", "h2"], "left_semi")
-            .groupBy("doc_id", "k1", "k2").agg(F.collect_set("pos").alias("__gone"))
-            .withColumnRenamed("doc_id", "__d").withColumnRenamed("k1", "__k1").withColumnRenamed("k2", "__k2"))
-    k1, k2 = text_key(F.col("text"))
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__d")) & (k1 == F.col("__k1")) & (k2 == F.col("__k2")),
-                       "left")
-    parts = F.split(F.coalesce("text", F.lit("")), "\n")
-    kept = F.filter(parts, lambda _, i: ~F.array_contains(F.col("__gone"), i))
-    size = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.octet_length(F.trim(x)))
-    touched = F.col("__gone").isNotNull()
-    copied = F.lit(False) if max_share is None else touched & (size(parts) - size(kept) > max_share * size(parts))
-    cleaned = joined.withColumn("copied", F.coalesce(copied, F.lit(False))) \
-        .withColumn("n_lines", F.size(parts).cast("long")) \
-        .withColumn("n_removed", F.when(touched & ~F.col("copied"), F.size("__gone")).otherwise(0).cast("long")) \
-        .withColumn("text", F.when(F.col("n_removed") > 0, F.array_join(kept, "\n")).otherwise(F.col("text")))
-    return cleaned.select(*docs.columns, *RESULT)
+    columns, at = docs.columns, docs.columns.index("text")
+    kind = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in RESULT]])
+    if found.count() <= broadcast_lines:
+        named = found.select("h1", "h2").toArrow()
+        names = spark.sparkContext.broadcast(set(zip(named["h1"].to_pylist(), named["h2"].to_pylist(), strict=True)))
+        rows, memo_most = docs, 200_000
+    else:
+        keyed = docs.select(*text_key(F.col("text")), "text")
+        placed = _lines(keyed, "k1", "k2").join(found, ["h1", "h2"], "left_semi").groupBy("k1", "k2") \
+            .agg(F.collect_set("pos").alias("__gone")) \
+            .withColumnRenamed("k1", "__k1").withColumnRenamed("k2", "__k2")
+        k1, k2 = text_key(F.col("text"))
+        rows = docs.join(placed, (k1 == F.col("__k1")) & (k2 == F.col("__k2")), "left").select(*columns, "__gone")
+        names, memo_most = None, 0
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[str, bool] = {}
+
+        def known(_: int, line: str) -> bool:
+            hit = memo.get(line)
+            if hit is None:
+                hit = line_name(line) in names.value
+                if len(line) < 200:
+                    if len(memo) >= memo_most:
+                        memo.clear()
+                    memo[line] = hit
+            return hit
+
+        for batch in small_batches(batches):
+            lists = batch.column("__gone").to_pylist() if names is None else [None] * batch.num_rows
+            out = []
+            for text, gone in zip(batch.column("text").to_pylist(), lists, strict=True):
+                places = set(gone or ())
+                out.append(stripped(text or "", known if names is not None else lambda i, _: i in places))
+            texts = pa.array([t if t is None or not x[2] or not strip else x[0]
+                              for t, x in zip(batch.column("text").to_pylist(), out, strict=True)], pa.string())
+            arrays = [batch.column(k) for k in range(len(columns))]
+            arrays[at] = texts
+            yield pa.RecordBatch.from_arrays(
+                arrays + [pa.array([x[k] for x in out], pa.int64()) for k in range(1, 5)], names=[*columns, *RESULT])
+
+    return rows.mapInArrow(walk, kind)

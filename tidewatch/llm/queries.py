@@ -83,27 +83,21 @@ FROM p QUALIFY rank <= 5
 @query
 def op10_line_dedup(spark, sf_dir):
     cleaned = lines.remove(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", *lines.RESULT, F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 ORACLE_SQL["op10_line_dedup"] = """
-WITH l AS (
-  SELECT doc_id, source, coalesce(text, '') AS text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH t AS (
+  SELECT coalesce(text, '') AS text, min(source) AS site FROM documents WHERE source IS NOT NULL GROUP BY 1),
+v AS (SELECT trim(line) AS k, site FROM (SELECT site, unnest(string_split(text, chr(10))) AS line FROM t)),
+b AS (SELECT k FROM v WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= 10),
+l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
-b AS (
-  SELECT trim(line) AS k FROM l WHERE trim(line) <> '' AND source IS NOT NULL
-  GROUP BY 1 HAVING count(DISTINCT source) >= 10),
-d AS (
-  SELECT doc_id, any_value(text) AS text, count(*) AS n_lines, count(k) AS hit,
-         coalesce(sum(strlen(trim(line))) FILTER (WHERE k IS NOT NULL), 0) AS hit_size,
-         sum(strlen(trim(line))) AS size,
-         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE k IS NULL), '') AS kept
-  FROM l LEFT JOIN b ON trim(line) = k GROUP BY doc_id)
-SELECT doc_id, n_lines, CASE WHEN hit_size > 0.5 * size THEN 0 ELSE hit END AS n_removed,
-       hit_size > 0.5 * size AS copied,
-       sha256(CASE WHEN hit = 0 OR hit_size > 0.5 * size THEN text ELSE kept END) AS kept_sha256
-FROM d
+  FROM documents)
+SELECT doc_id, count(*) AS n_lines, count(k) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE k IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN b ON trim(line) = k GROUP BY doc_id
 """
 
 
