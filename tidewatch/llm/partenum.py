@@ -175,7 +175,7 @@ def _shared(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                     [part.column("ref"), pa.ListArray.from_arrays(
                         pa.array(ends), pa.array(np.frombuffer(b"".join(raw), np.int64)))], names=["ref", "members"])
 
-    here = sets.join(rest.select("ref").distinct(), "ref")
+    here = sets.join(rest.select("ref").distinct(), "ref", "left_semi")
     alone = here.mapInArrow(spread, "ref long, members array<long>") \
         .select("ref", F.explode("members").alias("h")).groupBy("h").agg(F.min("ref").alias("ref"), F.count("*").alias("n")) \
         .where("n = 1").groupBy("ref").agg(F.count("*").alias("alone"))
@@ -256,13 +256,14 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
     band = F.col("sig").bitwiseAND(2 ** BAND_BITS - 1).cast("int")
     allowed = F.element_at(F.array(*[F.lit(int(h)) for h in bands.hot]), band + 1)
     hottest = F.row_number().over(Window.partitionBy("ref", band).orderBy(F.desc("n"), "sig"))
-    kept = cut(signed_sets.join(groups.hint("shuffle_hash"), "sig").distinct()
-               .withColumn("r", hottest).where(F.col("r") > allowed).select("sig", "ref", "n"))
-    # first every set is compared with one other: of the sets it shares a signature with, the one
+    # one shuffle by set serves both windows: the hottest signatures of a set and the weight of the rest.
+    # First every set is compared with one other: of the sets it shares a signature with, the one
     # that shares most itself, the likeliest link of all
-    weight = kept.groupBy("ref").agg(F.sum("n").alias("weight"))
-    lead = kept.join(weight, "ref").groupBy("sig").agg(F.max_by("ref", "weight").alias("lead"),
-                                                       F.max("weight").alias("weight"), F.count("*").alias("n")) \
+    kept = cut(signed_sets.join(groups.hint("shuffle_hash"), "sig").distinct().repartition("ref")
+               .withColumn("r", hottest).where(F.col("r") > allowed)
+               .select("sig", "ref", F.sum("n").over(Window.partitionBy("ref")).alias("weight")))
+    lead = kept.groupBy("sig").agg(F.max_by("ref", "weight").alias("lead"),
+                                   F.max("weight").alias("weight"), F.count("*").alias("n")) \
         .where("n > 1").select("sig", "lead", "weight")
     kept = cut(kept.select("sig", "ref").join(lead, "sig"))
     star = cut(kept.where("ref <> lead").groupBy("ref").agg(F.max_by("lead", "weight").alias("lead"))
@@ -277,14 +278,16 @@ def classes(docs: DataFrame, *, words: int = 5, similarity: int = 80, sub: tuple
     found = components(links)
     # members of a signature group that are still apart
     rest = cut(_apart(cut(_labelled(kept.select("sig", "ref", "lead"), found))))
-    left = rest.select("ref").distinct().count()
+    left, facts = rest.select("ref").distinct().count(), None
     while left:                                            # until no set can be ruled out any more
-        rest = cut(_apart(rest.select("sig", "ref", "lead", "label").join(_shared(rest, sets, similarity), "ref")))
+        facts = cut(_shared(rest, sets, similarity))
+        rest = cut(_apart(rest.join(few(facts.select("ref"), broadcast_rows), "ref", "left_semi")))
         left, before = rest.select("ref").distinct().count(), left
         if left > 0.9 * before:
             break
-    if left:
-        rest = cut(rest.join(_sketches(sets.join(rest.select("ref").distinct(), "ref")), "ref"))
+    if left:                                               # what is known of a set is put on the rows that are left only
+        known = facts.join(_sketches(sets.join(rest.select("ref").distinct(), "ref", "left_semi")), "ref")
+        rest = cut(rest.join(known, "ref"))
     # the intersection is at most what the set with fewer common shingles has of them, and the
     # shingles in which linked sets differ bound the bits in which their sketches do
     most = F.least("common_a", "common_b")
