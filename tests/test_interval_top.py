@@ -1,0 +1,64 @@
+"""Interval top-N against ranking every window (R-1, R-2, W-3)."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidewatch.operators import interval_top as I
+from tidewatch.operators.ranking import top_n_per_window
+from tidewatch.operators.windows import pane_counts, sweep_stretches, windowed_count
+from tidewatch.plans import jobs
+from tidewatch.sources import tables as T
+
+from conftest import SF_SMALL
+from helpers import frame
+
+COLS = ["window_end", "k", "cnt", "rank"]
+
+
+def _rows(spark, seed, n, keys, span):
+    """Hot keys, keys in one burst, ties."""
+    r = random.Random(seed)
+    rows = [(f"k{min(r.randrange(keys), r.randrange(keys)):02d}", r.randrange(span)) for _ in range(n)]
+    rows += [("burst", 700 + r.randrange(20)) for _ in range(n // 5)]
+    return frame(spark, "k STRING, event_time BIGINT", rows)
+
+
+def _bag(df):
+    return sorted(tuple(r[c] for c in COLS) for r in df.select(*COLS).collect())
+
+
+@pytest.mark.parametrize("size,slide,n,block", [(600, 5, 3, None), (60, 7, 2, 4), (60, 1, 1, 60), (90, 20, 3, 2), (120, 10, 50, 5)])
+def test_equals_ranking_of_every_window(spark, size, slide, n, block):
+    df = _rows(spark, size + slide, 300, 12, 2000)
+    want = top_n_per_window(windowed_count(df, "event_time", size, slide, keys=["k"]), n, key="k")
+    assert _bag(I.interval_top_n(df, "event_time", size, slide, "k", n, block=block)) == _bag(want)
+
+
+def test_over_day_borders_wall_clocks_and_nothing(spark):
+    df = _rows(spark, 5, 80, 6, 1500).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 86000 SECONDS"))
+    ntz = df.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+    for d in (df, ntz):
+        want = top_n_per_window(windowed_count(d, "event_time", 600, 10, keys=["k"]), 3, key="k")
+        got = I.interval_top_n(d, "event_time", 600, 10, "k", 3)
+        assert dict(got.dtypes)["window_end"] == dict(want.dtypes)["window_end"] and _bag(got) == _bag(want)
+    assert I.interval_top_n(df.where("false"), "event_time", 600, 10, "k", 3).count() == 0
+    with pytest.raises(ValueError):
+        I.interval_top_n(df, "event_time", 600, 1, "k", 3, block=61)
+
+
+def test_few_rows_are_ranked(spark):
+    """Of what ranking every window sorts, less than a quarter reaches the rank step."""
+    r = random.Random(2)
+    rows = [(f"/u{r.randrange(60)}", r.randrange(4 * 3600)) for _ in range(6000)]
+    df = frame(spark, "url STRING, event_time BIGINT", rows)
+    held = sweep_stretches(pane_counts(df, "event_time", 600, 5, ["url"]), 600, 5, ["url"])
+    found = I.cells(held, 600, 5, "url", "cnt", I.block_of(600, 5))
+    every = windowed_count(df, "event_time", 600, 5, keys=["url"]).count()
+    assert I.candidates(found, "url", 3).count() < every / 4
+
+
+def test_hot_urls_plan_has_no_row_per_key_and_window(spark):
+    plan = jobs.hot_urls(T.access_log(T.table(spark, SF_SMALL, "events")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") >= 1 and "bit_or" in plan and "Python" not in plan

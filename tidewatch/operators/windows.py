@@ -147,17 +147,15 @@ def spread_panes(pane: DataFrame, size_s: int, slide_s: int, part: Sequence[str]
             .where("_lo <= _hi").withColumn("_we", grid.ends()).drop("_lo", "_hi", "_p"))
 
 
-def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence[str],
-                      name: str = "cnt", partitions: int | None = None) -> DataFrame:
-    """Sliding-window sums of pane counts (``_ps``, ``*keys``, ``_n``) by a
-    sweep: ``window_end, *keys, <name>``, one row per non-empty window.
+def sweep_stretches(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence[str],
+                    name: str = "cnt", partitions: int | None = None) -> DataFrame:
+    """Sliding-window sums of pane counts (``_ps``, ``*keys``, ``_n``) as stretches of
+    window ends with one count: ``*keys, _bk, _lo, _hi, <name>``, found by a sweep.
 
     A pane adds ``_n`` at the first window end that holds it and takes it off
     at the first one that no longer does.  Per (key, owner bucket) the change
-    points are summed, a running sum over them gives the count from one change
-    point to the next, and each stretch with a positive count emits its window
-    ends with ``sequence``.  Every output row is produced exactly once and
-    no aggregate ever runs over the exploded rows.
+    points are summed, and a running sum over them gives the count from one change
+    point to the next, from the first window end ``_lo`` to the last ``_hi`` (seconds).
 
     Partitioning: pane rows are shuffled once on (keys, owner bucket).  The
     change-point aggregate and the running sum reuse that partitioning, so no
@@ -178,16 +176,30 @@ def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence
               .agg(F.sum("_c.d").alias("_d")))
     spec = Window.partitionBy(*keys, "_bk").orderBy("_t")
     run = (points
-           .withColumn(name, F.sum("_d").over(spec.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn(name, F.sum("_d").over(spec.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"))
            .withColumn("_next", F.lead("_t").over(spec)))
-    held = (run.where((F.col(name) > 0) & F.col("_next").isNotNull())
+    return (run.where((F.col(name) > 0) & F.col("_next").isNotNull())
             .withColumn("_lo", F.greatest(F.col("_t"), grid.bucket_first()))
             .withColumn("_hi", F.least(F.col("_next"), grid.bucket_after()) - slide_s)
-            .where("_lo <= _hi"))
-    return (held.select(grid.ends(), *keys, F.col(name).cast("bigint").alias(name))
+            .where("_lo <= _hi").select(*keys, "_bk", "_lo", "_hi", name))
+
+
+def sweep_pane_counts(pane: DataFrame, size_s: int, slide_s: int, keys: Sequence[str],
+                      name: str = "cnt", partitions: int | None = None) -> DataFrame:
+    """``window_end, *keys, <name>``, one row per non-empty window: the stretches of
+    ``sweep_stretches``, each with its window ends from ``sequence``.  Every output row is
+    produced exactly once and no aggregate ever runs over the exploded rows."""
+    held = sweep_stretches(pane, size_s, slide_s, keys, name, partitions)
+    return (held.select(_Grid(size_s, slide_s).ends(), *keys, name)
             .select(_time_of(pane, "_we").alias("window_end"), *keys, name))
 
 
+def pane_counts(df: DataFrame, ts: str, size_s: int, slide_s: int, keys: Sequence[str | Column]) -> DataFrame:
+    """Rows counted per (pane, keys): ``_ps, *keys, _n``."""
+    start = F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start")
+    return df.groupBy(start.alias("_ps"), *keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def _use_panes(size: int, slide: int | None, panes: bool | str) -> bool:
     if slide is None or slide == size:
         return False
@@ -206,8 +218,7 @@ def windowed_count(df: DataFrame, ts: str, size: str | int, slide: str | int | N
     slide_s = _seconds(slide) if slide is not None else None
     keys = _keys(keys)
     if _use_panes(size_s, slide_s, panes):
-        pane = (df.groupBy(F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start").alias("_ps"), *keys)
-                .agg(F.count(F.lit(1)).alias("_n")))
+        pane = pane_counts(df, ts, size_s, slide_s, keys)
         key_names = [c for c in pane.columns if c not in ("_ps", "_n")]
         return sweep_pane_counts(pane, size_s, slide_s, key_names, name)
     else:
@@ -274,8 +285,7 @@ def windowed_count_sets(df: DataFrame, ts: str, size: str | int, slide: str | in
     """
     size_s, slide_s = _seconds(size), _seconds(slide)
     if _use_panes(size_s, slide_s, "auto"):
-        pane = (df.groupBy(F.window(ts, _spec(pane_seconds(size_s, slide_s))).getField("start").alias("_ps"), *keys)
-                .agg(F.count(F.lit(1)).alias("_n")))
+        pane = pane_counts(df, ts, size_s, slide_s, keys)
         per_key = sweep_pane_counts(pane, size_s, slide_s, list(keys), name)
         pane_total = pane.groupBy("_ps").agg(F.sum("_n").alias("_n"))
         totals = (sweep_pane_counts(pane_total, size_s, slide_s, [], name)

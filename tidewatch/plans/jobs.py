@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions.messages import message
+from tidewatch.operators.interval_top import interval_top_n
 from tidewatch.operators.limits import cap_per_key
 from tidewatch.operators.ranking import top_n_per_window, window_report
 from tidewatch.operators.reconcile import first_pair_outcomes, interval_match
@@ -33,6 +34,8 @@ TIEBREAKS = ("event_id", "seq")
 # logins within 2 s; pay within 9 min (pattern) and 15 min (state); receipt
 # within 60 s.
 TOP_N = 3
+# From this many windows per row on, top-N ranks intervals of windows, not every window.
+INTERVAL_FANOUT = 60
 STATIC_URL = r"\.(css|js|ico|png)$"
 
 
@@ -59,6 +62,8 @@ def hot_urls(logs: DataFrame, n: int = TOP_N, size: str = "10 minutes",
     reference's (disabled) filter of css/js/ico/png resources (F-5)."""
     if exclude_static:
         logs = logs.where(~F.col("url").rlike(STATIC_URL))
+    if _seconds(size) // _seconds(slide) >= INTERVAL_FANOUT:
+        return interval_top_n(logs, TS, size, slide, "url", n)
     counts = windowed_count(logs, TS, size, slide, keys=["url"])
     return top_n_per_window(counts, n, key="url")
 
