@@ -84,3 +84,20 @@ def test_cli_other_sources_need_a_stream(tmp_path):
     import pytest
     with pytest.raises(SystemExit):
         main(["hot_items", "--source", "kafka", "--input", "broker:9092/behaviour"])
+
+
+def test_cli_lateness_reports_each_revision(spark, tmp_path):
+    """Late rows revise the ranking of any top-N job and its report, without a change log."""
+    from tidewatch import cli
+    src, rows = tmp_path / "in", [("1,7,1,pv,", t) for t in (100, 200)] + [("1,8,1,pv,", t) for t in (150, 3700)]
+    src.mkdir()
+    (src / "a.csv").write_text("".join(f"{r}{t}\n" for r, t in rows))
+    argv = ["hot_items_report", "--input", str(src), "--stream", "--once", "--lateness", "2 hours", "--out", str(tmp_path / "out"),
+            "--name", f"late-{tmp_path.name}", "--param", "slide=30 minutes"]
+    cli.main(argv)
+    (src / "b.csv").write_text("".join(f"1,8,1,pv,{t}\n" for t in (300, 310)))
+    cli.main(argv)
+    found = spark.read.parquet(str(tmp_path / "out")).orderBy("batch").collect()
+    reports = [r.report for r in found if "time: 1970-01-01 01:00:00" in r.report]
+    assert len(reports) == 2 and "No.1 item=7 count=2" in reports[0] and "No.1 item=8 count=3" in reports[1]
+    assert not (tmp_path / "out-changes").exists()

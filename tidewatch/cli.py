@@ -21,6 +21,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.operators.ranking import window_report
 from tidewatch.plans import jobs
 from tidewatch.session import build_session
 from tidewatch.sources.decode import DECODERS, split_malformed
@@ -108,18 +109,17 @@ def _set_aside(frames: list[DataFrame], a: argparse.Namespace) -> list[DataFrame
 
 def _top_n(a: argparse.Namespace, inputs: list[DataFrame], params: dict):
     """Top-N jobs stream their counts; each batch ranks the windows it closes, or
-    with ``--lateness`` (update mode) those it revises."""
+    with ``--lateness`` those it revises, whose ranking comes from the stream itself."""
     urls = a.job.startswith("hot_urls")
     key, label = ("url", "url") if urls else ("item_id", "item")
     counts = forms.hot_urls_counts_stream if urls else forms.hot_items_counts_stream
     n = int(params.pop("n", 3))
     sink = wiring.batch_writer(a.out) if a.out else lambda b, i: b.show(50, truncate=False)
-    if a.lateness and urls and a.job == "hot_urls":
-        if not a.out:
-            raise SystemExit("--lateness keeps a change log beside --out: give one")
-        each = forms.revised_top_n_writer(f"{a.out}-changes", n, key, sink)
-        return wiring.start(counts(*inputs, revisions=True, **params), a.name or a.job, mode="update",
-                            foreach_batch=each, available_now=a.once)
+    if a.lateness:                                         # each revised window again as a whole
+        revised = forms.hot_urls_revised_stream if urls else forms.hot_items_revised_stream
+        report = a.job.endswith("_report")
+        each = (lambda b, i: sink(window_report(b, key=key, label=label), i)) if report else sink
+        return wiring.start(revised(*inputs, n=n, **params), a.name or a.job, foreach_batch=each, available_now=a.once)
     each = forms.report_writer(n, key, label, sink) if a.job.endswith("_report") else forms.top_n_writer(n, key, sink)
     return wiring.start(counts(*inputs, **params), a.name or a.job, foreach_batch=each, available_now=a.once)
 

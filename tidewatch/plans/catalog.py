@@ -9,16 +9,21 @@ where noted.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.operators import sketches
+from tidewatch.operators.user_aggregate import HistogramMedian, windowed_user_agg
+from tidewatch.operators.windows import windowed_distinct
 from tidewatch.plans import jobs, streams
 from tidewatch.plans.decoded import KINDS, decoded
+from tidewatch.session import checkpoint_root
 from tidewatch.sources import tables as T
 
 # Stand-in limits for the pattern jobs on the test tables.
-CAP_N = 2
+CAP_N = streams.CAP_N
 PATTERN_LIMIT = "6 hours"
 RECONCILE_TOLERANCE = "1 hour"
 
@@ -62,6 +67,24 @@ def q_unique_visitors_hll(spark, sf_dir):
     return exact.join(sketch, "window_end").select("window_end", "uv", near.alias("within_three_errors"))
 
 
+def q_unique_visitors_stored(spark, sf_dir):
+    """A-6 from a stored table: hourly sketches are written once, then rolled up to sliding
+    days from the table alone; held against the exact count as above."""
+    views = T.user_behavior(_events(spark, sf_dir)).where("behavior = 'view'")
+    base = f"{checkpoint_root(spark)}/sketches/{uuid.uuid4().hex}"
+    sketches.update(views, base, "event_time", "user_id")
+    rolled = sketches.rollup(sketches.stored(spark, base), "1 day", "6 hours", name="estimate")
+    exact = windowed_distinct(views, "event_time", "1 day", "user_id", "6 hours")
+    near = F.abs(F.col("estimate") - F.col("uv")) <= F.greatest(F.lit(1.0), 3 * sketches.error(12) * F.col("uv"))
+    return exact.join(rolled, "window_end").select("window_end", "uv", near.alias("within_three_errors"))
+
+
+def q_value_profile(spark, sf_dir):
+    """X-10: a user aggregate that merges, per hour and event type."""
+    return windowed_user_agg(_events(spark, sf_dir), "ts", "1 hour", None, ["event_type"], HistogramMedian("value", 10.0),
+                             ["value"])
+
+
 def q_hot_urls_dynamic(spark, sf_dir):
     return jobs.hot_urls(T.access_log(_events(spark, sf_dir)), exclude_static=True)
 
@@ -148,6 +171,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_visitors": q_unique_visitors,
     "unique_visitors_bitmap": q_unique_visitors_bitmap,
     "unique_visitors_hll": q_unique_visitors_hll,
+    "unique_visitors_stored": q_unique_visitors_stored,
+    "value_profile": q_value_profile,
     "marketing_by_channel": q_marketing_by_channel,
     "marketing_total": q_marketing_total,
     "marketing_rollup": q_marketing_rollup,
@@ -164,4 +189,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_page_views": streams.q_page_views,
     "stream_hot_items": streams.q_hot_items,
     "stream_login_fail_burst": streams.q_login_fail_burst,
+    "stream_hot_items_ranked": streams.q_hot_items_ranked,
+    "stream_hot_urls_revised": streams.q_hot_urls_revised,
+    "stream_unique_visitors_firing": streams.q_unique_visitors_firing,
+    "stream_tx_reconcile": streams.q_tx_reconcile,
+    "stream_login_fail_consecutive": streams.q_login_fail_consecutive,
+    "stream_order_timeout_pattern": streams.q_order_timeout_pattern,
+    "stream_ad_click_cap": streams.q_ad_click_cap,
 }

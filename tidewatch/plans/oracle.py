@@ -19,6 +19,7 @@ def _sliding(slide: str, n: int) -> tuple[str, str]:
 
 _HI_END, _HI_JOIN = _sliding("5 MINUTE", 12)
 _HU_END, _HU_JOIN = _sliding("5 SECOND", 120)
+_HR_END, _HR_JOIN = _sliding("2 MINUTE", 5)
 _MK_END, _MK_JOIN = _sliding("10 SECOND", 360)
 _AD_END, _AD_JOIN = _sliding("5 SECOND", 720)
 
@@ -26,7 +27,7 @@ _BITMAP = ("list_reduce(list_prepend(0::BIGINT, list_transform(string_split(user
            "lambda x: ascii(x)::BIGINT)), lambda a, x: (a * 61 + x) & 536870911)")
 
 _AD_CLICKS = """
-  SELECT e.user_id, e.event_type AS ad_id, n.n_name AS province, e.ts AS event_time,
+  SELECT e.user_id, json_extract_string(e.props, '$.k') AS ad_id, n.n_name AS province, e.ts AS event_time,
          e.event_id, CAST(e.ts AS DATE) AS day
   FROM events e LEFT JOIN nation n ON e.user_id % 25 = n.n_nationkey
   WHERE e.event_type = 'click'"""
@@ -36,10 +37,10 @@ _CAPPED = f"""
   r AS (SELECT *, row_number() OVER (PARTITION BY user_id, ad_id, day
                                      ORDER BY event_time, event_id) AS rn FROM a)
   SELECT user_id, ad_id, province, event_time, event_id, day, CAST(rn AS BIGINT) AS seq_no,
-         CASE WHEN rn <= 2 THEN 'pass' ELSE 'warn' END AS outcome,
-         CASE WHEN rn = 3 THEN 'user ' || user_id || ' clicked ad ' || ad_id
-              || ' more than 2 times on ' || CAST(day AS VARCHAR) END AS msg
-  FROM r WHERE rn <= 3"""
+         CASE WHEN rn <= 1 THEN 'pass' ELSE 'warn' END AS outcome,
+         CASE WHEN rn = 2 THEN 'user ' || user_id || ' clicked ad ' || ad_id
+              || ' more than 1 times on ' || CAST(day AS VARCHAR) END AS msg
+  FROM r WHERE rn <= 2"""
 
 _ORDERS = """
   SELECT user_id AS order_id,
@@ -48,11 +49,13 @@ _ORDERS = """
          CAST(user_id AS VARCHAR) || '-' || CAST(CAST(ts AS DATE) AS VARCHAR) AS tx_id
   FROM events WHERE event_type IN ('signup', 'purchase')"""
 
+_MARK = "(SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type IN ({}))"
+
 _TOP_URLS = f"""
       WITH u AS (SELECT ts, '/' || event_type || '/' || json_extract_string(props, '$.k') ||
                         CASE CAST(json_extract_string(props, '$.k') AS BIGINT) % 10
                              WHEN 0 THEN '.css' WHEN 1 THEN '.png' ELSE '' END AS url FROM events),
-      c AS (SELECT {_HU_END} AS window_end, url FROM u {_HU_JOIN} WHERE {{keep}}),
+      c AS (SELECT {{end}} AS window_end, url FROM u {{join}} WHERE {{keep}}),
       g AS (SELECT window_end, url, count(*) AS cnt FROM c GROUP BY 1, 2),
       r AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, url) AS rn
             FROM g)
@@ -83,12 +86,12 @@ ORACLE_SQL: dict[str, str] = {
                        repeat('=', 40)) AS report
       FROM r WHERE rn <= 3 GROUP BY window_end""",
 
-    "hot_urls": _TOP_URLS.format(keep="true"),
+    "hot_urls": _TOP_URLS.format(keep="true", end=_HU_END, join=_HU_JOIN),
 
-    "hot_urls_dynamic": _TOP_URLS.format(keep="NOT regexp_matches(url, '[.](css|js|ico|png)$')"),
+    "hot_urls_dynamic": _TOP_URLS.format(keep="NOT regexp_matches(url, '[.](css|js|ico|png)$')", end=_HU_END, join=_HU_JOIN),
 
     "hot_urls_report": f"""
-      WITH r AS ({_TOP_URLS.format(keep="true")})
+      WITH r AS ({_TOP_URLS.format(keep="true", end=_HU_END, join=_HU_JOIN)})
       SELECT window_end,
              concat_ws(chr(10), repeat('=', 40),
                        'time: ' || strftime(window_end, '%Y-%m-%d %H:%M:%S'),
@@ -115,6 +118,24 @@ ORACLE_SQL: dict[str, str] = {
              count(DISTINCT {_BITMAP}) AS uv
       FROM events WHERE event_type = 'view' GROUP BY 1""",
 
+    "unique_visitors_stored": """
+      SELECT time_bucket(INTERVAL 6 HOUR, ts) + k * INTERVAL 6 HOUR AS window_end,
+             count(DISTINCT user_id) AS uv, true AS within_three_errors
+      FROM events CROSS JOIN range(1, 5) AS r(k) WHERE event_type = 'view' GROUP BY 1""",
+
+    "value_profile": """
+      WITH b AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
+                        CASE WHEN isfinite(value) THEN CAST(floor(value / 10) AS BIGINT) END AS bin FROM events),
+      g AS (SELECT DISTINCT window_end, event_type FROM b),
+      o AS (SELECT *, row_number() OVER (PARTITION BY window_end, event_type ORDER BY bin) AS rn,
+                   count(*) OVER (PARTITION BY window_end, event_type) AS n FROM b WHERE bin IS NOT NULL),
+      h AS (SELECT window_end, event_type, bin, row_number() OVER (PARTITION BY window_end, event_type
+                                                                   ORDER BY count(*) DESC, bin) AS place
+            FROM b WHERE bin IS NOT NULL GROUP BY 1, 2, 3)
+      SELECT g.window_end, g.event_type, coalesce(o.n, 0) AS n, o.bin AS median_bin, h.bin AS peak_bin
+      FROM g LEFT JOIN o ON o.window_end = g.window_end AND o.event_type = g.event_type AND o.rn = (o.n + 1) // 2
+             LEFT JOIN h ON h.window_end = g.window_end AND h.event_type = g.event_type AND h.place = 1""",
+
     "marketing_by_channel": f"""
       SELECT {_MK_END} AS window_end, CAST(user_id % 5 AS VARCHAR) AS channel,
              event_type AS behavior, count(*) AS cnt
@@ -258,3 +279,28 @@ ORACLE_SQL: dict[str, str] = {
       FROM g WHERE fails >= 2
         AND end_time + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', max(ts)) FROM events WHERE event_type = 'error')""",
 }
+
+ORACLE_SQL["stream_hot_items_ranked"] = ORACLE_SQL["stream_hot_items"]
+# revisions are sent as they come, so windows that are still open count too
+ORACLE_SQL["stream_hot_urls_revised"] = _TOP_URLS.format(keep="true", end=_HR_END, join=_HR_JOIN)
+ORACLE_SQL["stream_unique_visitors_firing"] = f"""
+      WITH v AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+                        count(DISTINCT {_BITMAP}) AS uv, count(*) AS n_rows
+                 FROM events WHERE event_type = 'view' GROUP BY 1)
+      SELECT * FROM v WHERE window_end <= {_MARK.format("'view'")}"""
+# a transaction is reported when no row of it came for a day, on both inputs' clocks
+ORACLE_SQL["stream_tx_reconcile"] = f"""
+      WITH j AS ({ORACLE_SQL["tx_reconcile"]}),
+      l AS (SELECT tx_id, max(ts) AS last FROM ({_ORDERS}) AS o GROUP BY tx_id)
+      SELECT j.* FROM j JOIN l ON j.tx_id = l.tx_id
+      WHERE l.last + INTERVAL 1 DAY <= {_MARK.format("'purchase'")}
+        AND l.last + INTERVAL 1 DAY <= {_MARK.format("'signup'")}"""
+ORACLE_SQL["stream_login_fail_consecutive"] = f"""
+      WITH p AS ({ORACLE_SQL["login_fail_consecutive"]})
+      SELECT * FROM p WHERE end_time <= (SELECT date_trunc('millisecond', max(ts)) FROM events)"""
+ORACLE_SQL["stream_order_timeout_pattern"] = f"""
+      WITH p AS ({ORACLE_SQL["order_timeout_pattern"]})
+      SELECT * FROM p WHERE coalesce(pay_time, create_time + INTERVAL 6 HOUR) <= {_MARK.format("'signup', 'purchase'")}"""
+ORACLE_SQL["stream_ad_click_cap"] = f"""
+      WITH c AS ({_CAPPED})
+      SELECT user_id, ad_id, event_time, event_id, outcome, msg FROM c WHERE event_time <= {_MARK.format("'click'")}"""

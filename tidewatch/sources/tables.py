@@ -58,10 +58,10 @@ def marketing(events: DataFrame, channels: int = 5) -> DataFrame:
 
 
 def ad_click(events: DataFrame) -> DataFrame:
-    """AdClickLog: the click events; the ad is the event type, the province is
+    """AdClickLog: the click events; the ad is the item, the province is
     named by its number (user_id mod 25) until ``with_province`` looks it up."""
     return events.where(F.col("event_type") == "click").select(
-        F.col("user_id"), F.col("event_type").alias("ad_id"),
+        F.col("user_id"), F.get_json_object("props", "$.k").alias("ad_id"),
         F.pmod(F.col("user_id"), F.lit(25)).cast("int").alias("province_key"),
         F.lit(None).cast("string").alias("city"), F.col("ts").alias("event_time"), F.col("event_id"))
 

@@ -5,8 +5,9 @@
   ``window_time`` of the panes, which append mode accepts);
 * different plan with built-ins: top-N (closed windows ranked per batch in
   ``foreachBatch``), unique visitors (``dropDuplicates`` per window then
-  count), failure bursts (``session_window``), reconciliation (stream-stream
-  full outer interval join);
+  count), failure bursts and reconciliation (``session_window``);
+* keyed second stages in the same query (``tidewatch.streaming.keyed``): ranking, revisions,
+  firings by row count, late rows;
 * keyed processors (``tidewatch.streaming.processors``): click cap,
   consecutive failures, create-then-pay, order outcomes.
 
@@ -25,7 +26,7 @@ from tidewatch.functions.messages import message
 from tidewatch.operators.ranking import top_n_per_window, window_report
 from tidewatch.operators.windows import _seconds, pane_seconds
 from tidewatch.plans import jobs
-from tidewatch.streaming import processors as P
+from tidewatch.streaming import keyed as K, processors as P
 
 TS = "event_time"
 
@@ -71,6 +72,35 @@ def hot_items_counts_stream(behaviors: DataFrame, size: str = "1 hour", slide: s
                                  keys=["item_id"])
 
 
+def hot_items_stream(behaviors: DataFrame, n: int = jobs.TOP_N, size: str = "1 hour", slide: str = "5 minutes",
+                     behavior: str = "pv") -> DataFrame:
+    """Q1 as one stream query for any append sink: the counts, then the ranking as keyed
+    steps after them (``keyed.top_n_in_stream``)."""
+    counts = windowed_count_stream(behaviors.where(F.col("behavior") == behavior), size, slide, keys=["item_id"])
+    return K.top_n_in_stream(counts, n, "item_id")
+
+
+def hot_urls_revised_stream(logs: DataFrame, n: int = jobs.TOP_N, size: str = "10 minutes", slide: str = "5 seconds",
+                            exclude_static: bool = False) -> DataFrame:
+    """Q2 with late revisions as one stream query: give ``logs`` a watermark of delay +
+    allowed lateness; every window's ranking is sent out again when a row changes it."""
+    if exclude_static:
+        logs = logs.where(~F.col("url").rlike(jobs.STATIC_URL))
+    return K.revised_top_n_in_stream(logs, n, "url", size, slide)
+
+
+def hot_items_revised_stream(behaviors: DataFrame, n: int = jobs.TOP_N, size: str = "1 hour", slide: str = "5 minutes",
+                             behavior: str = "pv") -> DataFrame:
+    """Q1 with late revisions, as ``hot_urls_revised_stream``."""
+    return K.revised_top_n_in_stream(behaviors.where(F.col("behavior") == behavior), n, "item_id", size, slide)
+
+
+def unique_visitors_firing_stream(behaviors: DataFrame, size: str = "1 hour", behavior: str = "pv",
+                                  every: int = 10_000) -> DataFrame:
+    """Q5 with its early firings: ``window_end, uv, n_rows, firing, final``."""
+    return K.running_distinct(behaviors.where(F.col("behavior") == behavior), "user_id", size, every)
+
+
 def hot_urls_counts_stream(logs: DataFrame, size: str = "10 minutes", slide: str = "5 seconds",
                            exclude_static: bool = False, revisions: bool = False) -> DataFrame:
     """Q2 stream, first stage.  For the reference's late revisions (T-12) give
@@ -193,29 +223,44 @@ def login_fail_burst_stream(logins: DataFrame, gap: str | int = 2, min_count: in
 
 def tx_reconcile_stream(orders: DataFrame, receipts: DataFrame, tolerance: str | int = 60,
                         retention: str | int = "1 day") -> DataFrame:
-    """Q14 stream: full outer interval join of payments and receipts on
-    ``tx_id``; one-sided rows come out once the watermark passes the
-    tolerance.  Each side first keeps the earliest row of a ``tx_id`` (in
-    event time, whatever the arrival order) and drops repeats seen within
-    ``retention``, as the batch form does."""
-    tol = _seconds(tolerance)
-    keep_us = _seconds(retention) * 1_000_000
+    """Q14 stream: payments against receipts on ``tx_id`` as one session aggregate.
+
+    Both sides become one stream; a session of a ``tx_id`` holds its rows until none came
+    for ``retention`` of event time.  The earliest payment and the earliest receipt of a
+    session, whatever the arrival order, are compared when it closes: within the tolerance
+    they are ``matched``, else each present side gives its one-sided row, as in the batch form.
+    State is one row per open session; there is no join and no Python.  A smaller
+    ``retention`` (at least the tolerance) reports sooner and remembers repeats for less long."""
+    tol, keep = _seconds(tolerance), _seconds(retention)
+    if keep < tol:
+        raise ValueError("retention must cover the tolerance")
     pays = orders.where((F.col("event_type") == "pay") & (F.coalesce("tx_id", F.lit("")) != ""))
-    first_pays = P.run_ordered(pays, ["tx_id"], P.FirstPerKey(retention_us=keep_us), _order(pays),
-                               kind=F.lit("pay"), tag=F.col("order_id").cast("string"))
-    first_recs = P.run_ordered(receipts, ["tx_id"], P.FirstPerKey(retention_us=keep_us),
-                               _order(receipts), kind=F.lit("receipt"), tag="pay_channel")
-    L = first_pays.select(F.col("k").alias("_lk"), F.col("tag").cast("bigint").alias("order_id"),
-                          F.col("event_time").alias("pay_time"))
-    R = first_recs.select(F.col("k").alias("_rk"), F.col("tag").alias("pay_channel"),
-                          F.col("event_time").alias("receipt_time"))
-    cond = F.expr(f"_lk = _rk AND receipt_time BETWEEN pay_time - INTERVAL {tol} SECONDS "
-                  f"AND pay_time + INTERVAL {tol} SECONDS")
-    j = L.join(R, cond, "full_outer")
-    outcome = (F.when(F.col("_lk").isNotNull() & F.col("_rk").isNotNull(), "matched")
-               .when(F.col("_lk").isNotNull(), "order_only").otherwise("receipt_only"))
-    return j.select(F.coalesce("_lk", "_rk").alias("tx_id"), "order_id", "pay_time",
-                    "receipt_time", "pay_channel", outcome.alias("outcome")) \
+    none = {"order_id": F.lit(None).cast("bigint"), "pay_channel": F.lit(None).cast("string")}
+
+    def side(df: DataFrame, is_pay: bool, **own) -> DataFrame:
+        tb = _order(df)[1:]
+        return df.select(TS, "tx_id", F.lit(is_pay).alias("_pay"),
+                         (F.col(tb[0]).cast("bigint") if tb else F.lit(0).cast("bigint")).alias("_tb"),
+                         *[F.col(c).alias(c) if c in own else v.alias(c) for c, v in none.items()])
+
+    rows = side(pays, True, order_id=1).unionByName(side(receipts.where(F.col("tx_id").isNotNull()), False, pay_channel=1))
+    first = F.struct(F.col(TS).alias("at"), "_tb", "order_id", "pay_channel")
+    held = rows.groupBy("tx_id", F.session_window(TS, f"{keep} seconds").alias("_s")) \
+        .agg(F.min(F.when(F.col("_pay"), first)).alias("_p"), F.min(F.when(~F.col("_pay"), first)).alias("_r"))
+    near = F.abs(F.unix_micros("_p.at") - F.unix_micros("_r.at")) <= tol * 1_000_000
+    p, r = (lambda c: F.col(f"_p.{c}")), (lambda c: F.col(f"_r.{c}"))
+
+    def row(outcome: str, pay: bool, receipt: bool):
+        empty = lambda kind: F.lit(None).cast(kind)
+        return F.struct(*[x.alias(n) for n, x in (
+            ("order_id", p("order_id") if pay else empty("bigint")), ("pay_time", p("at") if pay else empty("timestamp")),
+            ("receipt_time", r("at") if receipt else empty("timestamp")),
+            ("pay_channel", r("pay_channel") if receipt else empty("string")), ("outcome", F.lit(outcome)))])
+
+    apart = F.filter(F.array(F.when(F.col("_p").isNotNull(), row("order_only", True, False)),
+                             F.when(F.col("_r").isNotNull(), row("receipt_only", False, True))), lambda x: x.isNotNull())
+    found = F.when(F.coalesce(near, F.lit(False)), F.array(row("matched", True, True))).otherwise(apart)
+    return held.select("tx_id", F.explode(found).alias("_o")).select("tx_id", "_o.*") \
         .withColumn("msg", jobs._msg_of(F.col("outcome"), jobs.RECONCILE_MSG))
 
 

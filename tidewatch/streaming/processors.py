@@ -298,32 +298,6 @@ class OrderOutcome(OrderedProcessor):
         return []
 
 
-class FirstPerKey(OrderedProcessor):
-    """The earliest row of each key (event time, then tie-break), later
-    duplicates dropped, the key remembered for ``retention_us`` of event time
-    after its first row.  Carries ``tag`` and the event time through."""
-
-    OUTPUT = "k STRING, tag STRING, tb BIGINT, event_time TIMESTAMP"
-    EVENT_TIME = "event_time"
-
-    def step(self, key, st, row):
-        if st[0] is not None:
-            return []
-        st[0] = row.ts_us
-        return [Row(k=str(key[0]), tag=row.tag, tb=row.tb,
-                    event_time=datetime.fromtimestamp(row.ts_us // 1_000_000, tz=timezone.utc)
-                    .replace(microsecond=row.ts_us % 1_000_000))]
-
-    def on_watermark(self, key, st, wm):
-        if st[0] is not None:
-            until = st[0] + self.params["retention_us"]
-            if until <= wm:
-                st[0] = st[1] = st[2] = None
-            else:
-                self.timer_at(until)
-        return []
-
-
 def run_ordered(df: DataFrame, keys: list[str], processor: OrderedProcessor,
                 order: list[str], kind: Column | str, tag: Column | str | None = None
                 ) -> DataFrame:
