@@ -162,3 +162,58 @@ def test_language_limit_is_fitted_to_held_back_texts(spark):
     assert not language.identify(docs, fitted).where("lang_rejected").count()
     mixed = [(k, " ".join(r.choices(kinds["x"], k=75) + r.choices(kinds["y"], k=75))) for k in range(5)]
     assert language.identify(frame(spark, mixed), fitted).where("lang_rejected").count() == 5
+
+
+def test_first_split_is_the_best_of_all():
+    r = np.random.default_rng(11)
+    for _ in range(4):
+        x = np.column_stack([r.normal(size=80), r.integers(0, 4, 80), np.ones(80)]).astype(float)
+        y = ((x[:, 0] > 0.3) ^ (r.random(80) < 0.2)).astype(float)
+        forest = quality.grow(x, y, trees=1, depth=1, bins=16)
+        p = 1 / (1 + np.exp(-forest.base))
+        g, h = p - y, np.full(80, p * (1 - p))
+
+        def gain(f, t):
+            left = x[:, f] <= t
+            if h[left].sum() < 2 or h[~left].sum() < 2:
+                return 0.0
+            part = lambda m: g[m].sum() ** 2 / (h[m].sum() + 1)
+            return part(left) + part(~left) - part(np.ones(80, bool))
+
+        every = {(f, t): gain(f, t) for f in range(3) for t in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 17)[1:-1]))}
+        chosen = gain(forest.feature[0, 0], forest.threshold[0, 0])
+        assert chosen == pytest.approx(max(every.values())) and chosen > 0
+        left = x[:, forest.feature[0, 0]] <= forest.threshold[0, 0]
+        assert forest.leaf[0, 0] == pytest.approx(-0.1 * g[left].sum() / (h[left].sum() + 1))
+
+
+def test_language_is_that_of_the_nearest_centroid(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150)
+    model = language.fit(spark.read.parquet(f"{SF}/documents.parquet"), per_language=100)
+    for r in language.identify(docs, model).collect():
+        counts = language.grams(r.text or "")
+        if counts is None:
+            assert r.lang_pred == "und"
+            continue
+        at = np.flatnonzero(counts)
+        kept, x = language.vectors([r.text], model.idf)
+        assert list(kept) == [0] and set(np.flatnonzero(x[0])) <= set(at) and np.linalg.norm(x[0]) == pytest.approx(1, abs=1e-4)
+        cos = [float(sum(float(a) * float(b) for a, b in zip(x[0][at], c[at]))) for c in model.centroids]
+        best = max(range(len(cos)), key=lambda k: cos[k])
+        assert r.lang_score == pytest.approx(min(1, max(0, cos[best])), abs=1e-4)
+        assert r.lang_pred in {model.langs[k] for k in range(len(cos)) if cos[k] > cos[best] - 1e-5}
+
+
+def test_an_id_on_a_third_of_the_rows_is_one_example(spark):
+    rows = [(k, words(k, 30) + (" vile" if k % 3 == 0 else ""), "en" if k % 2 else "fr") for k in range(120)]
+    rows += [(7, words(500 + k, 30), "en") for k in range(60)]
+    labels = label_frame(spark, [(k, k % 2, int(k % 3 == 0)) for k in range(120)])
+    docs = frame(spark, rows).repartition(4)
+    learned = [k for k in range(120) if zlib.crc32(str(k).encode()) % 5]
+    index = toxicity.fit(docs, labels, least_examples=1, least_z=0.0)
+    ids = index.examples.sum()
+    assert ids <= len(learned) and index.toxic.sum() <= sum(k % 3 == 0 for k in learned)
+    once = frame(spark, sorted(rows[:7] + rows[8:120]) + [min((r for r in rows if r[0] == 7), key=lambda r: r[1])])
+    assert quality.fit(docs, labels).base == pytest.approx(quality.fit(once, labels).base)
+    model = language.fit(docs, per_language=20)
+    assert set(model.langs) == {"en", "fr"} and len(model.langs) > 2

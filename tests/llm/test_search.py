@@ -160,3 +160,12 @@ def test_buckets_of_one_place_are_parted(spark):
                                   "node long, code binary")
     out = nndescent._buckets(nodes, 3000, 8, 2, 50).groupBy("bucket", "part").count().collect()
     assert max(r["count"] for r in out) <= 100 and sum(r["count"] for r in out) == 2 * nodes.count()
+
+
+def test_exact_topk_of_an_id_on_a_third_of_the_rows(spark):
+    rows = random_rows(12, 90) + [(0, [float(x) for x in v]) for _, v in random_rows(13, 45)]
+    least = {}
+    for i, v in rows:
+        least[i] = min(least.get(i, v), v)
+    got = topk.search(vectors(spark, rows).repartition(5), k=5, every=10, block_rows=20).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute_topk(sorted(least.items()), 5, 10)

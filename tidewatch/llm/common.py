@@ -102,6 +102,13 @@ def labelled_sample(labels: DataFrame, label: str, divisor: int, held: int, most
             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
 
 
+def one_per_id(docs: DataFrame, *keys: str) -> DataFrame:
+    """One row of ``keys`` and ``text`` for each of the keys, the text of smallest hash, so that
+    an id on very many rows is one text of a bounded sample.  Repeats meet map-side."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.groupBy(*keys).agg(F.min_by("text", F.struct(F.xxhash64(text), text)).alias("text"))
+
+
 def text_key(text: Column) -> list[Column]:
     """Two independent 64-bit hashes that name a text (null: empty)."""
     t = F.coalesce(text, F.lit(""))

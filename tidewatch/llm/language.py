@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidewatch.llm.common import cut, few, remainder, ship, small_batches, texts
+from tidewatch.llm.common import cut, few, one_per_id, remainder, ship, small_batches, texts
 
 UNKNOWN = "und"
 #: Hash buckets of 1-, 2- and 3-grams.
@@ -155,14 +155,13 @@ def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int =
     some = cut(train.groupBy(F.col("lang").alias("_l"))
                .agg(F.least(F.lit(1.0), 4.0 * per_language / F.count("*")).alias("_some")))
     few_ids = train.select("lang", "doc_id").join(few(some, MAX_BROADCAST_IDS), F.col("lang") == F.col("_l")) \
-        .where(F.pmod(key, F.lit(1 << 20)) < F.col("_some") * (1 << 20))
+        .where(F.pmod(key, F.lit(1 << 20)) < F.col("_some") * (1 << 20)).select("lang", "doc_id").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     ids = few_ids.withColumn("_r", rank).where(F.col("_r") <= per_language) \
         .select(F.col("lang").alias("_lang"), F.col("doc_id").alias("_id")).distinct().persist()
     if ids.count() <= MAX_BROADCAST_IDS:
         ids = F.broadcast(ids)
-    sample = train.join(ids, (train.doc_id == ids._id) & (train.lang == ids._lang)) \
-        .select("lang", "doc_id", "text").persist()
+    sample = one_per_id(train.join(ids, (train.doc_id == ids._id) & (train.lang == ids._lang)), "lang", "doc_id").persist()
     try:
         def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n, df = 0, np.zeros(WIDTH, np.int64)

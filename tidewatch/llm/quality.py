@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import labelled_sample, ship, small_batches, texts
+from tidewatch.llm.common import labelled_sample, one_per_id, ship, small_batches, texts
 
 STATISTICS = (
     "bytes", "chars_per_byte", "words", "lines", "word_length", "distinct_words", "top_word",
@@ -161,8 +161,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "quality", divisor:
                 [batch.column("_label"), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
 
     # the sample has at most max_fit_rows ids, so it may be broadcast
-    joined = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .join(F.broadcast(sample), "doc_id").select("text", "_label")
+    joined = one_per_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                        .join(F.broadcast(sample), "doc_id"), "doc_id", "_label").select("text", "_label")
     rows = joined.mapInArrow(stats, "y double, x array<double>").toArrow()
     y = (rows.column("y").to_numpy() >= 0.5).astype(float)
     x = np.array(rows.column("x").to_pylist(), float).reshape(len(y), len(STATISTICS))

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidewatch.llm.common import ship
+from tidewatch.llm.common import cut, ship
 
 _HIT = "query_id long, vec_id long, score long"
 
@@ -86,7 +86,8 @@ def search(vectors: DataFrame, *, k: int = 5, every: int = 50, scale: int = 256,
            block_rows: int = 16_384, query_rows: int = 2_048) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k best rows for each query row."""
     ship(vectors.sparkSession)
-    rows = usable(vectors)
+    # an id on very many rows is one vector before rows are dealt by id
+    rows = cut(usable(vectors).groupBy("vec_id").agg(F.min("x").alias("x")))
     queries = rows.where(F.col("vec_id") % every == 0)
     n, n_queries = rows.count(), queries.count()
     blocks, query_blocks = max(1, math.ceil(n / block_rows)), max(1, math.ceil(n_queries / query_rows))

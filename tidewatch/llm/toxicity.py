@@ -19,7 +19,9 @@ The index is bounded by ``max_fit_rows`` and goes with the task; scoring runs in
 the scan's own tasks with no shuffle.
 
 Defined cases: a null text counts as empty, and an empty text has no feature;
-null labels are ignored, an id labelled twice counts by its mean; ties of cosine
+null labels are ignored, an id labelled twice counts by its mean, an id on many rows
+is one example (the text of smallest hash); very long texts are scored whole, in time
+linear in their words; ties of cosine
 go to the entry with the smaller number; with no labelled rows every score is
 0.5; a null doc_id is kept and is no example; an empty table gives no rows;
 other input columns are ignored.
@@ -37,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidewatch.llm.common import labelled_sample, ship, small_batches, texts
+from tidewatch.llm.common import cut, labelled_sample, one_per_id, ship, small_batches, texts
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<doc_id:long,cosine:double,examples:long,toxic:long>>"
@@ -199,7 +201,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic", divisor: in
     ship(docs.sparkSession)
     # the sample has at most max_fit_rows ids, so it may be broadcast
     sample = labelled_sample(labels, label, divisor, held, max_fit_rows)
-    chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id")
+    chosen = cut(one_per_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                            .join(F.broadcast(sample), "doc_id"), "doc_id", "_label"))
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
