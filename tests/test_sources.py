@@ -108,3 +108,17 @@ def test_midnight_ends_the_utc_day(spark):
     df = spark.range(1).select(F.expr("TIMESTAMP_NTZ'2024-02-28 23:59:59'").alias("n"), F.timestamp_seconds(F.lit(86399)).alias("t"))
     r = df.select(next_utc_midnight("n").alias("n"), F.unix_seconds(next_utc_midnight("t", ntz=False)).alias("t")).first()
     assert r.n == datetime(2024, 2, 29) and r.t == 86400
+
+
+def test_kafka_stream_writer_plans_keyed_json(spark, tmp_path):
+    """No broker and no connector here: the plan and the options are checked, not a delivery."""
+    from tidewatch.sources.kafka import kafka_stream_writer
+    (tmp_path / "in").mkdir()
+    rows = spark.readStream.schema("user_id BIGINT, url STRING").json(str(tmp_path / "in"))
+    w = kafka_stream_writer(rows, "broker:9092", "alerts", "to-kafka", key="user_id")
+    assert [f.name for f in w._df.schema.fields] == ["key", "value"]
+    assert "to_json" in w._df._jdf.queryExecution().analyzed().toString()
+    with pytest.raises(Exception, match="(?i)kafka"):      # the connector is what is missing
+        w.start()
+    lines = kafka_stream_writer(rows.select("url"), "broker:9092", "alerts", "to-kafka-2")
+    assert [f.name for f in lines._df.schema.fields] == ["value"]

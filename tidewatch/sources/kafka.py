@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.session import stream_checkpoint
+
 
 def kafka_options(bootstrap: str, topic: str, starting: str = "latest",
                   group: str | None = None) -> dict[str, str]:
@@ -34,3 +36,17 @@ def kafka_writer(lines: DataFrame, bootstrap: str, topic: str):
     return (lines.select(F.col(lines.columns[0]).cast("string").alias("value"))
             .write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
             .option("topic", topic))
+
+
+def kafka_stream_writer(rows: DataFrame, bootstrap: str, topic: str, name: str, key: str | None = None):
+    """K-3 as a stream sink: every row as one message, its columns as JSON (a single column
+    as it is), with ``key`` as the message key so that a key's messages keep their order.
+
+    Returns the writer; ``start()`` runs it.  Its checkpoint lies in the shared folder; after a
+    restart the last batch may be sent again, as Kafka's sink does at least once."""
+    one = len(rows.columns) == 1
+    value = F.col(rows.columns[0]).cast("string") if one else F.to_json(F.struct(*rows.columns))
+    keyed = [F.col(key).cast("string").alias("key")] if key else []
+    return (rows.select(*keyed, value.alias("value")).writeStream.queryName(name).outputMode("append").format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+            .option("checkpointLocation", stream_checkpoint(rows.sparkSession, name)))

@@ -6,6 +6,8 @@ timer; once the watermark has passed a row (no earlier row of the key can
 still arrive: later ones are dropped as late) the ready rows are taken in
 (event time, tie-break) order and stepped through a small per-key state.
 The stream result thus does not depend on how rows were split into batches.
+The event time of the buffer's first row is kept beside it, so the buffer is read once per
+step of the watermark that makes a row ready, and not for the timers of the job itself.
 
 Input rows carry ``ts_us`` (event time in microseconds, the precision of a
 Spark timestamp) and ``tb`` (tie-break); ``kind`` and ``tag`` carry the
@@ -50,6 +52,7 @@ class OrderedProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buf = handle.getListState("buffer", BUFFER)
+        self.due = handle.getValueState("due", "ts_us BIGINT")   # event time of the buffer's first row
         self.state = handle.getValueState("state", self.STATE)
 
     # -- subclass hooks -----------------------------------------------------
@@ -72,13 +75,20 @@ class OrderedProcessor(StatefulProcessor):
         if kept is new:                                    # every row counts: append
             if new:
                 self.buf.appendList(new)
-                self.timer_at(min(t for t, *_ in new))
+                self.wait_for(min(t for t, *_ in new))
         elif kept:
             held = [tuple(r) for r in self.buf.get()] if self.buf.exists() else []
             self.buf.put(self.prune(held + kept, held))
-            self.timer_at(min(t for t, *_ in kept))
+            self.wait_for(min(t for t, *_ in kept))
         return iter([])
 
+    def wait_for(self, ts_us: int) -> None:
+        """Note the buffer's first row; only a row before it needs a timer of its own."""
+        due = self.due.get()[0] if self.due.exists() else None
+        if due is None or ts_us < due:
+            self.due.update((ts_us,))
+            self.timer_at(ts_us)
+
     def prune(self, rows: list, held: list | None) -> list:
         """Rows of a key that can still matter; the list itself when all do."""
         return rows
@@ -94,21 +104,27 @@ class OrderedProcessor(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         wm = max(timerValues.getCurrentWatermarkInMs(),
                  expiredTimerInfo.getExpiryTimeInMs()) * 1000
-        rows = list(self.buf.get()) if self.buf.exists() else []
-        ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
-        rest = [r for r in rows if r[0] > wm]
-        if rest:
-            self.buf.put(rest)
-        elif rows:
-            self.buf.clear()
+        due, ready = (self.due.get()[0] if self.due.exists() else None), []
+        if due is not None and due <= wm:                  # else nothing in the buffer is ready: it is not read
+            rows = list(self.buf.get())
+            ready = sorted((r for r in rows if r[0] <= wm), key=lambda r: (r[0], r[1]))
+            rest = [r for r in rows if r[0] > wm]
+            if rest:
+                due = min(r[0] for r in rest)
+                self.buf.put(rest)
+                self.due.update((due,))
+            else:
+                due = None
+                self.buf.clear()
+                self.due.clear()
         st = list(self.state.get()) if self.state.exists() else [None, None, None]
         out: list[Row] = []
         for r in ready:
             out.extend(self.before(key, st, r[0]))
             out.extend(self.step(key, st, Row(ts_us=r[0], tb=r[1], kind=r[2], tag=r[3])))
         out.extend(self.on_watermark(key, st, wm))
-        if rest:                                           # last, so that no step has taken it back
-            self.timer_at(min(r[0] for r in rest))
+        if due is not None:                                # last, so that no step has taken it back
+            self.timer_at(due)
         if st == [None, None, None]:
             self.state.clear()
         else:
