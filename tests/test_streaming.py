@@ -471,3 +471,22 @@ def test_reports_from_a_stream(spark, tmp_path):
                  foreach_batch=S.report_writer(3, "url", "url", lambda b, i: got.extend(r.report for r in b.collect())))
     q.awaitTermination(300)
     assert any("No.1 url=/a count=2" in r and "No.2 url=/b count=1" in r for r in got)
+
+
+def test_change_log_of_closed_days_is_compacted(spark, tmp_path):
+    """A long stream's log keeps one revision per key for the days it has left behind."""
+    import os
+    ddl, src, log = "url STRING, event_time BIGINT", str(tmp_path / "in"), str(tmp_path / "log")
+    parts = [[("a", 10)], [("a", 20), ("b", 30)], [("b", 31), ("b", 32)], [("c", 3 * 86400)], [("c", 3 * 86400 + 5)]]
+    for part in parts:
+        frame(spark, ddl, part).coalesce(1).write.mode("append").parquet(src)
+    st = Wr.event_time(Wr.read_table_stream(spark, src, frame(spark, ddl, parts[0]).schema, max_files=1), delay="5 days")
+    out = {}
+    sink = S.revised_top_n_writer(log, 3, "url", lambda b, i: out.update({(r.window_end, r["rank"]): (r.url, r.cnt) for r in b.collect()}))
+    q = Wr.start(S.hot_urls_counts_stream(st, size="10 minutes", slide="10 minutes", revisions=True), f"t_{uuid.uuid4().hex[:8]}",
+                 mode="update", foreach_batch=sink, available_now=True)
+    q.awaitTermination(300)
+    assert {k: v for k, v in out.items() if k[0] == ts(600)} == {(ts(600), 1): ("b", 3), (ts(600), 2): ("a", 2)}
+    assert len([x for x in os.listdir(f"{log}/day=1970-01-01") if x.startswith("batch=")]) == 1
+    newest = S.revised_top_n(spark, log, 3, "url").where("window_end < '1970-01-02'").collect()
+    assert sorted((r["rank"], r.url, r.cnt) for r in newest) == [(1, "b", 3), (2, "a", 2)]

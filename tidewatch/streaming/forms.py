@@ -128,9 +128,10 @@ def revised_top_n_writer(changelog: str, n: int, key: str,
     (window, key) counts into the change log, then rank again every window
     the batch touched, from the newest counts of all its keys, and hand the
     new top-N to ``write``.  Only the partitions of the touched days are read
-    back, and of those only the touched windows."""
-    from tidewatch.streaming.wiring import changelog_writer, latest
-    append = changelog_writer(changelog)
+    back, and of those only the touched windows.  Once the batches have left a day
+    behind, the log of the days before is compacted to one row per key."""
+    from tidewatch.streaming.wiring import changelog_writer, compact, latest
+    append, closed = changelog_writer(changelog), [""]
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -142,6 +143,9 @@ def revised_top_n_writer(changelog: str, n: int, key: str,
             newest = latest(batch.sparkSession, changelog, ["window_end", key], days=days)
             revised = newest.join(touched, "window_end", "left_semi")
             write(top_n_per_window(revised, n, key=key, by=by), batch_id)
+            if days and min(days) > closed[0]:
+                compact(batch.sparkSession, changelog, ["window_end", key], before_day=min(days))
+                closed[0] = min(days)
         finally:
             batch.unpersist()
     return each

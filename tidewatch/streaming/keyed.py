@@ -142,12 +142,13 @@ class BucketCounts(Keyed):
         self.best = handle.getListState("best", f"k {kind}, cnt BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        seen = self.best.exists()                          # else nothing is in the map either
+        held = [tuple(r) for r in self.best.get()] if seen else []
         new = {}
         for k, n in Counter(r.k for r in rows).items():
-            before = self.counts.getValue((k,)) if self.counts.containsKey((k,)) else None
+            before = self.counts.getValue((k,)) if seen and self.counts.containsKey((k,)) else None
             new[k] = n + (before[0] if before else 0)
             self.counts.updateValue((k,), (new[k],))
-        held = [tuple(r) for r in self.best.get()] if self.best.exists() else []
         best = _best(self.params["n"], {**dict(held), **new}.items())
         self.ends(key)
         if best == held:
@@ -215,9 +216,11 @@ class VisitorBits(Keyed):
             seen += 1
             if r.off is not None:
                 by_chunk.setdefault(r.off // CHUNK_BITS, set()).add(r.off % CHUNK_BITS)
-        bits, n = self.sums.get() if self.sums.exists() else (0, 0)
+        known = self.sums.exists()                         # else there is no chunk either
+        bits, n = self.sums.get() if known else (0, 0)
         for chunk, places in by_chunk.items():
-            old = int.from_bytes(self.chunks.getValue((chunk,))[0], "little") if self.chunks.containsKey((chunk,)) else 0
+            held = known and self.chunks.containsKey((chunk,))
+            old = int.from_bytes(self.chunks.getValue((chunk,))[0], "little") if held else 0
             new = old
             for p in places:
                 new |= 1 << p
