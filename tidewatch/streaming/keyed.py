@@ -371,7 +371,8 @@ def split_late(rows: DataFrame, buckets: int = 64) -> DataFrame:
     batch have set.  With ``wiring.tagged_writer(base, "late")`` late rows are a table of their
     own instead of being dropped, and what is kept and what is late is all of the input.
 
-    A stateful step on the kept rows under the same watermark never drops one."""
+    Spark's own late filter goes by the watermark of the batch before, so all that a stateful
+    step in this place would drop is among the late rows."""
     use_rocksdb(rows.sparkSession)
     rest = [c for c in rows.columns if c != TS]
     prepared = rows.select(F.unix_micros(TS).alias("ts_us"), *rest,
