@@ -66,8 +66,8 @@ def word_counts(docs: DataFrame, *, min_length: int = 5, min_count: int = 3, hel
 
         for batch in small_batches(batches, max_bytes=BATCH):
             for i, text in zip(batch.column("doc_id").to_pylist(), texts(batch), strict=True):
-                # lower-casing the bytes changes A-Z only
-                own = Counter(letters.findall(text.encode("utf-8").lower().decode("utf-8")))
+                low = text.encode("utf-8").lower().decode("utf-8")   # changes A-Z only
+                own = Counter(letters.findall(low) if len(low) < BATCH else (m.group() for m in letters.finditer(low)))
                 total.update(edit(i, own) if edit else own)
                 if len(total) > held:
                     yield flush()

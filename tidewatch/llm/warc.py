@@ -165,13 +165,17 @@ def marked(pages: DataFrame, *, min_bytes: int = 1000, broadcast_rows: int = BRO
 
 
 def write(pages: DataFrame, root: str, *, min_bytes: int = 1000, shard_bytes: int = 64 << 20, roll_bytes: int = 32 << 20,
-          level: int = 6, date: str = "2000-01-01T00:00:00Z", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write ``pages(page_id, url, html)`` as archives under ``root``; the manifest, one row per file."""
+          most_shards: int = 20_000, level: int = 6, date: str = "2000-01-01T00:00:00Z",
+          broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Write ``pages(page_id, url, html)`` as archives under ``root``; the manifest, one row per file.
+
+    Beyond ``most_shards`` shards (tasks) grow and hold more files."""
     spark = pages.sparkSession
     ship(spark)
     rows, total = marked(pages, min_bytes=min_bytes, broadcast_rows=broadcast_rows)
     order = ["page_id", "digest", F.xxhash64("url"), "split"]   # the last deals repeated rows over shards
-    sorted_rows = rows.repartitionByRange(max(1, -(-total // shard_bytes)), *order).sortWithinPartitions(*order)
+    shards = max(1, min(most_shards, -(-total // shard_bytes)))
+    sorted_rows = rows.repartitionByRange(shards, *order).sortWithinPartitions(*order)
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll, done = _Roll(root, TaskContext.get().partitionId(), roll_bytes, level, date), []
