@@ -122,6 +122,42 @@ def test_jaccard_odd_rows(spark):
     assert found_classes(frame(spark, rows).where("false")) == []
 
 
+def rows_made(df):
+    """Rows that Generate and MapInArrow made when ``df`` was collected."""
+    def nodes(plan):
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return nodes(plan.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return nodes(plan.plan())
+        kids = plan.children()
+        return [plan, *(n for k in range(kids.size()) for n in nodes(kids.apply(k)))]
+
+    names = {"GenerateExec": "numOutputRows", "MapInArrowExec": "pythonNumRowsReceived"}
+    return [n.metrics().apply(names[kind]).value() for n in nodes(df._jdf.queryExecution().executedPlan())
+            if (kind := n.getClass().getSimpleName()) in names]
+
+
+@pytest.mark.parametrize("chunk", [None, 120])
+def test_shingles_of_a_large_group_are_counted_once_a_task(spark, monkeypatch, chunk):
+    if chunk:
+        monkeypatch.setattr(partenum, "SHARED", chunk)
+    n, common = 200, 50
+    members = {k: [*range(1000, 1000 + common), *range(10_000 + 100 * k, 10_000 + 100 * k + (2 if k % 2 else 40))] for k in range(n)}
+    members[n] = [7, *members[0][-30:]]                    # most of it is in one other set only
+    sets = spark.createDataFrame([(k, bytearray(np.array(m, np.int64).tobytes())) for k, m in members.items()],
+                                 "ref long, members binary")
+    rest = spark.createDataFrame([(s, k, 0, k) for k in members for s in (1, 2)], "sig long, ref long, lead long, label long")
+    out = partenum._shared(rest, sets, 80)
+    got = {r.ref: (r.size, r.common) for r in out.collect()}
+    held = [h for m in members.values() for h in m]
+    times = {h: held.count(h) for h in set(held)}
+    want = {k: (len(m), sum(times[h] > 1 for h in m)) for k, m in members.items()}
+    assert got == {k: (size, both) for k, (size, both) in want.items() if 100 * both >= 80 * size}
+    if not chunk:                                          # each task makes a row for what its sets share once
+        assert sum(rows_made(out)) <= 8 * common + len(set(held)) < len(held) / 2
+
+
 def test_signatures_meet_within_the_limit():
     """Any two sets similar enough share a signature after the weak ones are left out."""
     r = np.random.default_rng(5)

@@ -48,6 +48,8 @@ BAND_BITS = 7
 BATCH = 2 << 20
 #: 64-bit words of a parity sketch.
 SKETCH = 16
+#: Shingles of which a task counts the equal ones before they are shuffled.
+SHARED = 1 << 18
 
 
 @dataclass
@@ -165,19 +167,27 @@ def _shared(rest: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """``ref, size, common``: set size and number of shingles that another set of
     ``rest`` has too.  Sets with too few of them are linked to no other and left out."""
 
+    def counted(refs: list[int], raws: list[bytes]) -> pa.RecordBatch:
+        owner = np.repeat(np.array(refs, np.int64), [len(r) // 8 for r in raws])
+        h, first, n = np.unique(np.frombuffer(b"".join(raws), np.int64), return_index=True, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(owner[first]), pa.array(n)], names=["h", "ref", "n"])
+
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        refs, raws, held = [], [], 0                       # what many sets share leaves a task once for all of them
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                raw = part.column("members").to_pylist()
-                ends = np.concatenate(([0], np.cumsum([len(r) // 8 for r in raw]))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("ref"), pa.ListArray.from_arrays(
-                        pa.array(ends), pa.array(np.frombuffer(b"".join(raw), np.int64)))], names=["ref", "members"])
+            for ref, raw in zip(batch.column("ref").to_pylist(), batch.column("members").to_pylist(), strict=True):
+                refs.append(ref)
+                raws.append(raw)
+                held += len(raw) // 8
+                if held >= SHARED:
+                    yield counted(refs, raws)
+                    refs, raws, held = [], [], 0
+        if refs:
+            yield counted(refs, raws)
 
     here = sets.join(rest.select("ref").distinct(), "ref", "left_semi")
-    alone = here.mapInArrow(spread, "ref long, members array<long>") \
-        .select("ref", F.explode("members").alias("h")).groupBy("h").agg(F.min("ref").alias("ref"), F.count("*").alias("n")) \
+    alone = here.select("ref", "members").mapInArrow(spread, "h long, ref long, n long") \
+        .groupBy("h").agg(F.min("ref").alias("ref"), F.sum("n").alias("n")) \
         .where("n = 1").groupBy("ref").agg(F.count("*").alias("alone"))
     size = (F.octet_length("members") / 8).cast("long")
     return here.select("ref", size.alias("size")).join(alone, "ref", "left") \
