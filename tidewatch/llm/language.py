@@ -28,12 +28,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from tidewatch.llm.common import cut, few, one_per_id, remainder, ship, small_batches, texts
+from tidewatch.llm.common import _release, cut, few, one_per_id, remainder, ship, small_batches, texts
 
 UNKNOWN = "und"
 #: Hash buckets of 1-, 2- and 3-grams.
 BUCKETS = (512, 2048, 8192)
 WIDTH = sum(BUCKETS)
+#: Texts whose vectors are dense at a time (in multiples of 24 OpenBLAS rounds products as
+#: over all rows at once); of a longer text, characters hashed at a time.
+BLOCK, CHUNK = 96, 1 << 16
 
 #: Letters from which a text's rejection limit is the full one.
 FULL_LETTERS = 400
@@ -56,17 +59,21 @@ def grams(text: str) -> np.ndarray | None:
     letter = _letters()[c]
     if not letter.any():
         return None
-    c = np.where(letter, c, 32)
-    c = np.concatenate(([32], c[np.concatenate(([True], letter[1:] | letter[:-1]))], [32])).astype(np.uint64)
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    two = c[:-1] * np.uint64(0x1_0001) + c[1:]
-    three = two[:-1] * np.uint64(0x1_0003) + c[2:]
-    at = np.concatenate([
-        c % np.uint64(BUCKETS[0]),
-        BUCKETS[0] + ((two * mix) >> np.uint64(40)) % np.uint64(BUCKETS[1]),
-        BUCKETS[0] + BUCKETS[1] + ((three * mix) >> np.uint64(40)) % np.uint64(BUCKETS[2]),
-    ]).astype(np.int64)
-    return np.bincount(at, minlength=WIDTH)
+    space = np.array([32], np.uint32)
+    c = np.where(letter, c, space)
+    c = np.concatenate((space, c[np.concatenate(([True], letter[1:] | letter[:-1]))], space))
+    mix, counts = np.uint64(0x9E3779B97F4A7C15), np.zeros(WIDTH, np.int64)
+    for start in range(0, len(c), CHUNK):                  # n-grams that begin here; two characters more end them
+        part = c[start:start + CHUNK + 2].astype(np.uint64)
+        two = part[:-1] * np.uint64(0x1_0001) + part[1:]
+        three = two[:-1] * np.uint64(0x1_0003) + part[2:]
+        at = np.concatenate([
+            part[:CHUNK] % np.uint64(BUCKETS[0]),
+            BUCKETS[0] + ((two[:CHUNK] * mix) >> np.uint64(40)) % np.uint64(BUCKETS[1]),
+            BUCKETS[0] + BUCKETS[1] + ((three * mix) >> np.uint64(40)) % np.uint64(BUCKETS[2]),
+        ]).astype(np.int64)
+        counts += np.bincount(at, minlength=WIDTH)
+    return counts
 
 
 def letters_of(text: str) -> int:
@@ -76,36 +83,75 @@ def letters_of(text: str) -> int:
 
 def vectors(many: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(index of each text that has a letter, its unit vector)."""
-    kept, rows = [], []
+    kept, x = [], np.zeros((len(many), WIDTH), np.float32)
     for k, text in enumerate(many):
         counts = grams(text) if text else None
         if counts is not None:
+            x[len(kept)] = np.sqrt(counts.astype(np.float32)) * idf
             kept.append(k)
-            rows.append(np.sqrt(counts.astype(np.float32)) * idf)
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros((0, WIDTH), np.float32)
-    x = np.array(rows, np.float32)
+    x = x[:len(kept)]
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    return np.array(kept), x
+    return np.array(kept, np.int64), x
+
+
+class Rows:
+    """Unit vectors kept by their non-zero buckets and dense a block at a time: a sample
+    of 1,000 texts has 43 MB of dense vectors, and clustering copies parts of them."""
+
+    def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]]):
+        self.rows = rows                                   # buckets and values of each vector
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def dense(self, first: int, upto: int) -> np.ndarray:
+        x = np.zeros((min(upto, len(self)) - first, WIDTH), np.float32)
+        for row, (at, value) in zip(x, self.rows[first:upto], strict=True):
+            row[at] = value
+        return x
+
+    def times(self, c: np.ndarray) -> np.ndarray:
+        """Products of each vector with ``c``, one vector or several."""
+        return np.concatenate([self.dense(k, k + BLOCK) @ c.T for k in range(0, len(self), BLOCK)])
+
+    def where(self, chosen: np.ndarray) -> Rows:
+        return Rows([self.rows[k] for k in np.flatnonzero(chosen)])
+
+    def mean(self) -> np.ndarray:
+        m = np.zeros(WIDTH, np.float32)
+        for at, value in self.rows:
+            m[at] += value
+        return m / np.float32(len(self))
+
+
+def sparse(many: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, Rows]:
+    """As ``vectors``, the vectors as ``Rows``."""
+    kept, rows = [], []
+    for k in range(0, len(many), BLOCK):
+        some, x = vectors(many[k:k + BLOCK], idf)
+        kept.append(some + k)
+        for row in x:
+            at = np.flatnonzero(row)
+            rows.append((at.astype(np.uint16), row[at]))
+    return np.concatenate([np.zeros(0, np.int64), *kept]), Rows(rows)
 
 
-def cluster(x: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def cluster(x: Rows, k: int, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Unit centroids by spherical k-means from a farthest-first start, and each
     row's cosine to its own."""
     start = [0]
-    best = x @ x[0]
+    best = x.times(x.dense(0, 1)[0])
     while len(start) < min(k, len(x)):
         start.append(int(best.argmin()))
-        best = np.maximum(best, x @ x[start[-1]])
-    c = x[start].copy()
+        best = np.maximum(best, x.times(x.dense(start[-1], start[-1] + 1)[0]))
+    c = np.concatenate([x.dense(j, j + 1) for j in start])
     for _ in range(rounds):
-        own = (x @ c.T).argmax(1)
+        own = x.times(c).argmax(1)
         for j in range(len(c)):
             if (own == j).any():
-                m = x[own == j].mean(0)
+                m = x.where(own == j).mean()
                 c[j] = m / max(np.linalg.norm(m), 1e-12)
-    cos = x @ c.T
-    return c, cos
+    return c, x.times(c)
 
 
 def _size(many: list[str]) -> np.ndarray:
@@ -121,14 +167,14 @@ def _reach(cos: np.ndarray, spread: float) -> np.ndarray:
                      for j in range(cos.shape[1])], float)
 
 
-def held_back(x: np.ndarray, size: np.ndarray, clusters: int, spread: float, folds: int) -> np.ndarray:
+def held_back(x: Rows, size: np.ndarray, clusters: int, spread: float, folds: int) -> np.ndarray:
     """What share of the limit each text reaches that was held back from centroids
     of the other texts."""
     out = np.arange(len(x)) % folds == folds - 1
     if not out.any():
         return np.zeros(0)
-    c, cos = cluster(x[~out], clusters)
-    far = x[out] @ c.T
+    c, cos = cluster(x.where(~out), clusters)
+    far = x.where(out).times(c)
     best = far.argmax(1)
     return far.max(1) / np.maximum(_reach(cos, spread)[best] * size[out], 1e-12)
 
@@ -186,12 +232,13 @@ def fit(docs: DataFrame, *, divisor: int = 4, held: int = 2, per_language: int =
         def centroids(group: pa.Table) -> pa.Table:
             group = group.sort_by([("doc_id", "ascending"), ("text", "ascending")])
             many = group.column("text").to_pylist()
-            kept, x = vectors(many, idf)
+            kept, x = sparse(many, idf)
             if not len(x):
                 return pa.table({"lang": pa.array([], pa.string()), "centroid": pa.array([], pa.binary()),
                                  "reach": pa.array([], pa.float64()), "back": pa.array([], pa.list_(pa.float64()))})
             c, cos = cluster(x, clusters)
             back = held_back(x, _size([many[k] for k in kept]), clusters, spread, folds)
+            _release()
             return pa.table({"lang": group.column("lang").to_pylist()[:1] * len(c),
                              "centroid": pa.array([v.astype("<f4").tobytes() for v in c], pa.binary()),
                              "reach": pa.array(_reach(cos, spread)),
@@ -224,9 +271,9 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             lang, value, out = np.full(n, UNKNOWN, object), np.zeros(n), np.ones(n, bool)
             if model.langs:
                 t = batch.column("text")
-                kept, x = vectors(t.to_pylist(), model.idf)
+                kept, x = sparse(t.to_pylist(), model.idf)
                 if len(kept):
-                    cos = x @ model.centroids.T
+                    cos = x.times(model.centroids)
                     best = cos.argmax(1)
                     near = cos[np.arange(len(kept)), best].astype(float)
                     lang[kept] = np.array(model.langs, object)[best]
